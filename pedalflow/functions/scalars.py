@@ -9,7 +9,8 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def duration_seconds(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("SECOND", _col(start), _col(end))
+    """Whole seconds between two times without zone; no session zone is involved."""
+    return (_col(end) - _col(start)).cast("interval second").cast("bigint")
 
 
 def duration_minutes(start: Column | str, end: Column | str) -> Column:

@@ -75,11 +75,13 @@ def docs_with_event(trip_docs: TripDocs, event_type: str) -> DataFrame:
 
 def trip_details(trip_docs: TripDocs, users: DataFrame, stations: DataFrame) -> DataFrame:
     """Every trip document with its user and station names; times stay text."""
-    looked_up = unwind(lookup(trip_docs.docs.select(*TRIP_FIELDS), users, "user_id", "user_id", "user"), "user")
+    found = lookup_one(
+        trip_docs.docs.select(*TRIP_FIELDS), users.select("user_id", "name", "surname", "country"), "user_id", "user_id", "user"
+    )
+    names = stations.select("station_id", "name")
     for end in ("start", "end"):
-        found = lookup(looked_up, stations, f"{end}_station_id", "station_id", f"{end}_st")
-        looked_up = unwind(found, f"{end}_st")
-    return looked_up.select(
+        found = lookup_one(found, names, f"{end}_station_id", "station_id", f"{end}_st")
+    return found.select(
         "trip_id",
         F.col("user.name").alias("user_name"),
         F.col("user.surname").alias("user_surname"),
@@ -100,8 +102,8 @@ def parsed_times(docs: DataFrame) -> DataFrame:
 def user_stats(trip_docs: TripDocs, users: DataFrame) -> DataFrame:
     """Users with trips, most trips first; an id without a user keeps its numbers and has no name."""
     stats = relational.trip_stats(parsed_times(trip_docs.docs))
-    found = unwind(lookup(stats, users, "user_id", "user_id", "user"), "user", keep_empty=True)
-    return found.select(
+    names = users.select("user_id", "name", "surname")
+    return lookup_one(stats, names, "user_id", "user_id", "user", keep_missing=True).select(
         "user_id",
         F.col("user.name").alias("name"),
         F.col("user.surname").alias("surname"),
@@ -145,6 +147,15 @@ def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, into: st
     return joined.withColumn(into, F.coalesce(found, empty)).drop("_key", "_match")
 
 
+def lookup_one(
+    left: DataFrame, right: DataFrame, local: str, foreign: str, into: str, keep_missing: bool = False
+) -> DataFrame:
+    """``lookup`` and ``unwind`` in one join: ``into`` is the matching row itself."""
+    matches = right.select(F.col(foreign).alias("_key"), F.struct(*right.columns).alias(into))
+    how = "left" if keep_missing else "inner"
+    return left.join(matches, F.col(local) == F.col("_key"), how).drop("_key")
+
+
 def unwind(df: DataFrame, array: str, keep_empty: bool = False) -> DataFrame:
     """One row per element; a row with an empty array is dropped, or kept with a null element."""
     exploded = F.explode_outer(array) if keep_empty else F.explode(array)

@@ -17,16 +17,20 @@ VERTEX_KEYS = {"User": "user_id", "Station": "station_id", "Trip": "trip_id"}
 
 
 def vertices(users: DataFrame, stations: DataFrame, trips: DataFrame) -> dict[str, DataFrame]:
-    """The vertex table of each label; trip times are text."""
+    """The vertex table of each label; trip times are text.
+
+    Keys are unique in the tables (``quality.duplicate_keys``), so nothing is shuffled to
+    compare rows; ``merge_upsert`` takes in a batch that repeats some.
+    """
     return {
-        "User": users.select("user_id", "name", "surname", "country").distinct(),
-        "Station": stations.select("station_id", "name", "city").distinct(),
+        "User": users.select("user_id", "name", "surname", "country"),
+        "Station": stations.select("station_id", "name", "city"),
         "Trip": trips.select(
             "trip_id",
             format_ts("start_time").alias("start_time"),
             format_ts("end_time").alias("end_time"),
             "total_cost",
-        ).distinct(),
+        ),
     }
 
 
@@ -101,9 +105,13 @@ def two_hop_paths(edges: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def reachable_stations(trips: DataFrame, users: DataFrame, stations: DataFrame, user_id: int = 1) -> DataFrame:
-    """The stations where one user's trips start or end, by name. The user filter reaches the trip scan."""
-    own = linked_trips(trips.filter(F.col("user_id") == F.lit(user_id)), users, stations)
-    ids = own.select(F.explode(F.array("start_station_id", "end_station_id")).alias("station_id")).distinct()
+    """The stations where one user's trips start or end, by name.
+
+    The user filter reaches the trip scan, and the user's station pairs are made distinct before
+    they meet another table.
+    """
+    own = trips.filter(F.col("user_id") == F.lit(user_id)).select("user_id", "start_station_id", "end_station_id")
+    ids = linked_trips(own.distinct(), users, stations).select(F.explode(F.array("start_station_id", "end_station_id")).alias("station_id")).distinct()
     return (
         ids.join(stations, "station_id")
         .select("station_id", F.col("name").alias("station_name"), "city")

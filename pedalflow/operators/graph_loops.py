@@ -1,8 +1,8 @@
 """PageRank and connected components as loops of joins and aggregates.
 
-Edges are collapsed to one row per station pair before the first round. Every intermediate
-result that a later round reads is checkpointed to the shared folder or can be replayed from
-there; only single numbers reach the driver.
+Edges are collapsed to one row per station pair before the first round. What several rounds
+read is checkpointed to the shared folder, which keeps its partitioning; only single numbers
+reach the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pedalflow.session import checkpoint, shuffle_partitions
 RESET = 0.15
 ITERATIONS = 10
 ROUNDS_PER_CHECKPOINT = 5
+# A graph of fewer links than this is not worth a shuffle.
+ROWS_PER_PARTITION = 500_000
 
 
 def pagerank(
@@ -34,41 +36,47 @@ def pagerank(
     number of vertices. Links are laid out once by (source, slot), a busy source over several
     slots, and stay put: a round moves one row per vertex and the partial sums per target.
     """
-    parts = shuffle_partitions(nodes.sparkSession)
     links = checkpoint(with_known_ends(weighted_links(edges), nodes))
     sources = links.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n"))
-    hot = checkpoint(hot_keys(sources, "src", min_rows=min_hot_rows))
-    placed = spread(links, hot, "src", F.col("dst")).repartition(parts, "src", "slot").persist()
-    state = (
-        nodes.select("id")
-        .join(sources.select(F.col("src").alias("id"), "out_degree"), "id", "left")
-        .repartition(parts, "id")
-        .persist()
-    )
+    n_links, busiest = sources.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    parts = max(1, min(shuffle_partitions(nodes.sparkSession), n_links // ROWS_PER_PARTITION))
+    hot, on = None, ["src"]
+    if busiest > min_hot_rows:
+        hot, on = checkpoint(hot_keys(sources, "src", min_rows=min_hot_rows)), ["src", "slot"]
+    salted = links if hot is None else spread(links, hot, "src", F.col("dst"))
+    placed = checkpoint(salted.repartition(parts, *on).sortWithinPartitions(*on))
+    out_degrees = sources.select(F.col("src").alias("id"), "out_degree")
+    state = nodes.select("id").join(out_degrees, "id", "left").repartition(parts, "id")
+    state = checkpoint(state.sortWithinPartitions("id"))
 
     ranks = state.withColumn("rank", F.lit(1.0))
     for done in range(1, iterations + 1):
-        shares = ranks.filter(F.col("out_degree").isNotNull()).select(
-            F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
-        )
-        received = (
-            placed.join(replicate(shares, hot, "src"), ["src", "slot"])
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("share") * F.col("weight")).alias("received"))
-        )
-        rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))
-        ranks = state.join(received, "id", "left").select("id", "out_degree", rank.alias("rank"))
+        ranks = _pass_ranks(placed, state, ranks, hot, on, reset)
         if done % ROUNDS_PER_CHECKPOINT == 0 and done < iterations:
             ranks = checkpoint(ranks)
     ranks = checkpoint(ranks.select("id", "rank"))
-    placed.unpersist()
-    state.unpersist()
 
     scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).scalar()
     scaled = ranks.withColumn("pagerank", F.col("rank") * scale).drop("rank")
     return nodes.join(scaled, "id")
 
 
+def _pass_ranks(
+    placed: DataFrame, state: DataFrame, ranks: DataFrame, hot: DataFrame | None, on: list[str], reset: float
+) -> DataFrame:
+    """One round. ``placed`` and ``state`` stay where they are; two vertex-sized tables move."""
+    shares = ranks.filter(F.col("out_degree").isNotNull()).select(
+        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
+    )
+    received = (
+        placed.join(shares if hot is None else replicate(shares, hot, "src"), on)
+        .groupBy(F.col("dst").alias("id"))
+        .agg(F.sum(F.col("share") * F.col("weight")).alias("received"))
+    )
+    rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))
+    return state.join(received, "id", "left").select("id", "out_degree", rank.alias("rank"))
+
+
 def pagerank_top(nodes: DataFrame, edges: DataFrame, k: int = 3) -> DataFrame:
     """The k vertices with the highest rank; ties go to the lower id."""
     return (
@@ -79,55 +87,80 @@ def pagerank_top(nodes: DataFrame, edges: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def component_roots(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """``(id, root)``: the lowest vertex id in each vertex's component, edges taken both ways.
+def _stars(nodes: DataFrame, edges: DataFrame, min_hot_rows: int) -> tuple[DataFrame, int]:
+    """``(u, v)``: every vertex u on the lowest vertex v of its component, and the most links at a vertex.
 
     Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in
-    MapReduce and Beyond", 2014) until the edges no longer change; then every vertex hangs on
-    its root. A vertex with very many neighbours is split over several tasks.
+    MapReduce and Beyond", 2014) until every vertex hangs on its root. A vertex with very many
+    neighbours is split over several tasks.
     """
-    pairs = with_known_ends(edges.filter(F.col("src") != F.col("dst")).distinct(), nodes)
-    links = checkpoint(
-        pairs.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
+    pairs = edges.filter(F.col("src") != F.col("dst")).select(
+        F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
     )
-    seen, now = None, _fingerprint(links)
-    while now != seen:
-        links = checkpoint(_large_star(links, min_hot_rows))
-        links = checkpoint(_small_star(links, min_hot_rows))
-        seen, now = now, _fingerprint(links)
-    tails = links.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("root"))
-    return nodes.select("id").join(tails, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = with_known_ends(pairs.distinct(), nodes)
+    links = checkpoint(known.select(F.col("src").alias("u"), F.col("dst").alias("v")))
+    unfinished, busiest = _progress(links)
+    while unfinished:
+        salted = busiest > min_hot_rows
+        links = checkpoint(_large_star(links, min_hot_rows, salted))
+        links = checkpoint(_small_star(links, min_hot_rows, salted))
+        unfinished, busiest = _progress(links)
+    return links, busiest
 
 
-def _fingerprint(links: DataFrame):
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    hung = links.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    return nodes.select("id").join(hung, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def component_roots(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """``(id, root)``: the lowest vertex id in each vertex's component, edges taken both ways."""
+    return _roots(nodes, _stars(nodes, edges, min_hot_rows)[0])
+
+
+def _progress(links: DataFrame) -> tuple[int, int]:
+    """Vertices that hang on two others, or hang on one and carry one; and the most links at a vertex."""
+    ends = F.array(
+        F.struct(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )
+    per_vertex = links.select(F.inline(ends)).groupBy("id").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    unfinished = (F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))
+    return tuple(
+        per_vertex.agg(F.count_if(unfinished), F.coalesce(F.max(F.col("up") + F.col("down")), F.lit(0))).first()
+    )
 
 
-def _large_star(links: DataFrame, min_hot_rows: int) -> DataFrame:
+def _large_star(links: DataFrame, min_hot_rows: int, salted: bool) -> DataFrame:
     """Hang every higher neighbour of u on the lowest vertex among u and its neighbours."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    lowest = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
-    hot = hot_keys(lowest, "u", min_rows=min_hot_rows)
-    joined = salted_join(both, lowest.select("u", "m"), hot, "u", F.col("v"))
+    lowest = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    hot = hot_keys(lowest, "u", min_rows=min_hot_rows) if salted else None
+    root = F.least("u", "m").alias("m")
+    joined = salted_join(both, lowest.select("u", root), hot, "u", F.col("v"))
     return joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(links: DataFrame, min_hot_rows: int) -> DataFrame:
+def _small_star(links: DataFrame, min_hot_rows: int, salted: bool) -> DataFrame:
     """Hang u and its lower neighbours on the lowest of these."""
     lowest = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    hot = hot_keys(lowest, "u", min_rows=min_hot_rows)
+    hot = hot_keys(lowest, "u", min_rows=min_hot_rows) if salted else None
     joined = salted_join(links, lowest.select("u", "m"), hot, "u", F.col("v"))
     moved = joined.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(id, name, city, component)`` in that order of component and id; components count from 0 by lowest id."""
-    roots = checkpoint(component_roots(nodes, edges))
+def connected_components(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """``(id, name, city, component)`` in the order of component and id; components count from 0 by lowest id."""
+    links, busiest = _stars(nodes, edges, min_hot_rows)
+    roots = _roots(nodes, links)
     # A root is the one vertex that is its own root.
     numbers = number_rows(roots.filter(F.col("id") == F.col("root")).select("root"), "root", "component")
-    sizes = roots.groupBy("root").agg(F.count("*").alias("n"))
-    labelled = salted_join(roots, numbers, hot_keys(sizes, "root"), "root", F.col("id"))
+    hot = None
+    if busiest >= min_hot_rows:  # a component has one vertex more than its root has links
+        sizes = roots.groupBy("root").agg(F.count("*").alias("n"))
+        hot = hot_keys(sizes, "root", min_rows=min_hot_rows)
+    labelled = salted_join(roots, numbers, hot, "root", F.col("id"))
     return (
         nodes.join(labelled.select("id", "component"), "id")
         .select("id", "name", "city", "component")

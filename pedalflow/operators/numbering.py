@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pedalflow.session import checkpoint, shuffle_partitions
+from pedalflow.session import checkpoint
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
 
@@ -17,8 +17,7 @@ def number_rows(df: DataFrame, key: str, into: str) -> DataFrame:
     partition plus the sizes of the partitions before. Only those sizes, one row per partition,
     meet in one task and are broadcast.
     """
-    parts = shuffle_partitions(df.sparkSession)
-    sorted_rows = df.repartitionByRange(parts, key).sortWithinPartitions(key)
+    sorted_rows = df.repartitionByRange(key).sortWithinPartitions(key)
     written = checkpoint(sorted_rows.withColumn("_place", F.monotonically_increasing_id()))
     placed = written.withColumn("_part", F.shiftright("_place", _ROW_BITS)).withColumn(
         "_row", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

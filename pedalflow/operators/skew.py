@@ -21,11 +21,11 @@ def hot_keys(
     counts: DataFrame, key: str, n: str = "n", min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
 ) -> DataFrame:
     """``(key, slots)`` of the hot keys among pre-aggregated ``(key, n)`` counts; fewer than ``max_keys`` rows."""
-    total = counts.agg(F.sum(n).alias("total")).select(F.col("total") / F.lit(max_keys)).scalar()
+    known = counts.filter(F.col(key).isNotNull())
+    total = known.agg(F.sum(n).alias("total")).select(F.col("total") / F.lit(max_keys)).scalar()
     share = F.greatest(F.lit(float(min_rows)), total)
     return (
-        counts.filter(F.col(key).isNotNull())
-        .select(F.col(key), F.col(n).alias("_rows"), share.alias("_share"))
+        known.select(F.col(key), F.col(n).alias("_rows"), share.alias("_share"))
         .filter(F.col("_rows") > F.col("_share"))
         .select(key, F.ceil(F.col("_rows") / F.col("_share")).cast("int").alias("slots"))
     )
@@ -50,6 +50,11 @@ def replicate(dim: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     )
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, hot: DataFrame, key: str, by: Column) -> DataFrame:
-    """Inner join of ``fact`` with ``dim`` (unique on ``key``) in which no task gets a whole hot key."""
+def salted_join(fact: DataFrame, dim: DataFrame, hot: DataFrame | None, key: str, by: Column) -> DataFrame:
+    """Inner join of ``fact`` with ``dim`` (unique on ``key``) in which no task gets a whole hot key.
+
+    ``hot`` is None where the caller has counted that no key reaches MIN_HOT_ROWS.
+    """
+    if hot is None:
+        return fact.join(dim, key)
     return spread(fact, hot, key, by).join(replicate(dim, hot, key), [key, "slot"]).drop("slot")
