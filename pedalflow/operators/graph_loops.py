@@ -1,8 +1,7 @@
 """PageRank and connected components as loops of joins and aggregates.
 
-Edges are collapsed to one row per station pair before the first round. What several rounds
-read is checkpointed to the shared folder, which keeps its partitioning; only single numbers
-reach the driver.
+Edges are collapsed to one row per station pair and checkpointed before the first round, and
+the state of a loop is checkpointed between rounds; only single numbers reach the driver.
 """
 
 from __future__ import annotations
@@ -13,11 +12,10 @@ from pyspark.sql import functions as F
 from pedalflow.operators.graph import weighted_links, with_known_ends
 from pedalflow.operators.numbering import number_rows
 from pedalflow.operators.skew import MIN_HOT_ROWS, hot_keys, replicate, salted_join, spread
-from pedalflow.session import checkpoint, shuffle_partitions
+from pedalflow.session import checkpoint, fixed_plans, shuffle_partitions
 
 RESET = 0.15
 ITERATIONS = 10
-ROUNDS_PER_CHECKPOINT = 5
 # A graph of fewer links than this is not worth a shuffle.
 ROWS_PER_PARTITION = 500_000
 
@@ -33,48 +31,53 @@ def pagerank(
 
     Ranks start at 1; a round gives ``reset + (1 - reset) * sum(rank / out-degree)`` over the
     incoming edges, parallel ones counted each. At the end ranks are scaled to sum to the
-    number of vertices. Links are laid out once by (source, slot), a busy source over several
-    slots, and stay put: a round moves one row per vertex and the partial sums per target.
+    number of vertices. Links are laid out once by source, or by (source, slot) with a busy
+    source dealt over several slots, and stay put: a round moves the partial sums per target.
     """
+    spark = nodes.sparkSession
     links = checkpoint(with_known_ends(weighted_links(edges), nodes))
     sources = links.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n"))
     n_links, busiest = sources.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    parts = max(1, min(shuffle_partitions(nodes.sparkSession), n_links // ROWS_PER_PARTITION))
+    parts = max(1, min(shuffle_partitions(spark), n_links // ROWS_PER_PARTITION))
     hot, on = None, ["src"]
     if busiest > min_hot_rows:
         hot, on = checkpoint(hot_keys(sources, "src", min_rows=min_hot_rows)), ["src", "slot"]
     salted = links if hot is None else spread(links, hot, "src", F.col("dst"))
-    placed = checkpoint(salted.repartition(parts, *on).sortWithinPartitions(*on))
     out_degrees = sources.select(F.col("src").alias("id"), "out_degree")
-    state = nodes.select("id").join(out_degrees, "id", "left").repartition(parts, "id")
-    state = checkpoint(state.sortWithinPartitions("id"))
 
-    ranks = state.withColumn("rank", F.lit(1.0))
-    for done in range(1, iterations + 1):
-        ranks = _pass_ranks(placed, state, ranks, hot, on, reset)
-        if done % ROUNDS_PER_CHECKPOINT == 0 and done < iterations:
-            ranks = checkpoint(ranks)
-    ranks = checkpoint(ranks.select("id", "rank"))
+    with fixed_plans(spark, parts):
+        placed = _settle(salted, parts, on)
+        state = _settle(nodes.select("id").join(out_degrees, "id", "left"), parts, ["id"])
+        ranks = state.withColumn("rank", F.lit(1.0))
+        for _ in range(iterations):
+            ranks = checkpoint(_pass_ranks(placed, state, ranks, hot, on, reset))
 
+    ranks = ranks.select("id", "rank")
     scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).scalar()
     scaled = ranks.withColumn("pagerank", F.col("rank") * scale).drop("rank")
     return nodes.join(scaled, "id")
 
 
+def _settle(df: DataFrame, parts: int, on: list[str]) -> DataFrame:
+    """Write ``df`` laid out and sorted by ``on``; under ``fixed_plans`` joins on ``on`` do not move it again."""
+    return checkpoint(df.repartition(parts, *on).sortWithinPartitions(*on))
+
+
 def _pass_ranks(
     placed: DataFrame, state: DataFrame, ranks: DataFrame, hot: DataFrame | None, on: list[str], reset: float
 ) -> DataFrame:
-    """One round. ``placed`` and ``state`` stay where they are; two vertex-sized tables move."""
+    """One round. ``placed``, ``state`` and ``ranks`` stay where they are, only partial sums move
+    (and the ranks, if busy sources are spread over slots)."""
     shares = ranks.filter(F.col("out_degree").isNotNull()).select(
         F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
     )
     received = (
-        placed.join(shares if hot is None else replicate(shares, hot, "src"), on)
+        placed.join((shares if hot is None else replicate(shares, hot, "src")).hint("merge"), on)
         .groupBy(F.col("dst").alias("id"))
         .agg(F.sum(F.col("share") * F.col("weight")).alias("received"))
     )
     rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))
-    return state.join(received, "id", "left").select("id", "out_degree", rank.alias("rank"))
+    return state.join(received.hint("merge"), "id", "left").select("id", "out_degree", rank.alias("rank"))
 
 
 def pagerank_top(nodes: DataFrame, edges: DataFrame, k: int = 3) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there, so a lost executor costs no replay."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextlib.contextmanager
+def fixed_plans(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Plan without adaptive execution, for loops that lay out their data themselves.
+
+    A checkpoint made here keeps its partitioning and order, so later joins find it in place.
+    """
+    options = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {key: spark.conf.get(key) for key in options}
+    for key, value in options.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
