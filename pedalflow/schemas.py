@@ -24,13 +24,22 @@ TRIPS = struct(
 EVENTS = struct(event_id=LONG, trip_id=LONG, timestamp=TIME, type=TEXT, value=TEXT)
 TABLES = {"users": USERS, "stations": STATIONS, "trips": TRIPS, "events": EVENTS}
 
+# Events after the schema change.
+EVOLVED_EVENTS = struct(**{f.name: f.dataType for f in EVENTS}, battery_level=INT)
+
 # Documents keep times as text and carry their events.
-EVENT_ARRAY = T.ArrayType(struct(timestamp=TEXT, type=TEXT, value=TEXT))
-TRIP_DOCS = struct(
-    trip_id=LONG, user_id=LONG, start_station_id=LONG, end_station_id=LONG, start_time=TEXT, end_time=TEXT, total_cost=DOUBLE,
-    events=EVENT_ARRAY,
-)
-OVERFLOW_DOCS = struct(trip_id=LONG, part=INT, events=EVENT_ARRAY)
+ELEMENT = struct(timestamp=TEXT, type=TEXT, value=TEXT)
+EVOLVED_ELEMENT = struct(timestamp=TEXT, type=TEXT, value=TEXT, battery_level=INT)
+
+
+def trip_docs(element: T.StructType = ELEMENT) -> T.StructType:
+    fields = {f.name: TEXT if f.dataType == TIME else f.dataType for f in TRIPS}
+    return struct(**fields, events=T.ArrayType(element))
+
+
+def overflow_docs(element: T.StructType = ELEMENT) -> T.StructType:
+    return struct(trip_id=LONG, part=INT, events=T.ArrayType(element))
+
 
 PRIMARY_KEYS = {"users": "user_id", "stations": "station_id", "trips": "trip_id", "events": "event_id"}
 

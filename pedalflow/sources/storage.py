@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalflow.operators.skew import MIN_HOT_ROWS, hot_keys
-from pedalflow.schemas import OVERFLOW_DOCS, TABLES, TRIP_DOCS, Mobility, TripDocs
+from pedalflow.schemas import ELEMENT, TABLES, Mobility, TripDocs, overflow_docs, trip_docs
 from pedalflow.session import shuffle_partitions
 
 
@@ -26,18 +26,20 @@ def read_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructTyp
     return Mobility(*(spark.read.schema(schemas[n]).parquet(f"{folder}/{n}") for n in Mobility._fields))
 
 
-def write_docs(trip_docs: TripDocs, folder: str, file_format: str = "parquet") -> None:
+def write_docs(docs: TripDocs, folder: str, file_format: str = "parquet") -> None:
     """Replace the trip documents; ``json`` writes one document per line."""
-    for name, df in trip_docs._asdict().items():
+    for name, df in docs._asdict().items():
         df.write.mode("overwrite").format(file_format).save(f"{folder}/{name}")
 
 
-def read_docs(spark: SparkSession, folder: str, file_format: str = "parquet") -> TripDocs:
-    docs = spark.read.schema(TRIP_DOCS).format(file_format).load(f"{folder}/docs")
-    overflow = spark.read.schema(OVERFLOW_DOCS).format(file_format).load(f"{folder}/overflow")
-    # A reader may not tell an empty array from a missing one.
-    empty = F.array().cast(TRIP_DOCS["events"].dataType)
-    return TripDocs(docs.withColumn("events", F.coalesce("events", empty)), overflow)
+def read_docs(
+    spark: SparkSession, folder: str, file_format: str = "parquet", element: T.StructType = ELEMENT
+) -> TripDocs:
+    """The documents; a field of ``element`` that older files lack is null."""
+    reader = spark.read.format(file_format)
+    docs = reader.schema(trip_docs(element)).load(f"{folder}/docs")
+    overflow = reader.schema(overflow_docs(element)).load(f"{folder}/overflow")
+    return TripDocs(docs, overflow)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:

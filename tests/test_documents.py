@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import rows
+from conftest import plan_of, rows
 from pedalflow.operators import documents as d
 from pedalflow.operators import relational
 from pedalflow.schemas import EVENTS, TRIPS
@@ -93,3 +93,17 @@ def test_lookup_and_unwind(docs, city):
     assert {t.trip_id for t in kept.collect() if t.user is None} == {103, 104}
     fused = d.lookup_one(docs.docs.select("trip_id", "user_id"), city.users, "user_id", "user_id", "user", keep_missing=True)
     assert sorted(map(str, rows(fused))) == sorted(map(str, rows(kept)))
+
+
+def test_an_embedding_without_oversize_trips_shuffles_events_once(city):
+    plan = plan_of(d.error_trips(d.embed_events(city.trips, city.events))).split("== Initial Plan ==")[0]
+    assert plan.count("partial_collect_list") == 1 and "Union" not in plan and "LeftAnti" not in plan
+
+
+def test_queries_that_ignore_events_do_not_embed_them(city, docs):
+    for df in (
+        d.trip_details(docs, city.users, city.stations),
+        d.user_stats(docs, city.users),
+        d.station_counts(docs, city.stations),
+    ):
+        assert "collect_list" not in plan_of(df)

@@ -5,6 +5,8 @@ import pytest
 from conftest import rows
 from pedalflow.operators import documents as d
 from pedalflow.operators import evolution as e
+from pedalflow.schemas import EVOLVED_ELEMENT, EVOLVED_EVENTS
+from pedalflow.sources import storage
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +70,17 @@ def test_files_of_both_versions_read_as_one(spark, city, tmp_path):
     e.add_battery_level(city.events).write.parquet(f"{path}/v=2")
     both = spark.read.option("mergeSchema", True).parquet(path)
     assert e.evolve_counts(both.drop("v")).first() == (4, 2, 16)
+
+
+@pytest.mark.parametrize("file_format", ["json", "parquet"])
+def test_documents_of_both_versions_are_read_by_the_new_schema(spark, docs, tmp_path, file_format):
+    for name, version in (("old", docs), ("new", e.add_battery_level_docs(docs))):
+        storage.write_docs(version, str(tmp_path / name), file_format)
+        back = storage.read_docs(spark, str(tmp_path / name), file_format, EVOLVED_ELEMENT)
+        filled = d.unembed_events(back).filter("battery_level = 50").count()
+        assert filled == (2 if name == "new" else 0)
+        assert back.docs.filter("size(events) = 0").count() == 3
+
+
+def test_evolved_schema(city):
+    assert e.add_battery_level(city.events).schema.simpleString() == EVOLVED_EVENTS.simpleString()
