@@ -7,6 +7,8 @@ are dealt over continuation documents in ``overflow``; the trip's own document t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,12 @@ def event_arrays(trip_docs: TripDocs) -> DataFrame:
     return trip_docs.docs.select("trip_id", "events").unionByName(trip_docs.overflow.select("trip_id", "events"))
 
 
+def all_documents(trip_docs: TripDocs) -> DataFrame:
+    """Every document and every continuation, the latter with the fields of its trip."""
+    continued = trip_docs.overflow.select("trip_id", "events").join(trip_docs.docs.drop("events"), "trip_id")
+    return trip_docs.docs.unionByName(continued)
+
+
 def unembed_events(trip_docs: TripDocs) -> DataFrame:
     """One row per embedded event."""
     return event_arrays(trip_docs).select("trip_id", F.inline("events"))
@@ -160,3 +168,17 @@ def unwind(df: DataFrame, array: str, keep_empty: bool = False) -> DataFrame:
     """One row per element; a row with an empty array is dropped, or kept with a null element."""
     exploded = F.explode_outer(array) if keep_empty else F.explode(array)
     return df.withColumn(array, exploded)
+
+
+def unwind_events(
+    trip_docs: TripDocs, wanted: Callable[[Column], Column], keep_empty: bool = False
+) -> DataFrame:
+    """The trip fields once per ``wanted`` event; a trip without one is dropped, or kept with a null event."""
+    events = F.filter("events", wanted).alias("event")
+    fields = trip_docs.docs.drop("events")
+    whole = trip_docs.docs.select(*fields.columns, events)
+    more = trip_docs.overflow.select("trip_id", events).filter(F.size("event") > 0)
+    if keep_empty:
+        # The own document of a trip with continuations is empty.
+        whole = whole.join(more.select("trip_id").distinct(), "trip_id", "left_anti")
+    return unwind(whole, "event", keep_empty).unionByName(unwind(more.join(fields, "trip_id"), "event"))

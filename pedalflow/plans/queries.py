@@ -76,18 +76,10 @@ def _events_json(df: DataFrame) -> DataFrame:
     return df.withColumn("events", F.to_json("events"))
 
 
-def _error_elements(c: Context) -> DataFrame:
-    """Trip documents that keep their ERROR events only."""
-    errors = F.filter("events", lambda e: e["type"] == relational.ERROR)
-    whole = c.docs.docs.select("trip_id", "user_id", errors.alias("event"))
-    more = c.docs.overflow.select("trip_id", errors.alias("event")).filter(F.size("event") > 0)
-    return whole.unionByName(more.join(c.trips.select("trip_id", "user_id"), "trip_id"))
-
-
 def _unwound(c: Context, keep_empty: bool) -> DataFrame:
-    return documents.unwind(_error_elements(c), "event", keep_empty).select(
-        "trip_id", "user_id", "event.timestamp", "event.value"
-    )
+    """ERROR events with the fields of their trips."""
+    unwound = documents.unwind_events(c.docs, lambda e: e["type"] == relational.ERROR, keep_empty)
+    return unwound.select("trip_id", "user_id", "event.timestamp", "event.value")
 
 
 def _write_tables(c: Context) -> DataFrame:
@@ -102,7 +94,7 @@ def _write_tables(c: Context) -> DataFrame:
 def _write_docs(c: Context) -> DataFrame:
     folder = scratch_path(c.spark, "docs")
     storage.write_docs(c.docs, folder, "json")
-    return _events_json(storage.read_docs(c.spark, folder, "json").docs)
+    return _events_json(documents.all_documents(storage.read_docs(c.spark, folder, "json")))
 
 
 def _csv_sink(c: Context) -> DataFrame:
@@ -226,7 +218,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "scan_stations_edges": _scan_stations_edges,
     "write_tables": _write_tables,
     "write_docs": _write_docs,
-    "embed_events": lambda c: _events_json(c.docs.docs.select("trip_id", "user_id", "events")),
+    "embed_events": lambda c: _events_json(documents.all_documents(c.docs).select("trip_id", "user_id", "events")),
     "unembed_events": lambda c: documents.unembed_events(c.docs),
     "graph_vertices": _vertices,
     "graph_edges": lambda c: c.edges,

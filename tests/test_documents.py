@@ -52,7 +52,15 @@ def test_a_trip_too_large_for_one_document_is_continued(spark):
     assert arrays(docs)[7] == []
     whole = sorted((t, v) for t, _, _, v in rows(d.unembed_events(docs)))
     assert whole == sorted((e.trip_id, e.value) for e in events.collect())
+    every = d.all_documents(docs).select("trip_id", "user_id", "events").collect()
+    assert len(every) == 60 + len(parts) and {t.user_id for t in every} == {1}
+    assert sum(len(t.events) for t in every) == 900
     # The one ERROR is in a continuation.
+    found = d.unwind_events(docs, lambda e: e["type"] == "ERROR")
+    assert [(t.trip_id, t.event.value) for t in found.collect()] == [(7, "3")]
+    kept = d.unwind_events(docs, lambda e: e["type"] == "ERROR", keep_empty=True).collect()
+    assert sorted(t.trip_id for t in kept) == list(range(60))
+    assert [t.trip_id for t in kept if t.event is not None] == [7]
     assert [t.trip_id for t in d.docs_with_event(docs, "ERROR").collect()] == [7]
     assert d.docs_with_event(docs, "GPS").count() == events.select("trip_id").distinct().count()
 
