@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pedalflow.functions.scalars import format_ts, mean_minutes, or_default, parse_ts
+from pedalflow.functions.scalars import format_ts, or_default, parse_ts
 from pedalflow.operators import relational
 from pedalflow.operators.skew import hot_keys
 from pedalflow.schemas import TripDocs
@@ -83,9 +83,8 @@ def docs_with_event(trip_docs: TripDocs, event_type: str) -> DataFrame:
 
 def trip_details(trip_docs: TripDocs, users: DataFrame, stations: DataFrame) -> DataFrame:
     """Every trip document with its user and station names; times stay text."""
-    found = lookup_one(
-        trip_docs.docs.select(*TRIP_FIELDS), users.select("user_id", "name", "surname", "country"), "user_id", "user_id", "user"
-    )
+    people = users.select("user_id", "name", "surname", "country")
+    found = lookup_one(trip_docs.docs.select(*TRIP_FIELDS), people, "user_id", "user_id", "user")
     names = stations.select("station_id", "name")
     for end in ("start", "end"):
         found = lookup_one(found, names, f"{end}_station_id", "station_id", f"{end}_st")

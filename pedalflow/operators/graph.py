@@ -96,7 +96,9 @@ def two_hop_paths(edges: DataFrame, stations: DataFrame) -> DataFrame:
     Both joins meet on a trip id, of which a trip has three edges at most, or on the station
     vertex after the pairs were made distinct.
     """
-    performed = edges.filter(F.col("rel") == PERFORMED).select(F.col("src").alias("user_id"), F.col("dst").alias("trip_id"))
+    performed = edges.filter(F.col("rel") == PERFORMED).select(
+        F.col("src").alias("user_id"), F.col("dst").alias("trip_id")
+    )
     reached = edges.filter(F.col("rel").isin(STARTS_AT, ENDS_AT)).select(
         F.col("src").alias("trip_id"), F.col("dst").alias("station_id")
     )
