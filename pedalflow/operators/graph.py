@@ -113,7 +113,8 @@ def reachable_stations(trips: DataFrame, users: DataFrame, stations: DataFrame,
     they meet another table.
     """
     own = trips.filter(F.col("user_id") == F.lit(user_id)).select("user_id", "start_station_id", "end_station_id")
-    ids = linked_trips(own.distinct(), users, stations).select(F.explode(F.array("start_station_id", "end_station_id")).alias("station_id")).distinct()
+    ends = F.explode(F.array("start_station_id", "end_station_id")).alias("station_id")
+    ids = linked_trips(own.distinct(), users, stations).select(ends).distinct()
     return (
         ids.join(stations, "station_id")
         .select("station_id", F.col("name").alias("station_name"), "city")

@@ -135,9 +135,9 @@ SELECT i AS station_id,
 FROM range(1, (SELECT count(*) FROM supplier) + 1) AS r(i)"""
 
 _GEN_USERS = f"""
-SELECT i AS user_id, {_pick(g.NAMES, _draw('i', 2, 28))} AS name, {_pick(g.SURNAMES, _draw('i', 3, 24))} AS surname,
+SELECT i AS user_id, {_pick(g.NAMES, _draw('i', 2, len(g.NAMES)))} AS name, {_pick(g.SURNAMES, _draw('i', 3, len(g.SURNAMES)))} AS surname,
        DATE '1960-01-01' + CAST({_draw('i', 1, 14601)} AS INT) AS birthdate,
-       {_pick(g.COUNTRIES, _draw('i', 4, 14))} AS country
+       {_pick(g.COUNTRIES, _draw('i', 4, len(g.COUNTRIES)))} AS country
 FROM range(1, (SELECT count(*) FROM customer) + 1) AS r(i)"""
 
 _GEN_TRIPS = f"""

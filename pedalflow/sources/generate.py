@@ -18,12 +18,12 @@ NAMES = [
     "Luca", "Marco", "Andrea", "Giuseppe", "Antonio", "Francesco", "Matteo",
     "Davide", "Lorenzo", "Simone", "Sara", "Giulia", "Martina", "Chiara",
     "Valentina", "Federica", "Alessia", "Elena", "Maria", "Laura",
-    "Rahim", "Karim", "Subir", "Ameet", "Sofia", "Emma", "Fatima", "Yusuf",
+    "Rahim", "Karim", "Ameet", "Sofia", "Emma", "Fatima", "Yusuf",
 ]
 SURNAMES = [
     "Rossi", "Ferrari", "Esposito", "Bianchi", "Romano", "Colombo", "Ricci",
     "Marino", "Greco", "Bruno", "Gallo", "Conti", "De Luca", "Costa", "Mancini",
-    "Saha", "Das", "Khan", "Ali", "Hasan", "Schmidt", "Dupont", "Garcia", "Nguyen",
+    "Das", "Khan", "Ali", "Hasan", "Schmidt", "Dupont", "Garcia", "Nguyen",
 ]
 COUNTRIES = [
     "Italy", "Germany", "France", "Spain", "Poland", "Romania", "Portugal",
