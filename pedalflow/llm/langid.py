@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pedalflow.llm.arrays import mix, offsets_of, sums, text_chunks
+from pedalflow.llm.arrays import mix, offsets_of, ranges, sums, text_chunks
 from pedalflow.llm.ship import ship
 
 ORDER = 5
@@ -36,10 +36,12 @@ ORDER = 5
 SAMPLE_CHARS = 600_000
 MAX_SAMPLE_TEXT = 100_000
 MAX_LANGUAGES = 200
-# A text is rejected beyond so many standard deviations of its language's calibration texts, and one bit in any case.
-REJECT_DEVIATIONS, REJECT_BITS = 6.0, 1.0
+# A text is rejected beyond so many standard deviations of its language's calibration texts, and two bits in any case.
+REJECT_DEVIATIONS, REJECT_BITS = 6.0, 2.0
 UND = "und"
 DISCOUNT_FLOOR = 0.1
+# A task remembers the bits of so many words of at most so many letters; others are worked out anew.
+KNOWN_WORDS, KNOWN_LETTERS = 300_000, 20
 
 
 @lru_cache(maxsize=1)
@@ -61,6 +63,12 @@ class Words(NamedTuple):
     offsets: np.ndarray
     at: np.ndarray
     text_offsets: np.ndarray
+    keys: list[bytes]
+
+    def some(self, which: np.ndarray) -> Words:
+        """These distinct words alone."""
+        starts, sizes = self.offsets[which], np.diff(self.offsets)[which]
+        return Words(self.letters[ranges(starts, sizes)], offsets_of(sizes), self.at[:0], self.text_offsets[:0], [])
 
 
 def distinct_words(texts: list[str]) -> Words:
@@ -78,10 +86,11 @@ def distinct_words(texts: list[str]) -> Words:
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets * 4), pa.py_buffer(np.ascontiguousarray(words))]
     )
     encoded = column.dictionary_encode()
-    distinct = encoded.dictionary
-    flat = np.frombuffer(b"".join(distinct.to_pylist()), "<i4")
-    sizes = pc.binary_length(distinct).to_numpy(zero_copy_only=False) // 4
-    return Words(flat, offsets_of(sizes), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), text_offsets)
+    keys = encoded.dictionary.to_pylist()
+    flat = np.frombuffer(b"".join(keys), "<i4")
+    sizes = pc.binary_length(encoded.dictionary).to_numpy(zero_copy_only=False) // 4
+    at = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return Words(flat, offsets_of(sizes), at, text_offsets, keys)
 
 
 BOUNDARY = 1  # stands before and after every word; no letter has this code point
@@ -216,10 +225,34 @@ def word_bits(models: list[Model], words: Words) -> np.ndarray:
     return bits
 
 
-def text_bits(models: list[Model], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+class Memory:
+    """The bits of words met before, by word."""
+
+    def __init__(self, n_models: int):
+        self.rows: dict[bytes, int] = {}
+        self.bits = np.empty((n_models, KNOWN_WORDS))
+
+    def word_bits(self, models: list[Model], words: Words) -> np.ndarray:
+        row = np.array([self.rows.get(key, -1) for key in words.keys], np.int64)
+        bits = self.bits[:, row]
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            bits[:, new] = word_bits(models, words.some(new))
+            keep = [i for i in new.tolist() if len(words.keys[i]) <= 4 * KNOWN_LETTERS][:KNOWN_WORDS]
+            if len(self.rows) + len(keep) > KNOWN_WORDS:
+                self.rows.clear()
+            begin = len(self.rows)
+            self.bits[:, begin : begin + len(keep)] = bits[:, keep]
+            self.rows.update((words.keys[i], begin + j) for j, i in enumerate(keep))
+        return bits
+
+
+def text_bits(
+    models: list[Model], texts: list[str], memory: Memory | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Bits per letter of each text under each model, (models, texts), and the letters (word ends included)."""
     words = distinct_words(texts)
-    per_word = word_bits(models, words)
+    per_word = memory.word_bits(models, words) if memory else word_bits(models, words)
     length = (np.diff(words.offsets) + 1)[words.at] if len(words.at) else np.zeros(0, np.int64)
     letters = sums(length, words.text_offsets)
     bits = np.array([sums(b[words.at], words.text_offsets) for b in per_word]).reshape(len(models), len(texts))
@@ -235,12 +268,12 @@ class Identifier(NamedTuple):
     deviation: np.ndarray  # between texts
     noise: np.ndarray  # per letter, falls with the root of the length
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def predict(self, texts: list[str], memory: Memory | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is rejected. The score is the best language's share when each counts
         2 ** -(bits of 20 letters); it is 1 / languages at worst."""
         if not self.languages:
             return [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        bits, letters = text_bits(self.models, texts)
+        bits, letters = text_bits(self.models, texts, memory)
         best = bits.argmin(axis=0)
         least = bits[best, np.arange(len(texts))]
         score = 1.0 / np.exp2(-20.0 * (bits - least)).sum(axis=0)
@@ -313,9 +346,10 @@ def identify(docs: DataFrame, known: Identifier) -> DataFrame:
     shared = spark.sparkContext.broadcast(known)  # a few MB for each language, bounded by the sample
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory(len(shared.value.models))
         for chunk in text_chunks(batches, "text"):
             texts = ["" if t is None else t for t in chunk.column("text").to_pylist()]
-            names, score, rejected = shared.value.predict(texts)
+            names, score, rejected = shared.value.predict(texts, memory)
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(rejected)],
                 names=["doc_id", "lang_pred", "score", "rejected"],
