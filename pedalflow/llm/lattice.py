@@ -29,7 +29,7 @@ from pedalflow.llm.ship import ship
 
 # A worker remembers the ids of so many pre-tokens of at most so many bytes, and for so many pairs of pieces whether
 # one may follow the other; others are worked out anew.
-KNOWN_PRETOKENS, KNOWN_BYTES, KNOWN_PAIRS = 300_000, 24, 2_000_000
+KNOWN_PRETOKENS, KNOWN_BYTES, KNOWN_PAIRS = 600_000, 24, 2_000_000
 _NONE, _OUTSIDE = -1, -2
 
 

@@ -28,8 +28,8 @@ from pedalflow.llm.arrays import as_bytes, offsets_of, ranges, sums, text_chunks
 from pedalflow.llm.ship import ship
 
 TOKEN_LIMIT = 4096
-# A worker remembers the counts of so many pre-tokens of at most so many bytes (some 60 MB); others are counted anew.
-KNOWN_PRETOKENS, KNOWN_BYTES = 400_000, 24
+# A worker remembers the counts of so many pre-tokens of at most so many bytes (some 80 MB); others are counted anew.
+KNOWN_PRETOKENS, KNOWN_BYTES = 600_000, 24
 NO_PAIR = np.iinfo(np.int32).max
 _SPACE_MARK = "▁"
 _known: dict[str, dict[bytes, int]] = {}
