@@ -107,3 +107,13 @@ _DONE = ("doc_id", "text_sha256", "keep_id", "group_size")
 
 def _from(column: str, digit: int) -> Column:
     return F.expr(f"substring({column}, {digit + 1})").alias("rest")
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay."""
+    gone = (
+        exact_groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    )
+    marked = docs.withColumn("_own_sha", F.sha2(normal_bytes(), 256))
+    same = marked["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
+    return marked.join(gone, same, "left_anti").drop("_own_sha")

@@ -359,3 +359,18 @@ def identify(docs: DataFrame, known: Identifier) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         predict, f"doc_id {id_type}, lang_pred string, score double, rejected boolean"
     )
+
+
+def accepted(docs: DataFrame, known: Identifier) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not rejected."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(known)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory(len(shared.value.models))
+        for chunk in text_chunks(batches, "text"):
+            texts = ["" if t is None else t for t in chunk.column("text").to_pylist()]
+            yield chunk.filter(pa.array(~shared.value.predict(texts, memory)[2]))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -272,3 +272,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     labelled = signed.join(component, "set_key", "left")
     known = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return labelled.select("doc_id", "n_shingles", known.alias("component_id"), F.col("doc_id").eqNullSafe(known).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns; of each group of near duplicates that with the smallest doc_id."""
+    gone = near_duplicates(docs, size, percent).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
