@@ -111,9 +111,10 @@ def _from(column: str, digit: int) -> Column:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay."""
-    gone = (
-        exact_groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    )
-    marked = docs.withColumn("_own_sha", F.sha2(normal_bytes(), 256))
-    same = marked["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
-    return marked.join(gone, same, "left_anti").drop("_own_sha")
+    dropped = exact_groups(docs).filter("NOT kept")
+    gone = dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct()
+    # Columns of any name may come along, so they are packed away from those of the join.
+    packed = docs.select(F.struct("*").alias("row"))
+    packed = packed.withColumn("own_sha", F.sha2(normal_bytes("row.text"), 256))
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("own_sha") == F.col("gone_sha"))
+    return packed.join(gone, same, "left_anti").select("row.*")

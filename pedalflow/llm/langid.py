@@ -96,9 +96,8 @@ def distinct_words(texts: list[str]) -> Words:
 BOUNDARY = 1  # stands before and after every word; no letter has this code point
 
 
-def _grams(words: Words) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """Of each letter and word end to be predicted: its word, how many symbols stand before it (the word's
-    boundary included), and the hashes of the n-grams of length 1 .. ORDER that end there."""
+def _padded(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters with a boundary before and after each word, and of each symbol its word and its place in it."""
     n = len(words.offsets) - 1
     sizes = np.diff(words.offsets)
     padded = np.full(int(sizes.sum()) + 2 * n, BOUNDARY, np.int64)
@@ -108,17 +107,29 @@ def _grams(words: Words) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.n
     inside[begin + sizes + 1] = False
     padded[inside] = words.letters
     owner = np.repeat(np.arange(n), sizes + 2)
-    place = np.arange(len(padded)) - begin[owner]
+    return padded, owner, np.arange(len(padded)) - begin[owner]
+
+
+def _grams(words: Words) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of each letter and word end to be predicted: its word, how many symbols stand before it (the word's
+    boundary included), and the hashes of the n-grams of length 1 .. ORDER that end there."""
+    padded, owner, place = _padded(words)
     target = np.flatnonzero(place > 0)
     hashes, current = [], np.zeros(len(padded), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(ORDER):
             # Extend each n-gram to the left by the symbol k places before its end.
-            earlier = np.zeros(len(padded), np.uint64)
-            earlier[k:] = padded[: len(padded) - k].astype(np.uint64)
-            current = mix(current * np.uint64(0xD6E8FEB86659FD93) + earlier + np.uint64(k + 1))
+            current = mix(current * np.uint64(0xD6E8FEB86659FD93) + _earlier(padded, k) + np.uint64(k + 1))
             hashes.append(current[target])
-    return owner[target], place[target], hashes, current
+    return owner[target], place[target], hashes
+
+
+def _earlier(symbols: np.ndarray, k: int) -> np.ndarray:
+    """The symbol k places before each; 0 where there is none."""
+    out = np.zeros(len(symbols), np.uint64)
+    if k < len(symbols):
+        out[k:] = symbols[: len(symbols) - k]
+    return out
 
 
 class Level(NamedTuple):
@@ -139,7 +150,7 @@ def fit(words: Words, counts: np.ndarray) -> Model:
     The longest n-gram at a place, and those that start at the word's boundary, count how often they were
     seen; shorter ones count how many different symbols were seen before them.
     """
-    owner, place, hashes, _ = _grams(words)
+    owner, place, hashes = _grams(words)
     seen = counts[owner].astype(np.float64)
     context_hash = _contexts(words)
     levels = []
@@ -173,23 +184,12 @@ def fit(words: Words, counts: np.ndarray) -> Model:
 
 def _contexts(words: Words) -> list[np.ndarray]:
     """The hash of the symbols before each place, for n-grams of length 1 .. ORDER; the empty one is 0."""
-    n = len(words.offsets) - 1
-    sizes = np.diff(words.offsets)
-    begin = words.offsets[:-1] + 2 * np.arange(n)
-    total = int(sizes.sum()) + 2 * n
-    padded = np.full(total, BOUNDARY, np.int64)
-    inside = np.ones(total, bool)
-    inside[begin] = False
-    inside[begin + sizes + 1] = False
-    padded[inside] = words.letters
-    place = np.arange(total) - np.repeat(begin, sizes + 2)
+    padded, _, place = _padded(words)
     target = np.flatnonzero(place > 0)
-    out, current = [np.zeros(len(target), np.uint64)], np.zeros(total, np.uint64)
+    out, current = [np.zeros(len(target), np.uint64)], np.zeros(len(padded), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(1, ORDER):
-            earlier = np.zeros(total, np.uint64)
-            earlier[k:] = padded[: total - k].astype(np.uint64)
-            current = mix(current * np.uint64(0xD6E8FEB86659FD93) + earlier + np.uint64(k + 100))
+            current = mix(current * np.uint64(0xD6E8FEB86659FD93) + _earlier(padded, k) + np.uint64(k + 100))
             out.append(current[target])
     return out
 
@@ -204,7 +204,7 @@ def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing:
 def word_bits(models: list[Model], words: Words) -> np.ndarray:
     """Bits that each model needs for each distinct word, (models, words)."""
     n = len(words.offsets) - 1
-    owner, place, hashes, _ = _grams(words)
+    owner, place, hashes = _grams(words)
     if not len(owner):
         return np.zeros((len(models), n))
     context_hash = _contexts(words)

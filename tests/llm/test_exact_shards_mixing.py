@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from pedalflow.llm import exact, mixing, shards
+
+
+def normal(text):
+    return re.sub("[\x20\x09-\x0d]+", " ", text or "")
+
+
+def groups_by_hand(rows):
+    texts = defaultdict(list)
+    for r in rows:
+        texts[normal(r.text)].append(r.doc_id)
+    out = []
+    for r in rows:
+        ids = texts[normal(r.text)]
+        keep = min((i for i in ids if i is not None), default=None)
+        sha = hashlib.sha256(normal(r.text).encode()).hexdigest()
+        out.append((r.doc_id, keep, len(ids), r.doc_id == keep, sha))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("first_digit", [1, 7, 64])
+def test_copies_by_hand(awkward, first_digit):
+    got = exact.exact_groups(awkward, first_digit)
+    assert sorted(map(tuple, got.collect()), key=str) == groups_by_hand(awkward.collect())
+
+
+def test_texts_that_differ_late_or_only_in_length(spark):
+    base = "ab" * 700
+    texts = [base, base + "x", base + "y", base[:64], base[:64], base[:65], base, base[:-1] + "c", "é" * 600, "é" * 600, "é" * 599]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for digit in (1, 64):
+        assert sorted(map(tuple, exact.exact_groups(docs, digit).collect()), key=str) == groups_by_hand(docs.collect())
+
+
+def test_null_ids_alone_and_with_others(spark):
+    rows = [(None, "a"), (None, "a"), (None, "b"), (3, "b"), (None, "c" * 200), (None, "c" * 200), (None, "c" * 199 + "d"), (None, "c" * 199 + "d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, exact.exact_groups(docs).collect()), key=str) == groups_by_hand(docs.collect())
+    left = sorted((r.doc_id or 0, r.text[:1]) for r in exact.without_copies(docs).collect())
+    assert left == [(0, "a"), (0, "a"), (0, "c"), (0, "c"), (0, "c"), (0, "c"), (3, "b")]
+
+
+def test_rows_without_copies(awkward, empty):
+    left = exact.without_copies(awkward)
+    assert left.columns == awkward.columns
+    ids = sorted(r.doc_id or 0 for r in left.collect())
+    # 2, 8 repeat 1, 7; 5 repeats 4; the text of 9 and of one row without id is the same.
+    assert ids == [0, 1, 3, 4, 6, 7, 9, 9, 10, 11]
+    assert exact.exact_groups(empty).collect() == [] and exact.without_copies(empty).collect() == []
+
+
+def check_shards(docs, n_shards):
+    placed = shards.shard(docs, n_shards).collect()
+    given = docs.select("doc_id", "text").collect()
+    assert sorted(((r.doc_id or 0), r.size, r.text_crc32) for r in placed) == sorted(
+        ((r.doc_id or 0), len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in given
+    )
+    total, slots, per_slot = [0] * n_shards, defaultdict(list), defaultdict(int)
+    for r in placed:
+        assert r.law == "bytes" and r.grown_shard is None
+        total[r.shard] += r.size
+        per_slot[r.virtual_slot] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    if placed:
+        assert max(total) - min(total) <= max(per_slot.values())
+    return total
+
+
+def test_shards_have_nearly_equal_bytes(documents, awkward, empty):
+    check_shards(documents, 24)
+    check_shards(awkward, 3)
+    check_shards(empty, 24)
+
+
+def test_even_shards_on_more_documents(spark):
+    total = check_shards(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), 8)
+    assert max(total) < 1.01 * min(total)
+
+
+def test_a_rebalanced_map_moves_few_slots(spark, tmp_path):
+    loads = [(i * 37) % 101 + 1 for i in range(512)]
+    first = shards.first_map(loads, 8)
+    grown = shards.rebalanced(first, loads, 9)
+    total = [sum(n for n, s in zip(loads, grown) if s == shard) for shard in range(9)]
+    assert max(total) - min(total) <= max(loads)
+    moved = [s for s, (a, b) in enumerate(zip(first, grown)) if a != b]
+    assert len(moved) < 512 / 9 * 1.5 and sum(grown[s] == 8 for s in moved) > 0.7 * len(moved)
+    assert shards.rebalanced(grown, loads, 9) == grown
+    for version, shard_of in ((1, first), (2, grown)):
+        shards.store_map(spark, str(tmp_path / "map"), version, shard_of, [1] * 512)
+    for version, shard_of in ((1, first), (2, grown)):
+        stored = {r.virtual_slot: r.shard for r in shards.read_map(spark, str(tmp_path / "map"), version).collect()}
+        assert stored == dict(enumerate(shard_of))
+
+
+def test_sharding_uses_no_python(documents):
+    plan = shards.shard(documents)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Mixing -----------------------------------------------------------------------------------------------------------------
+
+
+def schedule_by_hand(quota, slots):
+    """Earliest deadline first over all sources, block by block."""
+    period, done, out = sum(quota), [0] * len(quota), []
+    for slot in range(slots):
+        due = [
+            (-(-(done[s] + 1) * period // q), s) for s, q in enumerate(quota) if done[s] * period // q <= slot
+        ]
+        _, s = min(due)
+        out.append((s, done[s]))
+        done[s] += 1
+    return out
+
+
+@pytest.mark.parametrize("quota", [[1], [5, 3, 8], [1, 1, 62], [7, 7, 7, 11], [32, 16, 8, 4, 2, 1, 1]])
+def test_each_source_is_less_than_a_block_from_its_weight(quota):
+    period = sum(quota)
+    blocks = mixing.one_period(quota)
+    assert [(s, b) for s, b, *_ in sorted(blocks, key=lambda x: x[4])] == schedule_by_hand(quota, period)
+    done = [0] * len(quota)
+    for source, block, release, deadline, slot in sorted(blocks, key=lambda x: x[4]):
+        assert release <= slot < deadline and block == done[source]
+        done[source] += 1
+        for s, q in enumerate(quota):
+            assert abs(done[s] * period - q * (slot + 1)) < period
+
+
+def test_quotas():
+    assert mixing.quotas(["a", "b"], {"a": 1, "b": 3}, 16) == [4, 12]
+    assert mixing.quotas(["a", "b", "c"], {"b": 1.0}, 10) == [1, 8, 1]
+    assert sum(mixing.quotas(list("abcdefg"), {c: i + 0.3 for i, c in enumerate("abcdefg")}, 64)) == 64
+    assert mixing.quotas(["a", "b"], {}, 8) == [4, 4] and mixing.quotas([], {}, 8) == []
+    with pytest.raises(ValueError, match="sources"):
+        mixing.quotas(["a", "b"], {}, 1)
+
+
+def test_mixed_rows(spark):
+    docs = spark.range(300).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source")
+    )
+    weights = {"hot": 2, "a": 1, "b": 1}
+    mixed = sorted(mixing.mix(docs, weights, block_rows=3, period=16).collect(), key=lambda r: r.position)
+    assert [r.position for r in mixed] == list(range(300)) and sorted(r.doc_id for r in mixed) == list(range(300))
+    quota = mixing.quotas(["a", "b", "hot"], weights, 16)
+    expected, left = [], {"a": 50, "b": 50, "hot": 200}
+    for s, block in schedule_by_hand(quota, 16 * 20):
+        name = ["a", "b", "hot"][s]
+        expected += [name] * max(0, min(3, left[name] - 3 * block))
+    assert [r.source for r in mixed] == expected
+    for name in left:
+        assert [r.doc_id for r in mixed if r.source == name] == sorted(r.doc_id for r in mixed if r.source == name)
+
+
+def test_awkward_rows(awkward, empty):
+    mixed = mixing.mix(awkward).collect()
+    assert sorted(r.position for r in mixed) == list(range(awkward.count()))
+    assert {r.source for r in mixed} == {"", "a", "b", "c"}
+    ordered = mixing.in_mixed_order(awkward)
+    assert ordered.columns == awkward.columns
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, awkward.collect()))
+    place = {}
+    for r in sorted(mixed, key=lambda r: r.position):
+        place.setdefault(r.doc_id, r.position)
+    places = [place[r.doc_id] for r in ordered.collect()]
+    assert places == sorted(places)
+    assert mixing.mix(empty).collect() == [] and mixing.in_mixed_order(empty).collect() == []
