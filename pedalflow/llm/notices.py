@@ -7,7 +7,7 @@ the ``regex`` library's bounded-error matching decides, counts the edits and giv
 
 Defined results: a text that is null, empty or without words has no words, no places and score 0; every
 row is scanned for itself and whole, so repeated rows get equal results; matches do not overlap within one
-notice, and of alternatives the one with fewest errors counts; an empty table gives an empty table; columns
+notice; of alternatives at one place the library's best match counts; an empty table gives an empty table; columns
 besides ``doc_id`` and ``text`` are not read.
 """
 
