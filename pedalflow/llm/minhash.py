@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalflow.llm import bitmaps
 from pedalflow.llm.arrays import LOWER, as_bytes, mix, offsets_of, ranges, span_hashes, sums, text_chunks
 from pedalflow.llm.links import by_runs, components_within, in_block_pairs, roots, stars, whole_runs
 from pedalflow.llm.scratch import stored
@@ -225,7 +226,11 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, size: int, percent: in
                 lowest.append(dst)
             yield _edge_batch(found, lowest, table.column("id").type)
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(members, "id")
+    # Texts outside all clusters are passed over before the shuffle.
+    given = bitmaps.with_chance(
+        docs.select(F.col("doc_id").alias("id"), "text"), [F.col("id")], bitmaps.pages(clusters.select("id")), "_chance"
+    )
+    texts = given.filter("_chance").drop("_chance").join(members, "id")
     sets = texts.mapInArrow(to_sets, f"id {id_type}, root {id_type}, _n bigint, shingles array<bigint>")
     paired = in_block_pairs(sets, F.col("_n"), "id")
     return by_runs(paired, "root").mapInArrow(link, f"src {id_type}, dst {id_type}").distinct()
@@ -276,5 +281,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns; of each group of near duplicates that with the smallest doc_id."""
-    gone = near_duplicates(docs, size, percent).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = stored(near_duplicates(docs, size, percent).filter("NOT kept").select("doc_id").distinct(), "near-copies")
+    # Columns of any name may come along, so they are packed away from those of the join.
+    packed = docs.select(F.struct("*").alias("row"), "doc_id")
+    marked = bitmaps.with_chance(packed, [F.col("doc_id")], bitmaps.pages(gone), "may_go")
+    left = marked.filter("may_go").join(gone, "doc_id", "left_anti").select("row")
+    return marked.filter("NOT may_go").select("row").unionByName(left).select("row.*")
