@@ -1,13 +1,13 @@
 """Exact duplicates by distributed MSD radix partitioning.
 
-All texts start as one group. Each round splits every group by its texts' next bytes (a digit of 64 bytes, then of
+All texts start as one group. Each round splits every group by its texts' next bytes (a digit of 256 bytes, then of
 16 times as many each round, so the number of rounds follows the logarithm of the longest text). A group of one is
 done, a group whose texts have ended holds equal texts; only the others go on, with the bytes not yet compared. Texts
 are compared by their bytes; the digest is only reported, and tells rows with one doc_id apart.
 
 A round is an aggregate of one row per group and digit, combined before the shuffle, so that a group with a third of
-all rows reaches a task as a few rows; the rows are then joined with the groups that go on, which are read from a
-table, so that adaptive execution can split a hot group over tasks.
+all rows reaches a task as a few rows; the rows are then joined with the groups that go on. Both sides are read from
+tables and the join is a sort-merge join at every size, which adaptive execution can split where a group is hot.
 
 Texts are equal when they are identical after each run of white space is replaced by one space; null counts as empty.
 Of equal texts the smallest doc_id stays. Rows of one text and one doc_id all stay or all go; rows with a null doc_id
@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pedalflow.llm import bitmaps
 from pedalflow.llm.scratch import stored
 
-FIRST_DIGIT, DIGIT_GROWTH = 64, 16
+FIRST_DIGIT, DIGIT_GROWTH = 256, 16
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -64,10 +65,12 @@ def exact_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT) -> DataFrame:
     done = [heads.filter("_ended").join(groups.filter("_ended"), ["_digit", "_ended"]).select(*_DONE)]
 
     going = groups.filter("NOT _ended").select("_digit", F.col("_label").alias("group"))
+    # Most texts are alone with their first digit; they are passed over before the shuffle.
+    longer = whole.filter(size > first_digit).withColumn("_digit", F.substring("rest", 1, first_digit))
+    chance = bitmaps.with_chance(longer, [F.col("_digit")], bitmaps.pages(going.select("_digit")), "_chance")
     active = stored(
-        whole.filter(size > first_digit)
-        .withColumn("_digit", F.substring("rest", 1, first_digit))
-        .join(going, "_digit")
+        chance.filter("_chance")
+        .join(going.hint("merge"), "_digit")
         .select("doc_id", F.sha2("rest", 256).alias("text_sha256"), "group", _from("rest", first_digit)),
         "radix-active",
     )
@@ -75,7 +78,7 @@ def exact_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT) -> DataFrame:
     while not active.isEmpty():
         cut, groups = _split(active, digit)
         joined = stored(
-            cut.join(groups, ["group", "_digit", "_ended"]).select(
+            cut.join(groups.hint("merge"), ["group", "_digit", "_ended"]).select(
                 *_DONE, "_ended", F.col("_label").alias("group"), _from("rest", digit)
             ),
             "radix-active",
@@ -112,9 +115,14 @@ def _from(column: str, digit: int) -> Column:
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay."""
     dropped = exact_groups(docs).filter("NOT kept")
-    gone = dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct()
+    gone = stored(
+        dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct(), "copies"
+    )
     # Columns of any name may come along, so they are packed away from those of the join.
     packed = docs.select(F.struct("*").alias("row"))
-    packed = packed.withColumn("own_sha", F.sha2(normal_bytes("row.text"), 256))
+    id_and_sha = packed.withColumn("own_sha", F.sha2(normal_bytes("row.text"), 256))
+    key = [F.col("row.doc_id"), F.col("own_sha")]
+    marked = bitmaps.with_chance(id_and_sha, key, bitmaps.pages(gone), "may_go")
     same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("own_sha") == F.col("gone_sha"))
-    return packed.join(gone, same, "left_anti").select("row.*")
+    left = marked.filter("may_go").join(gone, same, "left_anti")
+    return marked.filter("NOT may_go").unionByName(left).select("row.*")
