@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pedalflow.operators import documents, evolution, graph, graph_loops, relational
 from pedalflow.plans import timing
-from pedalflow.schemas import Mobility, TripDocs
+from pedalflow.schemas import Mobility
 from pedalflow.session import get_spark
 from pedalflow.sources import generate, storage
 
@@ -27,7 +27,7 @@ DEFAULT_SIZES = (1000, 10000, 2)
 SHOWN = 5
 
 
-def _load(spark: SparkSession, folder: str) -> tuple[Mobility, TripDocs]:
+def _load(spark: SparkSession, folder: str) -> tuple[Mobility, DataFrame]:
     return storage.read_tables(spark, f"{folder}/tables"), storage.read_docs(spark, f"{folder}/docs")
 
 
@@ -50,12 +50,12 @@ def queries(spark: SparkSession, folder: str, user_id: str = "1") -> None:
         for name, job in jobs.items():
             _report(f"{form} {name}", job())
     _report("reachable stations", graph.reachable_stations(data.trips, data.users, data.stations, int(user_id)))
-    _report("top stations", graph.top_stations(data.stations, data.trips))
+    _report("top stations", graph.top_stations(data.stations, data.trips, data.users))
 
 
 def spark_stats(spark: SparkSession, folder: str) -> None:
     data, docs = _load(spark, folder)
-    _report("user stats", relational.user_stats_nullable(data.users, documents.parsed_times(docs.docs)))
+    _report("user stats", relational.user_stats_nullable(data.users, documents.parsed_times(documents.one_per_trip(docs))))
 
 
 def graph_jobs(spark: SparkSession, folder: str) -> None:

@@ -1,8 +1,9 @@
 """The document form: trips that carry their events, and the analytics on it.
 
-A document holds at most ``MAX_EVENTS`` events (more only where the data is so large that a
-larger bound still splits every heavy trip, see ``embed_events``). The events of a larger trip
-are dealt over continuation documents in ``overflow``; the trip's own document then has none.
+A document is one row: the fields of a trip, ``part`` and ``events``. A trip's events in time order are cut into parts of
+``PART_EVENTS``; a trip with more has several documents, numbered from 0, and a trip without events one, whose array is
+empty. That rule is the whole form: it does not depend on how large the table or any other trip is. Part 0 stands for the
+trip where its events do not matter.
 """
 
 from __future__ import annotations
@@ -14,58 +15,60 @@ from pyspark.sql import functions as F
 
 from pedalflow.functions.scalars import format_ts, or_default, parse_ts
 from pedalflow.operators import relational
-from pedalflow.operators.skew import hot_keys
-from pedalflow.schemas import TripDocs
+from pedalflow.operators.numbering import number_rows
+from pedalflow.session import checkpoint
 
-MAX_EVENTS = 100_000  # about 10 MB of events
-MAX_OVERSIZE_TRIPS = 1_000_000  # bounds the broadcast id list to some 20 MB
+PART_EVENTS = 100_000  # about 10 MB of events
+# Rows that ``lookup`` puts into one array at most.
+MAX_MATCHES = 100_000
 
 TRIP_FIELDS = (
     "trip_id", "user_id", "start_station_id", "end_station_id", "start_time", "end_time", "total_cost"
 )
 
 
-def embed_events(
-    trips: DataFrame, events: DataFrame, max_events: int = MAX_EVENTS, max_oversize: int = MAX_OVERSIZE_TRIPS
-) -> TripDocs:
-    """One document per trip with its events in time order, ``[]`` where there are none.
+def embed_events(trips: DataFrame, events: DataFrame, part_events: int = PART_EVENTS) -> DataFrame:
+    """The documents of all trips; events of unknown trips drop out.
 
-    A trip is oversize when it has more than ``max_events`` events and more than 1/``max_oversize``
-    of all; fewer than ``max_oversize`` trips can be, so their ids may be broadcast. All events
-    of an oversize trip go to ``overflow`` in parts of about the bound.
+    Where no trip has more than ``part_events`` events, they are shuffled once. Trips with more have their events numbered
+    in a range partitioning, which no single task holds, and cut into parts by these numbers.
     """
-    counts = events.groupBy("trip_id").agg(F.count("*").alias("n"))
-    oversize = F.broadcast(hot_keys(counts, "trip_id", min_rows=max_events, max_keys=max_oversize))
+    counts = events.groupBy("trip_id").agg(F.count("*").alias("_events"))
+    large = checkpoint(counts.filter(F.col("trip_id").isNotNull() & (F.col("_events") > part_events)).select("trip_id"))
     element = F.struct(format_ts("timestamp").alias("timestamp"), "type", "value")
     embedded = F.sort_array(F.collect_list(element)).alias("events")
+    fields = trips.select(*[format_ts(c).alias(c) if c.endswith("_time") else F.col(c) for c in TRIP_FIELDS])
 
-    ordinary = events.join(oversize, "trip_id", "left_anti").groupBy("trip_id").agg(embedded)
-    part = F.pmod(F.xxhash64("event_id"), F.col("slots")).cast("int").alias("part")
-    overflow = events.join(oversize, "trip_id").groupBy("trip_id", part).agg(embedded)
+    if large.isEmpty():
+        return _documents(fields.join(events.groupBy("trip_id").agg(embedded), "trip_id", "left"))
+    ordinary = events.join(large, "trip_id", "left_anti").groupBy("trip_id").agg(embedded)
+    whole = _documents(fields.join(large, "trip_id", "left_anti").join(ordinary, "trip_id", "left"))
+    order = F.struct("trip_id", format_ts("timestamp").alias("timestamp"), "type", "value", "event_id")
+    numbered = number_rows(events.join(large, "trip_id").withColumn("_order", order), "_order", "_number").drop("_order")
+    first = checkpoint(numbered.groupBy("trip_id").agg(F.min("_number").alias("_first")))
+    part = F.floor((F.col("_number") - F.col("_first")) / part_events).alias("part")
+    parts = checkpoint(numbered.join(first, "trip_id").groupBy("trip_id", part).agg(embedded))
+    return whole.unionByName(_documents(fields.join(parts, "trip_id")))
 
-    fields = [format_ts(c).alias(c) if c.endswith("_time") else F.col(c) for c in TRIP_FIELDS]
-    docs = trips.select(*fields).join(ordinary, "trip_id", "left")
-    return TripDocs(docs.withColumn("events", _or_empty(F.col("events"), docs, "events")), overflow)
+
+def _documents(rows: DataFrame) -> DataFrame:
+    part = F.col("part") if "part" in rows.columns else F.lit(0)
+    events = _or_empty(F.col("events"), rows, "events")
+    return rows.select(*TRIP_FIELDS, part.cast("bigint").alias("part"), events.alias("events"))
 
 
 def _or_empty(array: Column, df: DataFrame, name: str) -> Column:
     return F.coalesce(array, F.array().cast(df.schema[name].dataType))
 
 
-def event_arrays(trip_docs: TripDocs) -> DataFrame:
-    """All ``(trip_id, events)`` of the documents and their continuations."""
-    return trip_docs.docs.select("trip_id", "events").unionByName(trip_docs.overflow.select("trip_id", "events"))
-
-
-def all_documents(trip_docs: TripDocs) -> DataFrame:
-    """Every document and every continuation, the latter with the fields of its trip."""
-    continued = trip_docs.overflow.select("trip_id", "events").join(trip_docs.docs.drop("events"), "trip_id")
-    return trip_docs.docs.unionByName(continued)
+def one_per_trip(docs: DataFrame) -> DataFrame:
+    """The trip fields, once per trip; the filter reaches the scan and the events are not read."""
+    return docs.filter(F.col("part") == 0).select(*TRIP_FIELDS)
 
 
-def unembed_events(trip_docs: TripDocs) -> DataFrame:
+def unembed_events(docs: DataFrame) -> DataFrame:
     """One row per embedded event."""
-    return event_arrays(trip_docs).select("trip_id", F.inline("events"))
+    return docs.select("trip_id", F.inline("events"))
 
 
 def has_event(event_type: str) -> Column:
@@ -73,18 +76,15 @@ def has_event(event_type: str) -> Column:
     return F.array_contains(F.col("events.type"), event_type)
 
 
-def docs_with_event(trip_docs: TripDocs, event_type: str) -> DataFrame:
-    """The documents, without their events, of trips with at least one event of the type."""
-    fields = [c for c in trip_docs.docs.columns if c != "events"]
-    direct = trip_docs.docs.filter(has_event(event_type)).select(fields)
-    continued = trip_docs.overflow.filter(has_event(event_type)).select("trip_id").distinct()
-    return direct.unionByName(trip_docs.docs.select(fields).join(continued, "trip_id", "left_semi"))
+def docs_with_event(docs: DataFrame, event_type: str, fields: tuple[str, ...] = TRIP_FIELDS) -> DataFrame:
+    """These trip fields, ``trip_id`` among them, of trips with at least one event of the type, once per trip, from one scan."""
+    return docs.filter(has_event(event_type)).select(*fields).distinct()
 
 
-def trip_details(trip_docs: TripDocs, users: DataFrame, stations: DataFrame) -> DataFrame:
+def trip_details(docs: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
     """Every trip document with its user and station names; times stay text."""
     people = users.select("user_id", "name", "surname", "country")
-    found = lookup_one(trip_docs.docs.select(*TRIP_FIELDS), people, "user_id", "user_id", "user")
+    found = lookup_one(one_per_trip(docs), people, "user_id", "user_id", "user")
     names = stations.select("station_id", "name")
     for end in ("start", "end"):
         found = lookup_one(found, names, f"{end}_station_id", "station_id", f"{end}_st")
@@ -106,9 +106,9 @@ def parsed_times(docs: DataFrame) -> DataFrame:
     return docs.withColumns({c: parse_ts(c) for c in ("start_time", "end_time")})
 
 
-def user_stats(trip_docs: TripDocs, users: DataFrame) -> DataFrame:
+def user_stats(docs: DataFrame, users: DataFrame) -> DataFrame:
     """Users with trips, most trips first; an id without a user keeps its numbers and has no name."""
-    stats = relational.trip_stats(parsed_times(trip_docs.docs))
+    stats = relational.trip_stats(parsed_times(one_per_trip(docs)))
     names = users.select("user_id", "name", "surname")
     return lookup_one(stats, names, "user_id", "user_id", "user", keep_missing=True).select(
         "user_id",
@@ -119,10 +119,10 @@ def user_stats(trip_docs: TripDocs, users: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_trips"), "user_id")
 
 
-def station_counts(trip_docs: TripDocs, stations: DataFrame) -> DataFrame:
+def station_counts(docs: DataFrame, stations: DataFrame) -> DataFrame:
     """Stations seen in a trip, busiest first; ids without a station are called 'unknown'."""
     return (
-        relational.station_traffic(trip_docs.docs)
+        relational.station_traffic(one_per_trip(docs))
         .join(stations, "station_id", "left")
         .select(
             "station_id",
@@ -135,29 +135,31 @@ def station_counts(trip_docs: TripDocs, stations: DataFrame) -> DataFrame:
     )
 
 
-def error_trips(trip_docs: TripDocs) -> DataFrame:
+def error_trips(docs: DataFrame) -> DataFrame:
     """Trips with an ERROR event, found without a join."""
-    return docs_with_event(trip_docs, relational.ERROR).select(
-        "trip_id", "user_id", "start_time", "end_time", "total_cost"
-    )
+    return docs_with_event(docs, relational.ERROR, ("trip_id", "user_id", "start_time", "end_time", "total_cost"))
 
 
-def lookup(left: DataFrame, right: DataFrame, local: str, foreign: str, into: str) -> DataFrame:
-    """Add ``into``: the array of ``right`` rows whose ``foreign`` equals ``local``, empty if none.
+def lookup(
+    left: DataFrame, right: DataFrame, local: str, foreign: str, into: str, max_matches: int = MAX_MATCHES
+) -> DataFrame:
+    """Add ``into``: the array of all ``right`` rows whose ``foreign`` equals ``local``, empty if none.
 
-    ``foreign`` is a unique key, so an array has one element at most and nothing is collected.
+    Null equals null. No array is built beyond ``max_matches`` rows: a key with more is an error, found by
+    counting before anything is collected; ``lookup_one`` joins such a side row by row.
     """
-    matches = right.select(F.col(foreign).alias("_key"), F.struct(*right.columns).alias("_match"))
-    joined = left.join(matches, F.col(local) == F.col("_key"), "left")
-    found = F.when(F.col("_key").isNotNull(), F.array("_match"))
-    empty = F.array().cast(f"array<{matches.schema['_match'].dataType.simpleString()}>")
-    return joined.withColumn(into, F.coalesce(found, empty)).drop("_key", "_match")
+    key = F.col(foreign).alias("_key")
+    if not right.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_matches).isEmpty():
+        raise ValueError(f"a value of {foreign} has more than {max_matches} rows")
+    matches = right.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*right.columns))).alias(into))
+    joined = left.join(matches, F.col(local).eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn(into, _or_empty(F.col(into), joined, into)).drop("_key")
 
 
 def lookup_one(
     left: DataFrame, right: DataFrame, local: str, foreign: str, into: str, keep_missing: bool = False
 ) -> DataFrame:
-    """``lookup`` and ``unwind`` in one join: ``into`` is the matching row itself."""
+    """``lookup`` and ``unwind`` in one join: ``into`` is a matching row itself."""
     matches = right.select(F.col(foreign).alias("_key"), F.struct(*right.columns).alias(into))
     how = "left" if keep_missing else "inner"
     return left.join(matches, F.col(local) == F.col("_key"), how).drop("_key")
@@ -170,14 +172,17 @@ def unwind(df: DataFrame, array: str, keep_empty: bool = False) -> DataFrame:
 
 
 def unwind_events(
-    trip_docs: TripDocs, wanted: Callable[[Column], Column], keep_empty: bool = False
+    docs: DataFrame, wanted: Callable[[Column], Column] | None = None, keep_empty: bool = False
 ) -> DataFrame:
-    """The trip fields once per ``wanted`` event; a trip without one is dropped, or kept with a null event."""
-    events = F.filter("events", wanted).alias("event")
-    fields = trip_docs.docs.drop("events")
-    whole = trip_docs.docs.select(*fields.columns, events)
-    more = trip_docs.overflow.select("trip_id", events).filter(F.size("event") > 0)
-    if keep_empty:
-        # The own document of a trip with continuations is empty.
-        whole = whole.join(more.select("trip_id").distinct(), "trip_id", "left_anti")
-    return unwind(whole, "event", keep_empty).unionByName(unwind(more.join(fields, "trip_id"), "event"))
+    """The trip fields once per event, or per ``wanted`` event, in ``event``; a trip without one is dropped, or kept
+    once with a null event."""
+    events = F.col("events") if wanted is None else F.filter("events", wanted)
+    rows = docs.select(*TRIP_FIELDS, "part", events.alias("event"))
+    found = unwind(rows.drop("part"), "event")
+    if not keep_empty:
+        return found
+    if wanted is None:  # only the one document of a trip without events is empty
+        return unwind(rows.drop("part"), "event", keep_empty=True)
+    with_one = rows.filter((F.size("event") > 0) & (F.col("part") > 0)).select("trip_id").distinct()
+    none = rows.filter((F.col("part") == 0) & (F.size("event") == 0)).drop("part")
+    return found.unionByName(unwind(none.join(with_one, "trip_id", "left_anti"), "event", keep_empty=True))

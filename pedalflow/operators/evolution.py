@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pedalflow.operators.documents import event_arrays, has_event
-from pedalflow.schemas import TripDocs
+from pedalflow.operators.documents import has_event
 
 BATTERY = "BATTERY"
 FIELD = "battery_level"
@@ -49,9 +48,9 @@ def add_battery_level(events: DataFrame) -> DataFrame:
     return checked(evolved.withColumn(FIELD, level))
 
 
-def add_battery_level_docs(trip_docs: TripDocs) -> TripDocs:
-    """Set the level of every BATTERY element, whether it had one or not; other elements keep theirs."""
-    return TripDocs(*(df.withColumn("events", _with_levels(df)) for df in trip_docs))
+def add_battery_level_docs(docs: DataFrame) -> DataFrame:
+    """Set the level of every BATTERY element, whether it had one or not; all else in a document stays."""
+    return docs.withColumn("events", _with_levels(docs))
 
 
 def _with_levels(df: DataFrame) -> Column:
@@ -75,17 +74,16 @@ def evolve_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def evolve_counts_docs(trip_docs: TripDocs) -> DataFrame:
+def evolve_counts_docs(docs: DataFrame) -> DataFrame:
     """Trips with a BATTERY event, and those among them that the update changes."""
-    arrays = event_arrays(trip_docs)
-    has_field = FIELD in arrays.schema["events"].dataType.elementType.fieldNames()
+    has_field = FIELD in docs.schema["events"].dataType.elementType.fieldNames()
 
     def changes(e: Column) -> Column:
         battery = e["type"] == BATTERY
         return battery & ~e[FIELD].eqNullSafe(F.lit(DEFAULT_LEVEL)) if has_field else battery
 
     return (
-        arrays.filter(has_event(BATTERY))
+        docs.filter(has_event(BATTERY))
         .groupBy("trip_id")
         .agg(F.max(F.exists("events", changes)).alias("changed"))
         .agg(F.count("*").alias("matched"), F.count_if("changed").alias("modified"))
@@ -103,9 +101,9 @@ def evolve_sample(events: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def evolve_sample_docs(trip_docs: TripDocs, n: int = 3) -> DataFrame:
+def evolve_sample_docs(docs: DataFrame, n: int = 3) -> DataFrame:
     """The BATTERY elements of the first n trips that have one."""
-    arrays = event_arrays(add_battery_level_docs(trip_docs)).filter(has_event(BATTERY))
+    arrays = add_battery_level_docs(docs).filter(has_event(BATTERY))
     first = arrays.select("trip_id").distinct().orderBy("trip_id").limit(n)
     elements = F.filter("events", lambda e: e["type"] == BATTERY)
     return (

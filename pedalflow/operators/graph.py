@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalflow.functions.scalars import format_ts, or_default
-from pedalflow.operators.relational import station_traffic
 
 PERFORMED, STARTS_AT, ENDS_AT = "PERFORMED", "STARTS_AT", "ENDS_AT"
 
@@ -35,16 +34,19 @@ def vertices(users: DataFrame, stations: DataFrame, trips: DataFrame) -> dict[st
 
 
 def vertex_list(labelled: dict[str, DataFrame]) -> DataFrame:
-    """All vertices as (label, id, properties in JSON)."""
+    """All vertices as label, id and the properties of all labels; null where a label lacks one."""
     parts = [
-        df.select(
-            F.lit(label).alias("label"),
-            F.col(VERTEX_KEYS[label]).alias("id"),
-            F.to_json(F.struct(*[c for c in df.columns if c != VERTEX_KEYS[label]])).alias("properties"),
-        )
-        for label, df in labelled.items()
+        df.withColumnRenamed(VERTEX_KEYS[label], "id").select(F.lit(label).alias("label"), "*") for label, df in labelled.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def merge_graph(
+    vertices_in: dict[str, DataFrame], edges_in: DataFrame, vertices_new: dict[str, DataFrame], edges_new: DataFrame
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``merge_upsert`` for the vertices of every label and for the relationships of every type."""
+    merged = {label: merge_upsert(df, vertices_new[label]) for label, df in vertices_in.items()}
+    return merged, merge_upsert(edges_in, edges_new)
 
 
 def merge_upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -90,20 +92,29 @@ def station_edges(edges: DataFrame) -> DataFrame:
     return starts.unionByName(ends)
 
 
-def two_hop_paths(edges: DataFrame, stations: DataFrame) -> DataFrame:
+def _named_ends(pairs: DataFrame, stations: DataFrame, *kept: str) -> DataFrame:
+    """Both stations of distinct ``start_station_id``, ``end_station_id`` pairs as rows of their own, distinct; a pair
+    with an unknown end drops out. ``stations`` is joined once per end and brings its other columns along."""
+    others = [c for c in stations.columns if c != "station_id"]
+    named = pairs
+    for end in ("start", "end"):
+        fields = F.struct(*stations.columns).alias(f"_{end}")
+        known = stations.select(F.col("station_id").alias(f"{end}_station_id"), fields)
+        named = named.join(known, f"{end}_station_id")
+    station = F.explode(F.array("_start", "_end")).alias("_station")
+    return named.select(*kept, station).select(*kept, "_station.station_id", *[f"_station.{c}" for c in others]).distinct()
+
+
+def two_hop_paths(trips: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
     """Distinct User-PERFORMED->Trip-STARTS_AT|ENDS_AT->Station end points.
 
-    Both joins meet on a trip id, of which a trip has three edges at most, or on the station
-    vertex after the pairs were made distinct.
+    A trip's row holds its whole path, so the trips are read once and reduced to distinct
+    user, start and end before they meet another table.
     """
-    performed = edges.filter(F.col("rel") == PERFORMED).select(
-        F.col("src").alias("user_id"), F.col("dst").alias("trip_id")
-    )
-    reached = edges.filter(F.col("rel").isin(STARTS_AT, ENDS_AT)).select(
-        F.col("src").alias("trip_id"), F.col("dst").alias("station_id")
-    )
-    pairs = performed.join(reached, "trip_id").select("user_id", "station_id").distinct()
-    return pairs.join(stations.select("station_id", F.col("name").alias("station_name")), "station_id")
+    triples = trips.select("user_id", "start_station_id", "end_station_id").distinct()
+    known = triples.join(users.select("user_id"), "user_id", "left_semi")
+    names = stations.select("station_id", F.col("name").alias("station_name"))
+    return _named_ends(known, names, "user_id").select("station_id", "user_id", "station_name")
 
 
 def reachable_stations(trips: DataFrame, users: DataFrame, stations: DataFrame, user_id: int = 1) -> DataFrame:
@@ -113,35 +124,38 @@ def reachable_stations(trips: DataFrame, users: DataFrame, stations: DataFrame,
     they meet another table.
     """
     own = trips.filter(F.col("user_id") == F.lit(user_id)).select("user_id", "start_station_id", "end_station_id")
-    ends = F.explode(F.array("start_station_id", "end_station_id")).alias("station_id")
-    ids = linked_trips(own.distinct(), users, stations).select(ends).distinct()
-    return (
-        ids.join(stations, "station_id")
-        .select("station_id", F.col("name").alias("station_name"), "city")
-        .orderBy("station_name", "station_id")
-    )
+    known = own.distinct().join(users.select("user_id"), "user_id", "left_semi")
+    named = stations.select("station_id", F.col("name").alias("station_name"), "city")
+    return _named_ends(known, named).orderBy("station_name", "station_id")
 
 
-def optional_match(stations: DataFrame, trips: DataFrame) -> DataFrame:
+def optional_match(stations: DataFrame, trips: DataFrame, users: DataFrame) -> DataFrame:
     """Every station with its incoming and outgoing trips, 0 where there are none.
 
-    Trips without user, start or end have no edges. References are taken to be sound
-    (``quality.orphans``); else pass ``linked_trips``.
+    Trips whose user, start or end is null or unknown have no edges. Trips are reduced to counts
+    per user, start and end before these are looked up.
     """
-    connected = trips.dropna(subset=["user_id", "start_station_id", "end_station_id"])
-    return stations.join(station_traffic(connected), "station_id", "left").select(
+    ends = ["start_station_id", "end_station_id"]
+    counted = trips.groupBy("user_id", *ends).agg(F.count("*").alias("n"))
+    connected = linked_trips(counted, users, stations)
+    both = F.array(
+        F.struct(F.col(ends[0]).alias("station_id"), F.lit(0).alias("i"), F.col("n").alias("o")),
+        F.struct(F.col(ends[1]).alias("station_id"), F.col("n").alias("i"), F.lit(0).alias("o")),
+    )
+    traffic = connected.select(F.inline(both)).groupBy("station_id").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
+    return stations.join(traffic, "station_id", "left").select(
         "station_id",
         F.col("name").alias("station_name"),
         "city",
-        or_default("trips_ending", 0).alias("incoming"),
-        or_default("trips_starting", 0).alias("outgoing"),
+        or_default("i", 0).alias("incoming"),
+        or_default("o", 0).alias("outgoing"),
     )
 
 
-def top_stations(stations: DataFrame, trips: DataFrame, k: int = 3) -> DataFrame:
+def top_stations(stations: DataFrame, trips: DataFrame, users: DataFrame, k: int = 3) -> DataFrame:
     """The k stations with the most incoming and outgoing trips; ties go to the lower id."""
     return (
-        optional_match(stations, trips)
+        optional_match(stations, trips, users)
         .withColumn("total_trips", F.col("incoming") + F.col("outgoing"))
         .orderBy(F.desc("total_trips"), "station_id")
         .limit(k)
@@ -168,13 +182,14 @@ def with_known_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def degrees(edges: DataFrame) -> DataFrame:
-    """In, out and total degree of every vertex that has an edge."""
+def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """In, out and total degree of every vertex; ends that are no vertex count for the other end only."""
     ends = F.array(
         F.struct(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")),
         F.struct(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")),
     )
-    counted = edges.select(F.inline(ends)).groupBy("id").agg(
-        F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree")
-    )
-    return counted.withColumn("degree", F.col("in_degree") + F.col("out_degree"))
+    counted = edges.select(F.inline(ends)).groupBy("id").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
+    known = nodes.select("id").join(counted, "id", "left")
+    return known.select(
+        "id", or_default("i", 0).alias("in_degree"), or_default("o", 0).alias("out_degree")
+    ).withColumn("degree", F.col("in_degree") + F.col("out_degree"))

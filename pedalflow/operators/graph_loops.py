@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from pedalflow.operators.graph import weighted_links, with_known_ends
 from pedalflow.operators.numbering import number_rows
-from pedalflow.operators.skew import MIN_HOT_ROWS, hot_keys, replicate, salted_join, spread
-from pedalflow.session import checkpoint, fixed_plans, shuffle_partitions
+from pedalflow.operators.skew import TARGET_ROWS, hot_keys, replicate, salted_join, spread
+from pedalflow.session import checkpoint, in_session, planning_session
 
 RESET = 0.15
 ITERATIONS = 10
-# Small graphs use fewer partitions than the session's; never one, which Spark would shuffle again.
-ROWS_PER_PARTITION = 25_000
+# Links in a partition of the rounds. There are two partitions at least: one alone Spark would shuffle again.
+LINKS_PER_PARTITION = 25_000
 
 
 def pagerank(
@@ -25,7 +25,7 @@ def pagerank(
     edges: DataFrame,
     reset: float = RESET,
     iterations: int = ITERATIONS,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """``nodes`` with their ``pagerank`` after a fixed number of rounds.
 
@@ -34,32 +34,35 @@ def pagerank(
     number of vertices. Links are laid out once by source, or by (source, slot) with a busy
     source dealt over several slots, and stay put: a round moves the partial sums per target.
     """
-    spark = nodes.sparkSession
     links = checkpoint(with_known_ends(weighted_links(edges), nodes))
     sources = links.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n"))
     n_links, busiest = sources.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    parts = max(2, min(shuffle_partitions(spark), n_links // ROWS_PER_PARTITION))
+    parts = max(2, -(-n_links // LINKS_PER_PARTITION))
+    # The rounds are planned in a session of their own; the caller's keeps its settings.
+    loop = planning_session(nodes.sparkSession, parts)
+    links = in_session(loop, links, "links")
+    ids = in_session(loop, nodes.select("id"), "vertices")
+    sources = links.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n"))
     hot, on = None, ["src"]
-    if busiest > min_hot_rows:
-        hot, on = checkpoint(hot_keys(sources, "src", min_rows=min_hot_rows)), ["src", "slot"]
+    if busiest > target_rows:
+        hot, on = hot_keys(sources, "src", target_rows=target_rows), ["src", "slot"]
     salted = links if hot is None else spread(links, hot, "src", F.col("dst"))
     out_degrees = sources.select(F.col("src").alias("id"), "out_degree")
 
-    with fixed_plans(spark, parts):
-        placed = _settle(salted, parts, on)
-        state = _settle(nodes.select("id").join(out_degrees, "id", "left"), parts, ["id"])
-        ranks = state.withColumn("rank", F.lit(1.0))
-        for _ in range(iterations):
-            ranks = checkpoint(_pass_ranks(placed, state, ranks, hot, on, reset))
+    placed = _settle(salted, parts, on)
+    state = _settle(ids.join(out_degrees, "id", "left"), parts, ["id"])
+    ranks = state.withColumn("rank", F.lit(1.0))
+    for _ in range(iterations):
+        ranks = checkpoint(_pass_ranks(placed, state, ranks, hot, on, reset))
 
-    ranks = ranks.select("id", "rank")
+    ranks = in_session(nodes.sparkSession, ranks.select("id", "rank"), "ranks")
     scale = ranks.agg((F.count("*") / F.sum("rank")).alias("scale")).scalar()
     scaled = ranks.withColumn("pagerank", F.col("rank") * scale).drop("rank")
     return nodes.join(scaled, "id")
 
 
 def _settle(df: DataFrame, parts: int, on: list[str]) -> DataFrame:
-    """Write ``df`` laid out and sorted by ``on``; under ``fixed_plans`` joins on ``on`` do not move it again."""
+    """Write ``df`` laid out and sorted by ``on``; in the loop's session joins on ``on`` do not move it again."""
     return checkpoint(df.repartition(parts, *on).sortWithinPartitions(*on))
 
 
@@ -90,7 +93,7 @@ def pagerank_top(nodes: DataFrame, edges: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def _stars(nodes: DataFrame, edges: DataFrame, min_hot_rows: int) -> tuple[DataFrame, int]:
+def _stars(nodes: DataFrame, edges: DataFrame, target_rows: int) -> tuple[DataFrame, int]:
     """``(u, v)``: every vertex u on the lowest vertex v of its component, and the most links at a vertex.
 
     Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in
@@ -104,9 +107,9 @@ def _stars(nodes: DataFrame, edges: DataFrame, min_hot_rows: int) -> tuple[DataF
     links = checkpoint(known.select(F.col("src").alias("u"), F.col("dst").alias("v")))
     unfinished, busiest = _progress(links)
     while unfinished:
-        salted = busiest > min_hot_rows
-        links = checkpoint(_large_star(links, min_hot_rows, salted))
-        links = checkpoint(_small_star(links, min_hot_rows, salted))
+        salted = busiest > target_rows
+        links = checkpoint(_large_star(links, target_rows, salted))
+        links = checkpoint(_small_star(links, target_rows, salted))
         unfinished, busiest = _progress(links)
     return links, busiest
 
@@ -116,9 +119,9 @@ def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select("id").join(hung, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def component_roots(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def component_roots(nodes: DataFrame, edges: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     """``(id, root)``: the lowest vertex id in each vertex's component, edges taken both ways."""
-    return _roots(nodes, _stars(nodes, edges, min_hot_rows)[0])
+    return _roots(nodes, _stars(nodes, edges, target_rows)[0])
 
 
 def _progress(links: DataFrame) -> tuple[int, int]:
@@ -137,35 +140,35 @@ def _progress(links: DataFrame) -> tuple[int, int]:
     )
 
 
-def _large_star(links: DataFrame, min_hot_rows: int, salted: bool) -> DataFrame:
+def _large_star(links: DataFrame, target_rows: int, salted: bool) -> DataFrame:
     """Hang every higher neighbour of u on the lowest vertex among u and its neighbours."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    hot = hot_keys(lowest, "u", min_rows=min_hot_rows) if salted else None
+    hot = hot_keys(lowest, "u", target_rows=target_rows) if salted else None
     root = F.least("u", "m").alias("m")
     joined = salted_join(both, lowest.select("u", root), hot, "u", F.col("v"))
     return joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(links: DataFrame, min_hot_rows: int, salted: bool) -> DataFrame:
+def _small_star(links: DataFrame, target_rows: int, salted: bool) -> DataFrame:
     """Hang u and its lower neighbours on the lowest of these."""
     lowest = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    hot = hot_keys(lowest, "u", min_rows=min_hot_rows) if salted else None
+    hot = hot_keys(lowest, "u", target_rows=target_rows) if salted else None
     joined = salted_join(links, lowest.select("u", "m"), hot, "u", F.col("v"))
     moved = joined.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     """``(id, name, city, component)`` in the order of component and id; components count from 0 by lowest id."""
-    links, busiest = _stars(nodes, edges, min_hot_rows)
+    links, busiest = _stars(nodes, edges, target_rows)
     roots = _roots(nodes, links)
     # A root is the one vertex that is its own root.
     numbers = number_rows(roots.filter(F.col("id") == F.col("root")).select("root"), "root", "component")
     hot = None
-    if busiest >= min_hot_rows:  # a component has one vertex more than its root has links
+    if busiest >= target_rows:  # a component has one vertex more than its root has links
         sizes = roots.groupBy("root").agg(F.count("*").alias("n"))
-        hot = hot_keys(sizes, "root", min_rows=min_hot_rows)
+        hot = hot_keys(sizes, "root", target_rows=target_rows)
     labelled = salted_join(roots, numbers, hot, "root", F.col("id"))
     return (
         nodes.join(labelled.select("id", "component"), "id")

@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalflow.functions.scalars import or_default
-from pedalflow.operators.relational import trip_stats
+from pedalflow.functions.scalars import duration_seconds, or_default
 
 
 def user_stats(spark: SparkSession, users_table: str, trips_table: str) -> DataFrame:
-    """``relational.user_stats`` without its order, on users and trips bucketed by ``user_id``.
+    """``relational.user_stats`` without its order, on users and trips laid out by ``user_id``.
 
-    Grouping and joining ordinary users shuffle nothing. The trips of hot users lie apart and
-    shrink to one row per hot user, of which there are fewer than MAX_HOT_KEYS.
+    Grouping and joining the trips of ordinary users (salt 0) shuffles nothing. Those of hot users are first reduced
+    where they lie, to one row for each of a user's salts; only these rows move.
     """
-    ordinary = spark.table(users_table).join(trip_stats(spark.table(trips_table)), "user_id", "left")
-    hot = trip_stats(spark.table(f"{trips_table}_hot")).select(
-        "user_id", F.col("total_trips").alias("hot_trips"), F.col("avg_duration_minutes").alias("hot_minutes")
-    )
-    return ordinary.join(F.broadcast(hot), "user_id", "left").select(
+    trips = spark.table(trips_table)
+    sums = [F.count("*").alias("n"), F.sum(duration_seconds("start_time", "end_time")).alias("s"),
+            F.count(duration_seconds("start_time", "end_time")).alias("timed")]
+    ordinary = trips.filter("salt = 0").groupBy("user_id", "salt").agg(*sums)
+    per_salt = trips.filter("salt > 0").groupBy("user_id", "salt").agg(*sums)
+    hot = per_salt.groupBy("user_id").agg(*[F.sum(c).alias(f"hot_{c}") for c in ("n", "s", "timed")])
+    known = spark.table(users_table).join(ordinary, ["user_id", "salt"], "left").join(hot, "user_id", "left")
+    seconds, timed = F.coalesce("hot_s", "s"), F.coalesce("hot_timed", "timed")
+    return known.select(
         "user_id",
         "name",
         "surname",
-        or_default(F.coalesce("hot_trips", "total_trips"), 0).alias("total_trips"),
-        F.coalesce("hot_minutes", "avg_duration_minutes").alias("avg_duration_minutes"),
+        or_default(F.coalesce("hot_n", "n"), 0).alias("total_trips"),
+        F.when(timed > 0, seconds.cast("double") / timed / F.lit(60.0)).alias("avg_duration_minutes"),
     )

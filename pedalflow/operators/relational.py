@@ -115,21 +115,15 @@ def trips_per_station(stations: DataFrame, trips: DataFrame) -> DataFrame:
 
 
 def merge_counts(trips: DataFrame) -> DataFrame:
-    """Two keyed counts merged on the station id; a count missing on one side is 0."""
-    starts = trips.groupBy(F.col("start_station_id").alias("station_id")).agg(F.count("*").alias("starts"))
-    ends = trips.groupBy(F.col("end_station_id").alias("station_id")).agg(F.count("*").alias("ends"))
-    return starts.join(ends, "station_id", "full_outer").select(
-        "station_id", or_default("starts", 0).alias("starts"), or_default("ends", 0).alias("ends")
+    """Two keyed counts merged on the station id; a count missing on one side is 0. The null id is a key like others."""
+    return station_traffic(trips).select(
+        "station_id", F.col("trips_starting").alias("starts"), F.col("trips_ending").alias("ends")
     )
 
 
 def visited_station_ids(trips: DataFrame) -> DataFrame:
-    """The distinct ids of stations where a trip starts or ends."""
-    return (
-        trips.select(F.explode(F.array("start_station_id", "end_station_id")).alias("station_id"))
-        .filter(F.col("station_id").isNotNull())
-        .distinct()
-    )
+    """The distinct ids of stations where a trip starts or ends, the null id included."""
+    return trips.select(F.explode(F.array("start_station_id", "end_station_id")).alias("station_id")).distinct()
 
 
 def distinct_ends(trips: DataFrame) -> DataFrame:

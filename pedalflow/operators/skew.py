@@ -10,41 +10,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/MAX_HOT_KEYS of all rows, so fewer than MAX_HOT_KEYS
-# keys can be hot whatever the data: the list may be broadcast.
-MAX_HOT_KEYS = 1000
-# Below this many rows a key is never split.
-MIN_HOT_ROWS = 1_000_000
-
-
-def hot_keys(
-    counts: DataFrame, key: str, n: str = "n", min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """``(key, slots)`` of the hot keys among pre-aggregated ``(key, n)`` counts; fewer than ``max_keys`` rows."""
-    known = counts.filter(F.col(key).isNotNull())
-    total = known.agg(F.sum(n).alias("total")).select(F.col("total") / F.lit(max_keys)).scalar()
-    share = F.greatest(F.lit(float(min_rows)), total)
-    return (
-        known.select(F.col(key), F.col(n).alias("_rows"), share.alias("_share"))
-        .filter(F.col("_rows") > F.col("_share"))
-        .select(key, F.ceil(F.col("_rows") / F.col("_share")).cast("int").alias("slots"))
-    )
+from pedalflow.session import checkpoint
+
+# Rows of one key that a task takes at most; a key with more is dealt over several.
+TARGET_ROWS = 1_000_000
+# A list of hot keys up to this length (some 20 MB) is broadcast; a longer one is joined like any table.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def hot_keys(counts: DataFrame, key: str, n: str = "n", target_rows: int = TARGET_ROWS) -> DataFrame:
+    """``(key, slots)`` of the keys with more than ``target_rows`` rows among pre-aggregated ``(key, n)`` counts.
+
+    The number of slots follows the rows of the key alone, whatever the size of the table. The list is written
+    once, and marked for broadcast if its length allows it.
+    """
+    slots = F.ceil(F.col(n) / F.lit(target_rows)).cast("int").alias("slots")
+    hot = checkpoint(counts.filter(F.col(key).isNotNull() & (F.col(n) > target_rows)).select(key, slots))
+    return F.broadcast(hot) if hot.count() <= MAX_BROADCAST_KEYS else hot
 
 
 def spread(fact: DataFrame, hot: DataFrame, key: str, by: Column) -> DataFrame:
     """Add ``slot``: rows of a hot key are dealt over its slots by ``by``, all others get 0."""
     return (
-        fact.join(F.broadcast(hot), key, "left")
+        fact.join(hot, key, "left")
         .withColumn("slot", F.coalesce(F.pmod(F.xxhash64(by), F.col("slots")).cast("int"), F.lit(0)))
         .drop("slots")
     )
 
 
 def replicate(dim: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Repeat the rows of hot keys once per slot; fewer than 2 * MAX_HOT_KEYS extra rows for a unique key."""
+    """Repeat the rows of hot keys once per slot."""
     slots = F.coalesce(F.col("slots"), F.lit(1))
     return (
-        dim.join(F.broadcast(hot), key, "left")
+        dim.join(hot, key, "left")
         .withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1)))
         .drop("slots")
     )
@@ -53,7 +51,7 @@ def replicate(dim: DataFrame, hot: DataFrame, key: str) -> DataFrame:
 def salted_join(fact: DataFrame, dim: DataFrame, hot: DataFrame | None, key: str, by: Column) -> DataFrame:
     """Inner join of ``fact`` with ``dim`` (unique on ``key``) in which no task gets a whole hot key.
 
-    ``hot`` is None where the caller has counted that no key reaches MIN_HOT_ROWS.
+    ``hot`` is None where the caller has counted that no key has more than TARGET_ROWS.
     """
     if hot is None:
         return fact.join(dim, key)

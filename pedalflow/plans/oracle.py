@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pedalflow.operators.documents import PART_EVENTS
 from pedalflow.operators.graph_loops import ITERATIONS, RESET
 from pedalflow.sources import generate as g
 
@@ -26,7 +27,7 @@ trips AS (
               JOIN ranked_lines g ON g.l_orderkey = o_orderkey AND g.z = 1),
 trip_events AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                   date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) AS event_id,
+                   epoch_us(l_shipdate)) AS event_id,
          l_orderkey AS trip_id, l_shipdate AS timestamp,
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'ERROR' WHEN l_returnflag = 'R' THEN 'DELAY'
               WHEN l_returnflag = 'A' THEN 'GPS' ELSE 'BATTERY' END AS type,
@@ -37,19 +38,22 @@ leveled_events AS (
                  THEN CAST(replace(value, '%', '') AS INT) END AS battery_level
   FROM trip_events),
 element AS (
-  SELECT trip_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, type, value FROM trip_events),
+  SELECT trip_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, type, value,
+         (row_number() OVER (PARTITION BY trip_id ORDER BY strftime(timestamp, '%Y-%m-%d %H:%M:%S'), type, value, event_id) - 1)
+           // {part_events} AS part
+  FROM trip_events WHERE trip_id IN (SELECT trip_id FROM trips)),
 texts AS (
   SELECT trip_id, user_id, start_station_id, end_station_id,
          strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
          strftime(end_time, '%Y-%m-%d %H:%M:%S') AS end_time, total_cost
   FROM trips),
 arrays AS (
-  SELECT trip_id, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value)
+  SELECT trip_id, part, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value)
                                ORDER BY timestamp, type, value))::VARCHAR AS events
-  FROM element GROUP BY trip_id),
+  FROM element GROUP BY ALL),
 links AS (
   SELECT start_station_id AS src, end_station_id AS dst, count(*) AS weight FROM trips GROUP BY ALL)
-"""
+""".replace("{part_events}", str(PART_EVENTS))
 
 
 def _sql(body: str, more: str = "", recursive: bool = False) -> str:
@@ -59,23 +63,38 @@ def _sql(body: str, more: str = "", recursive: bool = False) -> str:
 MINUTES = "date_diff('second', start_time, end_time) / 60.0"
 MEAN_MINUTES = "avg(date_diff('second', t.start_time, t.end_time)) / 60.0"
 
-_Q2 = f"""
-SELECT u.user_id, u.name, u.surname, count(t.trip_id) AS total_trips, {MEAN_MINUTES} AS avg_duration_minutes
-FROM users u LEFT JOIN trips t ON u.user_id = t.user_id GROUP BY ALL"""
+_Q2 = """
+SELECT users.user_id, name, surname, coalesce(n, 0) AS total_trips, seconds / n / 60.0 AS avg_duration_minutes
+FROM users LEFT JOIN (
+  SELECT user_id AS rider, count(*) AS n, sum(date_diff('second', start_time, end_time))::DOUBLE AS seconds
+  FROM trips GROUP BY rider) ON rider = users.user_id"""
 
 _TRAFFIC = """
 starts AS (SELECT start_station_id AS station_id, count(*) AS n FROM trips GROUP BY ALL),
 ends AS (SELECT end_station_id AS station_id, count(*) AS n FROM trips GROUP BY ALL)"""
 
+_LINKED = """
+linked AS (
+  SELECT * FROM trips WHERE user_id IN (SELECT user_id FROM users)
+    AND start_station_id IN (SELECT station_id FROM stations) AND end_station_id IN (SELECT station_id FROM stations)),
+linked_out AS (SELECT start_station_id AS station_id, count(*) AS n FROM linked GROUP BY ALL),
+linked_in AS (SELECT end_station_id AS station_id, count(*) AS n FROM linked GROUP BY ALL)"""
+
 _G2 = """
 SELECT s.station_id, s.name AS station_name, s.city, coalesce(e.n, 0) AS incoming, coalesce(b.n, 0) AS outgoing
-FROM stations s LEFT JOIN starts b ON b.station_id = s.station_id LEFT JOIN ends e ON e.station_id = s.station_id"""
+FROM stations s LEFT JOIN linked_out b ON b.station_id = s.station_id LEFT JOIN linked_in e ON e.station_id = s.station_id"""
 
-_EDGES = """
+_EDGES = _LINKED + """,
 edges AS (
-  SELECT user_id AS src, trip_id AS dst, 'PERFORMED' AS rel FROM trips
-  UNION ALL SELECT trip_id, start_station_id, 'STARTS_AT' FROM trips
-  UNION ALL SELECT trip_id, end_station_id, 'ENDS_AT' FROM trips)"""
+  SELECT user_id AS src, trip_id AS dst, 'PERFORMED' AS rel FROM linked
+  UNION ALL SELECT trip_id, start_station_id, 'STARTS_AT' FROM linked
+  UNION ALL SELECT trip_id, end_station_id, 'ENDS_AT' FROM linked)"""
+
+_VERTICES = """
+SELECT 'User' AS label, user_id AS id, name, surname, country, NULL::VARCHAR AS city, NULL::VARCHAR AS start_time,
+       NULL::VARCHAR AS end_time, NULL::DOUBLE AS total_cost{more} FROM users
+UNION ALL SELECT 'Station', station_id, name, NULL, NULL, city, NULL, NULL, NULL{more} FROM stations
+UNION ALL SELECT 'Trip', trip_id, NULL, NULL, NULL, NULL, start_time, end_time, total_cost{more} FROM texts"""
 
 _ERRORS = "errors AS (SELECT DISTINCT trip_id FROM trip_events WHERE type = 'ERROR')"
 
@@ -103,13 +122,6 @@ reach AS (SELECT station_id AS id, station_id AS other FROM stations
 roots AS (SELECT id, min(other) AS root FROM reach GROUP BY id)"""
 
 
-def _draw(row: str, stream: int, n: object) -> str:
-    x = f"(({row} % {g.MODULUS} + ({row} >> 31) * {g.BLOCK_STEP} + {stream * g.STREAM_STEP}) % {g.MODULUS})"
-    for _ in range(2):
-        x = f"(({x} * {x} % {g.MODULUS} + {x} * {g.LINEAR} + {g.OFFSET}) % {g.MODULUS})"
-    return f"({x} % {n})"
-
-
 def _list(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -125,42 +137,6 @@ def _pick_value(event_type: str, number: str) -> str:
     return f"CASE {cases} END"
 
 
-_PLACE = "((i * 77 + 13) % 180)"
-_GEN_STATIONS = f"""
-SELECT i AS station_id,
-       {_pick(g.CITIES, f'{_PLACE} // 12')} || ' ' || {_pick(g.STATION_SUFFIXES, f'{_PLACE} % 12')}
-         || CASE WHEN (i - 1) // 180 = 0 THEN '' ELSE ' ' || CAST((i - 1) // 180 + 1 AS VARCHAR) END AS name,
-       {_pick(g.CITIES, f'{_PLACE} // 12')} AS city,
-       CAST({_draw('i', 5, 41)} + 10 AS INT) AS capacity
-FROM range(1, (SELECT count(*) FROM supplier) + 1) AS r(i)"""
-
-_GEN_USERS = f"""
-SELECT i AS user_id, {_pick(g.NAMES, _draw('i', 2, len(g.NAMES)))} AS name, {_pick(g.SURNAMES, _draw('i', 3, len(g.SURNAMES)))} AS surname,
-       DATE '1960-01-01' + CAST({_draw('i', 1, 14601)} AS INT) AS birthdate,
-       {_pick(g.COUNTRIES, _draw('i', 4, len(g.COUNTRIES)))} AS country
-FROM range(1, (SELECT count(*) FROM customer) + 1) AS r(i)"""
-
-_GEN_TRIPS = f"""
-SELECT i AS trip_id, {_draw('i', 10, 'n_users')} + 1 AS user_id, s + 1 AS start_station_id,
-       (s + 1 + {_draw('i', 12, '(n_stations - 1)')}) % n_stations + 1 AS end_station_id,
-       begun AS start_time, begun + to_minutes(CAST(m AS INT)) AS end_time,
-       ((10000 + 1500 * m + {_draw('i', 17, 20001)} + 50) // 100) / 100.0::DOUBLE AS total_cost
-FROM (SELECT *, {_draw('i', 11, 'n_stations')} AS s, {_draw('i', 16, 116)} + 5 AS m,
-             TIMESTAMP '2024-01-01' + to_days(CAST({_draw('i', 13, 365)} AS INT))
-               + to_hours(CAST({_draw('i', 14, 17)} + 6 AS INT)) + to_minutes(CAST({_draw('i', 15, 60)} AS INT)) AS begun
-      FROM range(1, (SELECT count(*) FROM orders) + 1) AS r(i),
-           (SELECT (SELECT count(*) FROM customer) AS n_users, (SELECT count(*) FROM supplier) AS n_stations))"""
-
-_EVENTS_PER_TRIP = 2
-_GEN_EVENTS = f"""
-SELECT event_id, trip_id,
-       start_time + to_seconds({_draw('event_id', 20, "greatest(date_diff('second', start_time, end_time), 1)")}) AS timestamp,
-       type, {_pick_value('type', _draw('event_id', 22, g.MODULUS))} AS value
-FROM (SELECT *, {_pick(g.EVENT_TYPES, _draw('event_id', 21, 4))} AS type
-      FROM (SELECT trip_id, start_time, end_time, (trip_id - 1) * {_EVENTS_PER_TRIP} + j AS event_id
-            FROM trips, range(1, {_EVENTS_PER_TRIP} + 1) AS r(j)))"""
-
-
 def oracle_sql() -> dict[str, str]:
     q1_from = """
 FROM {trips} t JOIN users u ON t.user_id = u.user_id
@@ -169,7 +145,6 @@ JOIN stations s1 ON t.start_station_id = s1.station_id JOIN stations s2 ON t.end
         "SELECT t.trip_id, u.name, u.surname, u.country, s1.name AS start_station, s2.name AS end_station, "
         "t.start_time, t.end_time, t.total_cost{more}" + q1_from.format(trips="trips")
     )
-    error_docs = "(SELECT trip_id, timestamp, type, value FROM element WHERE type = 'ERROR')"
     q3 = """
 SELECT s.station_id, s.name, s.city, coalesce(b.n, 0) AS trips_starting, coalesce(e.n, 0) AS trips_ending
 FROM stations s LEFT JOIN starts b ON b.station_id = s.station_id LEFT JOIN ends e ON e.station_id = s.station_id"""
@@ -195,9 +170,8 @@ SELECT station_id, coalesce(s.name, 'unknown') AS name, coalesce(s.city, 'unknow
        coalesce(b.n, 0) AS trips_starting, coalesce(e.n, 0) AS trips_ending
 FROM starts b FULL JOIN ends e USING (station_id) LEFT JOIN stations s USING (station_id)""", _TRAFFIC),
         "q4_error_trips": _sql("""
-SELECT DISTINCT t.trip_id, u.name, u.surname, t.start_time, t.end_time, t.total_cost
-FROM trips t JOIN users u ON t.user_id = u.user_id
-WHERE EXISTS (SELECT 1 FROM trip_events e WHERE e.trip_id = t.trip_id AND e.type = 'ERROR')"""),
+SELECT trip_id, name, surname, start_time, end_time, total_cost
+FROM trips SEMI JOIN errors USING (trip_id) JOIN users USING (user_id)""", _ERRORS),
         "q4_error_trips_doc": _sql("""
 SELECT trip_id, user_id, start_time, end_time, total_cost FROM texts
 WHERE trip_id IN (SELECT trip_id FROM errors)""", _ERRORS),
@@ -207,7 +181,7 @@ FROM trips t JOIN stations s ON s.station_id IN (t.start_station_id, t.end_stati
 WHERE t.user_id = 1 ORDER BY station_name, station_id"""),
         "g2_top3_stations": _sql(
             f"SELECT *, incoming + outgoing AS total_trips FROM ({_G2}) ORDER BY total_trips DESC, station_id LIMIT 3",
-            _TRAFFIC,
+            _LINKED,
         ),
         "pagerank_top3": _sql("""
 SELECT id, name, city, pagerank FROM pr JOIN stations ON station_id = id ORDER BY pagerank DESC, id LIMIT 3""",
@@ -220,7 +194,11 @@ SELECT event_id, trip_id, timestamp, type, value,
        CASE WHEN type = 'BATTERY' THEN coalesce(battery_level, 50) ELSE battery_level END AS battery_level
 FROM leveled_events"""),
         "evolve_battery_level_doc": _sql("""
-SELECT trip_id, timestamp, type, value, CASE WHEN type = 'BATTERY' THEN 50 END AS battery_level FROM element"""),
+SELECT t.*, d.part, coalesce(d.events, '[]') AS events FROM texts t JOIN (
+  SELECT t.trip_id, coalesce(part, 0) AS part, events FROM texts t LEFT JOIN (
+    SELECT trip_id, part, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value,
+             battery_level := CASE WHEN type = 'BATTERY' THEN 50 END) ORDER BY timestamp, type, value))::VARCHAR AS events
+    FROM element GROUP BY ALL) e ON e.trip_id = t.trip_id) d ON d.trip_id = t.trip_id"""),
         # scans, sources, sinks, layout
         "scan_project": _sql("SELECT trip_id, user_id, start_time, end_time FROM trips"),
         "scan_stations_edges": _sql("""
@@ -229,20 +207,22 @@ UNION ALL SELECT 'trip', start_station_id, end_station_id, NULL, NULL FROM trips
         "write_tables": _sql(
             details.format(more=", (SELECT count(*) FROM trip_events v WHERE v.trip_id = t.trip_id) AS n_events")
         ),
-        "write_docs": _sql("SELECT t.*, a.events FROM texts t JOIN arrays a ON a.trip_id = t.trip_id"),
+        "write_docs": _sql(
+            "SELECT t.*, coalesce(a.part, 0) AS part, coalesce(a.events, '[]') AS events "
+            "FROM texts t LEFT JOIN arrays a ON a.trip_id = t.trip_id"
+        ),
         "embed_events": _sql(
-            "SELECT t.trip_id, t.user_id, coalesce(a.events, '[]') AS events "
+            "SELECT t.trip_id, t.user_id, coalesce(a.part, 0) AS part, coalesce(a.events, '[]') AS events "
             "FROM texts t LEFT JOIN arrays a ON a.trip_id = t.trip_id"
         ),
         "unembed_events": _sql("SELECT trip_id, timestamp, type, value FROM element"),
-        "graph_vertices": _sql("""
-SELECT 'User' AS label, user_id AS id,
-       to_json(struct_pack(name := name, surname := surname, country := country))::VARCHAR AS properties FROM users
-UNION ALL SELECT 'Station', station_id, to_json(struct_pack(name := name, city := city))::VARCHAR FROM stations
-UNION ALL SELECT 'Trip', trip_id,
-       to_json(struct_pack(start_time := start_time, end_time := end_time))::VARCHAR FROM texts"""),
+        "graph_vertices": _sql(_VERTICES.format(more="")),
         "graph_edges": _sql("SELECT src, dst, rel FROM edges", _EDGES),
-        "merge_upsert": _sql("SELECT user_id, name, surname, country FROM users"),
+        "merge_upsert": _sql(
+            _VERTICES.format(more=", NULL::BIGINT AS dst")
+            + " UNION ALL SELECT rel, src, NULL, NULL, NULL, NULL, NULL, NULL, NULL, dst FROM edges",
+            _EDGES,
+        ),
         "unique_key_check": _sql("""
 SELECT table_name, CAST(sum(n) AS BIGINT) AS row_count, count(*) AS keys,
        count(*) FILTER (n > 1) AS duplicated_keys, 0::BIGINT AS null_keys
@@ -260,10 +240,6 @@ UNION ALL SELECT 'events.trip_id', count(*) FROM trip_events WHERE trip_id NOT I
         "csv_sink": _sql(_Q2),
         "preview": _sql("SELECT trip_id, user_id, start_time, end_time, total_cost FROM trips ORDER BY trip_id LIMIT 5"),
         "partition_layout": _sql(_Q2),
-        "gen_users": _GEN_USERS.strip(),
-        "gen_stations": _GEN_STATIONS.strip(),
-        "gen_trips": _GEN_TRIPS.strip(),
-        "gen_events": _sql(_GEN_EVENTS),
         # projection, filter, predicate
         "rename_vertices": _sql("SELECT station_id AS id, name, city FROM stations"),
         "filter_eq": _sql("SELECT event_id, trip_id, type, value FROM trip_events WHERE type = 'BATTERY'"),
@@ -297,22 +273,23 @@ SELECT t.trip_id, t.user_id,
        coalesce((SELECT to_json(list(struct_pack(user_id := u.user_id, name := u.name, surname := u.surname)))::VARCHAR
                  FROM users u WHERE u.user_id = t.user_id), '[]') AS user
 FROM texts t"""),
-        "unwind_inner": _sql(f"""
-SELECT t.trip_id, t.user_id, e.timestamp, e.value FROM texts t JOIN {error_docs} e ON e.trip_id = t.trip_id"""),
-        "unwind_outer": _sql(f"""
-SELECT t.trip_id, t.user_id, e.timestamp, e.value FROM texts t LEFT JOIN {error_docs} e ON e.trip_id = t.trip_id"""),
+        "unwind_inner": _sql("""
+SELECT t.trip_id, t.user_id, e.timestamp, e.type, e.value FROM texts t JOIN element e ON e.trip_id = t.trip_id"""),
+        "unwind_outer": _sql("""
+SELECT t.trip_id, t.user_id, e.timestamp, e.type, e.value FROM texts t LEFT JOIN element e ON e.trip_id = t.trip_id"""),
         "full_outer_counts": _sql("""
-SELECT station_id, coalesce(b.n, 0) AS starts, coalesce(e.n, 0) AS ends
-FROM starts b FULL JOIN ends e USING (station_id)""", _TRAFFIC),
+SELECT k.station_id, coalesce(b.n, 0) AS starts, coalesce(e.n, 0) AS ends
+FROM (SELECT station_id FROM starts UNION SELECT station_id FROM ends) k
+LEFT JOIN starts b ON b.station_id IS NOT DISTINCT FROM k.station_id
+LEFT JOIN ends e ON e.station_id IS NOT DISTINCT FROM k.station_id""", _TRAFFIC),
         "path_two_hop": _sql("""
 SELECT DISTINCT p.src AS user_id, s.station_id, s.name AS station_name
 FROM edges p JOIN edges h ON h.src = p.dst AND h.rel IN ('STARTS_AT', 'ENDS_AT')
 JOIN stations s ON s.station_id = h.dst WHERE p.rel = 'PERFORMED'""", _EDGES),
-        "optional_match": _sql(_G2, _TRAFFIC),
+        "optional_match": _sql(_G2, _LINKED),
         "edges_valid": _sql("""
 SELECT start_station_id AS src, end_station_id AS dst FROM trips
-WHERE start_station_id IN (SELECT station_id FROM stations WHERE capacity >= 20)
-  AND end_station_id IN (SELECT station_id FROM stations WHERE capacity >= 20)"""),
+WHERE start_station_id IN (SELECT station_id FROM stations) AND end_station_id IN (SELECT station_id FROM stations)"""),
         # aggregation
         "count_distinct": _sql("""
 SELECT start_station_id, count(DISTINCT user_id) AS users, count(DISTINCT end_station_id) AS destinations
@@ -327,16 +304,16 @@ SELECT (SELECT count(*) FROM trip_events WHERE type = 'BATTERY') AS battery_even
         "graph_sizes": _sql(
             "SELECT (SELECT count(*) FROM stations) AS vertices, (SELECT count(*) FROM trips) AS edges"
         ),
-        "max_coalesce": _sql(f"""
+        "max_coalesce": _sql("""
 SELECT 'users' AS table_name, coalesce(max(user_id), 1) AS max_id FROM users
 UNION ALL SELECT 'stations', coalesce(max(station_id), 1) FROM stations
 UNION ALL SELECT 'trips', coalesce(max(trip_id), 1) FROM trips
-UNION ALL SELECT 'events', coalesce(max((trip_id - 1) * {_EVENTS_PER_TRIP} + {_EVENTS_PER_TRIP}), 1) FROM trips"""),
+UNION ALL SELECT 'events', coalesce(max(trip_id), 1) FROM trip_events"""),
         "components_count": _sql(
             "SELECT count(*) AS vertices, count(DISTINCT root) AS components FROM roots", _COMPONENTS, recursive=True
         ),
         # sort, limit, distinct, set operations
-        "topk": _sql(_Q2 + " ORDER BY total_trips DESC, u.user_id LIMIT 3"),
+        "topk": _sql(_Q2 + " ORDER BY total_trips DESC, users.user_id LIMIT 3"),
         "distinct_rows": _sql("SELECT DISTINCT start_station_id, end_station_id FROM trips"),
         "union_keys": _sql("SELECT start_station_id AS station_id FROM trips UNION SELECT end_station_id FROM trips"),
         "union_all_edges": _sql("SELECT src, dst, rel FROM edges WHERE rel <> 'PERFORMED'", _EDGES),
@@ -373,8 +350,7 @@ WHERE type = 'BATTERY' AND trip_id IN (
         # graph
         "station_graph": _sql("SELECT start_station_id AS src, end_station_id AS dst FROM trips"),
         "station_degrees": _sql("""
-SELECT station_id AS id, coalesce(e.n, 0) AS in_degree, coalesce(b.n, 0) AS out_degree,
-       coalesce(e.n, 0) + coalesce(b.n, 0) AS degree
-FROM starts b FULL JOIN ends e USING (station_id)""", _TRAFFIC),
+SELECT s.station_id AS id, coalesce(e.n, 0) AS in_degree, coalesce(b.n, 0) AS out_degree, coalesce(e.n, 0) + coalesce(b.n, 0) AS degree
+FROM stations s LEFT JOIN starts b ON b.station_id = s.station_id LEFT JOIN ends e ON e.station_id = s.station_id""", _TRAFFIC),
         "pagerank": _sql("SELECT id, name, city, pagerank FROM pr JOIN stations ON station_id = id", _pagerank_ctes()),
     }

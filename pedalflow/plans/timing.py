@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalflow.operators import documents, relational
-from pedalflow.schemas import Mobility, TripDocs
+from pedalflow.schemas import Mobility
 from pedalflow.session import scratch_path
 from pedalflow.sources import generate, storage
 
@@ -45,7 +45,7 @@ def relational_queries(data: Mobility) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
-def document_queries(docs: TripDocs, data: Mobility) -> dict[str, Callable[[], DataFrame]]:
+def document_queries(docs: DataFrame, data: Mobility) -> dict[str, Callable[[], DataFrame]]:
     return {
         "Q1": lambda: documents.trip_details(docs, data.users, data.stations),
         "Q2": lambda: documents.user_stats(docs, data.users),
@@ -61,7 +61,7 @@ def run_to_end(df: DataFrame) -> float:
     return time.perf_counter() - begun
 
 
-def stage(spark: SparkSession, data: Mobility, folder: str) -> tuple[Mobility, TripDocs]:
+def stage(spark: SparkSession, data: Mobility, folder: str) -> tuple[Mobility, DataFrame]:
     """Load both forms, so that a query is timed on stored tables."""
     schemas = {name: df.schema for name, df in data._asdict().items()}
     storage.write_tables(data, f"{folder}/tables", schemas)

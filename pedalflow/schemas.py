@@ -33,12 +33,9 @@ EVOLVED_ELEMENT = struct(timestamp=TEXT, type=TEXT, value=TEXT, battery_level=IN
 
 
 def trip_docs(element: T.StructType = ELEMENT) -> T.StructType:
+    """Trip fields, the number of the document among those of its trip, and a part of the trip's events."""
     fields = {f.name: TEXT if f.dataType == TIME else f.dataType for f in TRIPS}
-    return struct(**fields, events=T.ArrayType(element))
-
-
-def overflow_docs(element: T.StructType = ELEMENT) -> T.StructType:
-    return struct(trip_id=LONG, part=INT, events=T.ArrayType(element))
+    return struct(**fields, part=LONG, events=T.ArrayType(element))
 
 
 PRIMARY_KEYS = {"users": "user_id", "stations": "station_id", "trips": "trip_id", "events": "event_id"}
@@ -59,10 +56,3 @@ class Mobility(NamedTuple):
     stations: DataFrame
     trips: DataFrame
     events: DataFrame
-
-
-class TripDocs(NamedTuple):
-    """The document form: one document per trip, and the events of trips too large for one document."""
-
-    docs: DataFrame
-    overflow: DataFrame

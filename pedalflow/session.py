@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ def get_spark(app_name: str = "pedalflow", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -33,7 +35,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The application's folder under ``spark.checkpoint.dir``.
+    """The application's folder under ``spark.checkpoint.dir``, removed when the application ends.
 
     A local session without that setting gets a temporary folder; a cluster without it is an
     error, because executors on other machines could not read what one of them writes.
@@ -46,6 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
             folder = tempfile.mkdtemp(prefix="pedalflow-")
         context.setCheckpointDir(folder)
+        _remove_at_exit(spark, context.getCheckpointDir())
     return context.getCheckpointDir()
 
 
@@ -60,18 +63,41 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextlib.contextmanager
-def fixed_plans(spark: SparkSession, partitions: int) -> Iterator[None]:
-    """Plan without adaptive execution, for loops that lay out their data themselves.
-
-    A checkpoint made here keeps its partitioning and order, so later joins find it in place.
+def planning_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of its own with the settings of ``spark``, but without adaptive execution, for loops that lay out
+    their data themselves. A checkpoint made there keeps its partitioning and order, so later joins find it in place.
     """
-    options = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
-    before = {key: spark.conf.get(key) for key in options}
-    for key, value in options.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    other.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return other
+
+
+def in_session(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back by another session."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_at_exit(spark: SparkSession, table: str) -> None:
+    """Drop a table that only this application uses when it ends."""
+    _at_exit(lambda: spark.sql(f"DROP TABLE IF EXISTS {table}"))
+
+
+def _at_exit(action: Callable[[], object]) -> None:
+    def run() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            action()
+
+    atexit.register(run)
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Remove the application's folder of checkpoints and scratch tables when it ends."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    _at_exit(lambda: path.getFileSystem(conf).delete(path, True))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pedalflow.operators.skew import MIN_HOT_ROWS, hot_keys
-from pedalflow.schemas import ELEMENT, TABLES, Mobility, TripDocs, overflow_docs, trip_docs
-from pedalflow.session import shuffle_partitions
+from pedalflow.operators.skew import TARGET_ROWS, hot_keys
+from pedalflow.schemas import ELEMENT, TABLES, Mobility, trip_docs
+
+SALT = "salt"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -26,20 +27,16 @@ def read_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructTyp
     return Mobility(*(spark.read.schema(schemas[n]).parquet(f"{folder}/{n}") for n in Mobility._fields))
 
 
-def write_docs(docs: TripDocs, folder: str, file_format: str = "parquet") -> None:
+def write_docs(docs: DataFrame, folder: str, file_format: str = "parquet") -> None:
     """Replace the trip documents; ``json`` writes one document per line."""
-    for name, df in docs._asdict().items():
-        df.write.mode("overwrite").format(file_format).save(f"{folder}/{name}")
+    docs.write.mode("overwrite").format(file_format).save(folder)
 
 
 def read_docs(
     spark: SparkSession, folder: str, file_format: str = "parquet", element: T.StructType = ELEMENT
-) -> TripDocs:
+) -> DataFrame:
     """The documents; a field of ``element`` that older files lack is null."""
-    reader = spark.read.format(file_format)
-    docs = reader.schema(trip_docs(element)).load(f"{folder}/docs")
-    overflow = reader.schema(overflow_docs(element)).load(f"{folder}/overflow")
-    return TripDocs(docs, overflow)
+    return spark.read.format(file_format).schema(trip_docs(element)).load(folder)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
@@ -52,24 +49,29 @@ def read_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFram
 
 
 def write_by_key(
-    df: DataFrame, key: str, table: str, path: str, buckets: int | None = None, min_hot_rows: int = MIN_HOT_ROWS
+    df: DataFrame, key: str, table: str, path: str, buckets: int, unique: bool = False, target_rows: int = TARGET_ROWS
 ) -> None:
-    """Lay ``df`` out by ``key`` so that grouping and joining on it need no shuffle.
+    """Lay all of ``df`` out by ``key`` in the bucketed table ``table``, so that grouping and joining need no shuffle.
 
-    Ordinary keys go to the bucketed table ``table``. Hot keys and null, which would make one
-    bucket as large as all others together, go to the plain table ``table_hot``.
+    The table has a column ``salt`` more, and its buckets go by key and salt. It is 0 for the rows of ordinary keys,
+    which therefore lie together. Rows of a key with more than ``target_rows``, and those without a key, are dealt
+    over salts from 1 on, for they would make one bucket as large as all others together. ``unique``: no key has two
+    rows, so there is nothing to look for. Take so many buckets that one of them is what a task can work on.
     """
-    buckets = buckets or shuffle_partitions(df.sparkSession)
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    hot = F.broadcast(hot_keys(counts, key, min_rows=min_hot_rows).select(key))
-    ordinary = df.filter(F.col(key).isNotNull()).join(hot, key, "left_anti")
-    apart = df.join(hot, key, "left_semi").unionByName(df.filter(F.col(key).isNull()))
+    if unique:
+        salted = df.withColumn(SALT, F.lit(0))
+    else:
+        row = F.xxhash64(*df.columns)
+        counts = df.groupBy(key).agg(F.count("*").alias("n"))
+        with_slots = df.join(hot_keys(counts, key, target_rows=target_rows), key, "left")
+        slots = F.when(F.col(key).isNull(), F.lit(buckets)).otherwise(F.col("slots"))
+        dealt = F.coalesce(F.pmod(row, slots).cast("int") + 1, F.lit(0))
+        salted = with_slots.withColumn(SALT, dealt).select(*df.columns, SALT)
     (
-        ordinary.repartition(buckets, key)
+        salted.repartition(buckets, key, SALT)
         .write.mode("overwrite")
         .option("path", f"{path}/{table}")
-        .bucketBy(buckets, key)
-        .sortBy(key)
+        .bucketBy(buckets, key, SALT)
+        .sortBy(key, SALT)
         .saveAsTable(table)
     )
-    apart.write.mode("overwrite").option("path", f"{path}/{table}_hot").saveAsTable(f"{table}_hot")

@@ -14,13 +14,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from pedalflow.session import get_spark  # noqa: E402
 
-GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+GIVEN = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in GIVEN:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        source = f"{folder}/{name}.parquet"
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{source + '/*.parquet' if os.path.isdir(source) else source}'")
     return con
 
 

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from conftest import at, plan_of, rows
 from pedalflow.operators import documents as d
-from pedalflow.operators import relational
+from pedalflow.operators import evolution, relational
 from pedalflow.schemas import EVENTS, TRIPS
 
 
@@ -14,7 +16,7 @@ def docs(city):
 
 
 def arrays(trip_docs):
-    return {t.trip_id: [tuple(e) for e in t.events] for t in trip_docs.docs.collect()}
+    return {t.trip_id: [tuple(e) for e in t.events] for t in trip_docs.filter("part = 0").collect()}
 
 
 def test_embed_sorts_by_time_and_gives_empty_arrays(docs):
@@ -25,7 +27,7 @@ def test_embed_sorts_by_time_and_gives_empty_arrays(docs):
         ("2024-03-10 01:20:00", "ERROR", "Sensor failure"),
     ]
     assert got[102] == [] and len(got) == 7
-    assert docs.overflow.count() == 0
+    assert docs.count() == 7
 
 
 def test_unembed_is_the_inverse(docs, city):
@@ -35,34 +37,55 @@ def test_unembed_is_the_inverse(docs, city):
 
 
 def hot_data(spark):
-    """One trip with a third of all events."""
+    """One trip with a third of all events, and one that is unknown with as many."""
     n = 900
     trips = [(i, 1, 1, 2, None, None, 1.0) for i in range(60)]
-    events = [(i, 7 if i % 3 == 0 else i % 60, None, "ERROR" if i == 3 else "GPS", str(i)) for i in range(n)]
+    events = [(i, 7 if i % 3 == 0 else 99 if i % 3 == 1 else i % 60, at(i % 24, i % 60), "ERROR" if i == 3 else "GPS", str(i)) for i in range(n)]
     return spark.createDataFrame(trips, TRIPS), spark.createDataFrame(events, EVENTS)
 
 
-def test_a_trip_too_large_for_one_document_is_continued(spark):
+def test_a_trip_with_many_events_has_several_documents(spark):
+    trips, events = hot_data(spark)
+    docs = d.embed_events(trips, events, part_events=40)
+    parts = {(t.trip_id, t.part): t.events for t in docs.collect()}
+    assert {p for i, p in parts if i == 7} == set(range(8)) and {p for i, p in parts if i != 7} == {0}
+    assert [len(parts[7, p]) for p in range(8)] == [40] * 7 + [20]
+    in_order = [tuple(e) for p in range(8) for e in parts[7, p]]
+    assert in_order == sorted(in_order) and len(set(in_order)) == 300
+    assert all(i != 99 for i, _ in parts) and len({i for i, _ in parts}) == 60
+
+
+def test_the_size_of_parts_changes_no_answer(spark, city):
+    """Two events to a document or a million, with a large trip and a large unknown one."""
     trips, events = hot_data(spark)
-    docs = d.embed_events(trips, events, max_events=50, max_oversize=100)
-    parts = docs.overflow.collect()
-    assert {p.trip_id for p in parts} == {7}
-    assert len(parts) == len({p.part for p in parts}) > 1
-    assert max(len(p.events) for p in parts) <= 100
-    assert arrays(docs)[7] == []
-    whole = sorted((t, v) for t, _, _, v in rows(d.unembed_events(docs)))
-    assert whole == sorted((e.trip_id, e.value) for e in events.collect())
-    every = d.all_documents(docs).select("trip_id", "user_id", "events").collect()
-    assert len(every) == 60 + len(parts) and {t.user_id for t in every} == {1}
-    assert sum(len(t.events) for t in every) == 900
-    # The one ERROR is in a continuation.
-    found = d.unwind_events(docs, lambda e: e["type"] == "ERROR")
-    assert [(t.trip_id, t.event.value) for t in found.collect()] == [(7, "3")]
-    kept = d.unwind_events(docs, lambda e: e["type"] == "ERROR", keep_empty=True).collect()
-    assert sorted(t.trip_id for t in kept) == list(range(60))
-    assert [t.trip_id for t in kept if t.event is not None] == [7]
-    assert [t.trip_id for t in d.docs_with_event(docs, "ERROR").collect()] == [7]
-    assert d.docs_with_event(docs, "GPS").count() == events.select("trip_id").distinct().count()
+    trips, events = trips.unionByName(city.trips), events.unionByName(city.events)
+    small, large = (d.embed_events(trips, events, part_events=n) for n in (2, 1_000_000))
+    assert large.filter("part > 0").isEmpty() and not small.filter("part > 0").isEmpty()
+
+    def answers(docs):
+        return {
+            "fields": docs.schema.simpleString(),
+            "unembed": d.unembed_events(docs),
+            "error trips": d.error_trips(docs),
+            "with GPS": d.docs_with_event(docs, "GPS"),
+            "details": d.trip_details(docs, city.users, city.stations),
+            "users": d.user_stats(docs, city.users),
+            "stations": d.station_counts(docs, city.stations),
+            "unwind": d.unwind_events(docs),
+            "unwind, empty kept": d.unwind_events(docs, keep_empty=True),
+            "unwind errors": d.unwind_events(docs, lambda e: e["type"] == "ERROR"),
+            "unwind errors, empty kept": d.unwind_events(docs, lambda e: e["type"] == "ERROR", keep_empty=True),
+            "evolved": d.unembed_events(evolution.add_battery_level_docs(docs)),
+            "counts": evolution.evolve_counts_docs(docs),
+            "sample": evolution.evolve_sample_docs(docs),
+        }
+
+    def plain(answer):
+        return answer if isinstance(answer, str) else sorted(map(str, answer.collect()))
+
+    expected = {name: plain(a) for name, a in answers(large).items()}
+    assert {name: plain(a) for name, a in answers(small).items()} == expected
+    assert len(expected["unwind errors, empty kept"]) == 68 and len(expected["unembed"]) == 606
 
 
 def test_document_queries_agree_with_the_relational_ones(docs, city):
@@ -93,17 +116,29 @@ def test_station_counts_names_unknown_ids(docs, city):
 
 
 def test_lookup_and_unwind(docs, city):
-    found = d.lookup(docs.docs.select("trip_id", "user_id"), city.users, "user_id", "user_id", "user")
+    trips = docs.select("trip_id", "user_id")
+    found = d.lookup(trips, city.users, "user_id", "user_id", "user")
     sizes = {t.trip_id: len(t.user) for t in found.collect()}
     assert sizes == {100: 1, 101: 1, 102: 1, 103: 0, 104: 0, 105: 1, 106: 1}
     assert d.unwind(found, "user").count() == 5
     kept = d.unwind(found, "user", keep_empty=True)
     assert {t.trip_id for t in kept.collect() if t.user is None} == {103, 104}
-    fused = d.lookup_one(docs.docs.select("trip_id", "user_id"), city.users, "user_id", "user_id", "user", keep_missing=True)
+    fused = d.lookup_one(trips, city.users, "user_id", "user_id", "user", keep_missing=True)
     assert sorted(map(str, rows(fused))) == sorted(map(str, rows(kept)))
 
 
-def test_an_embedding_without_oversize_trips_shuffles_events_once(city):
+def test_lookup_gives_all_matches_in_one_array(docs, city):
+    twice = city.users.unionByName(city.users.filter("user_id = 1").withColumn("name", F.lit("Anna")))
+    twice = twice.unionByName(city.users.filter("user_id = 3").withColumn("user_id", F.lit(None).cast("bigint")))
+    found = d.lookup(docs.select("trip_id", "user_id"), twice, "user_id", "user_id", "user").collect()
+    assert {t.trip_id: [u.name for u in t.user] for t in found} == {
+        100: ["Ann", "Anna"], 101: ["Ann", "Anna"], 102: ["Ben"], 103: ["Cy"], 104: [], 105: ["Ben"], 106: ["Ben"]
+    }
+    with pytest.raises(ValueError, match="more than 1 rows"):
+        d.lookup(docs, twice, "user_id", "user_id", "user", max_matches=1)
+
+
+def test_an_embedding_without_large_trips_shuffles_events_once(city):
     plan = plan_of(d.error_trips(d.embed_events(city.trips, city.events))).split("== Initial Plan ==")[0]
     assert plan.count("partial_collect_list") == 1 and "Union" not in plan and "LeftAnti" not in plan
 

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pedalflow.operators import documents as d
 from pedalflow.operators import evolution as e
-from pedalflow.schemas import EVOLVED_ELEMENT, EVOLVED_EVENTS
+from pedalflow.schemas import EVOLVED_ELEMENT, EVOLVED_EVENTS, trip_docs
 from pedalflow.sources import storage
 
 
@@ -44,14 +44,22 @@ def test_documents_overwrite_and_leave_other_elements_alone(docs):
     once = e.add_battery_level_docs(docs)
     got = {(t.trip_id, t.value): t.battery_level for t in d.unembed_events(once).collect()}
     assert got[100, "85%"] == 50 and got[103, "20%"] == 50 and got[101, "45.0,9.1"] is None
-    lowered = once.docs.withColumn(
+    lowered = once.withColumn(
         "events", e.F.transform("events", lambda x: x.withField("battery_level", e.F.lit(9)))
     )
-    again = e.add_battery_level_docs(once._replace(docs=lowered))
+    again = e.add_battery_level_docs(lowered)
     got = {(t.trip_id, t.value): t.battery_level for t in d.unembed_events(again).collect()}
     assert got[100, "85%"] == 50 and got[101, "45.0,9.1"] == 9
 
 
+def test_evolved_documents_are_documents(docs):
+    evolved = e.add_battery_level_docs(docs)
+    assert evolved.schema.simpleString() == trip_docs(EVOLVED_ELEMENT).simpleString()
+    fields = [c for c in docs.columns if c != "events"]
+    assert sorted(map(str, rows(evolved.select(fields)))) == sorted(map(str, rows(docs.select(fields))))
+    assert evolved.filter("size(events) = 0").count() == docs.filter("size(events) = 0").count() == 3
+
+
 def test_counts(city, docs):
     assert rows(e.evolve_counts(city.events)) == [(2, 2, 8)]
     assert rows(e.evolve_counts(e.add_battery_level(city.events))) == [(2, 0, 8)]
@@ -79,7 +87,7 @@ def test_documents_of_both_versions_are_read_by_the_new_schema(spark, docs, tmp_
         back = storage.read_docs(spark, str(tmp_path / name), file_format, EVOLVED_ELEMENT)
         filled = d.unembed_events(back).filter("battery_level = 50").count()
         assert filled == (2 if name == "new" else 0)
-        assert back.docs.filter("size(events) = 0").count() == 3
+        assert back.filter("size(events) = 0").count() == 3
 
 
 def test_evolved_schema(city):

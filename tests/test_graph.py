@@ -18,7 +18,7 @@ def test_edges_need_user_and_both_stations(city):
         + [(100, 20, "ENDS_AT"), (101, 10, "ENDS_AT"), (102, 10, "ENDS_AT")]
     )
     assert graph.station_edges(edges).count() == 6
-    assert sorted(rows(graph.two_hop_paths(edges, city.stations).select("user_id", "station_id"))) == [
+    assert sorted(rows(graph.two_hop_paths(city.trips, city.users, city.stations).select("user_id", "station_id"))) == [
         (1, 10), (1, 20), (2, 10)
     ]
 
@@ -26,8 +26,10 @@ def test_edges_need_user_and_both_stations(city):
 def test_vertices(city):
     labelled = graph.vertices(city.users, city.stations, city.trips)
     assert {label: df.count() for label, df in labelled.items()} == {"User": 3, "Station": 4, "Trip": 7}
-    listed = {(v.label, v.id): v.properties for v in graph.vertex_list(labelled).collect()}
-    assert listed["Station", 40] == '{"name":"Far","city":"Turin"}'
+    listed = {(v.label, v.id): v for v in graph.vertex_list(labelled).collect()}
+    far, trip = listed["Station", 40], listed["Trip", 100]
+    assert (far.name, far.city, far.surname, far.total_cost) == ("Far", "Turin", None, None)
+    assert (trip.start_time, trip.total_cost, trip.name) == ("2024-03-10 01:00:00", 3.5, None)
 
 
 def test_merge_upsert_adds_each_new_row_once(spark, city):
@@ -40,20 +42,37 @@ def test_merge_upsert_adds_each_new_row_once(spark, city):
     assert rows(quality.duplicate_keys(merged, "user_id")) == [(1, 2)]
 
 
+def test_merging_the_graph_adds_all_labels_and_relationships_once(city):
+    first = city._replace(trips=city.trips.filter("trip_id = 100"), stations=city.stations.filter("station_id < 30"))
+    parts = [
+        (graph.vertices(m.users, m.stations, m.trips), graph.trip_edges(graph.linked_trips(m.trips, m.users, m.stations)))
+        for m in (first, city)
+    ]
+    (old, old_edges), (new, new_edges) = parts
+    labelled, edges = graph.merge_graph(old, old_edges, new, new_edges)
+    for label, df in new.items():
+        assert sorted(rows(labelled[label]), key=str) == sorted(rows(df), key=str)
+    assert sorted(rows(edges)) == sorted(rows(new_edges)) and old_edges.count() == 3
+    again, same_edges = graph.merge_graph(labelled, edges, new, new_edges)
+    assert same_edges.count() == edges.count() and again["Trip"].count() == 7
+
+
 def test_reachable_stations(city):
     got = rows(graph.reachable_stations(city.trips, city.users, city.stations, 1))
     assert got == [(10, "North", "Rome"), (20, "South", "Rome")]
     assert rows(graph.reachable_stations(city.trips, city.users, city.stations, 9)) == []
 
 
-def test_top_stations_are_the_busiest_of_the_counts(city):
-    linked = graph.linked_trips(city.trips, city.users, city.stations)
-    assert rows(graph.top_stations(city.stations, linked, 2)) == [
+def test_top_stations_count_the_trips_that_have_edges(city):
+    """Of the raw trips only three have a known user and two known stations."""
+    assert rows(graph.top_stations(city.stations, city.trips, city.users, 2)) == [
         (10, "North", "Rome", 2, 2, 4),
         (20, "South", "Rome", 1, 1, 2),
     ]
+    matched = {t[0]: t[3:] for t in rows(graph.optional_match(city.stations, city.trips, city.users))}
+    assert matched == {10: (2, 2), 20: (1, 1), 30: (0, 0), 40: (0, 0)}
     whole = city.trips.filter("user_id = 1")
-    top = [(t[0], t[5]) for t in rows(graph.top_stations(city.stations, whole))]
+    top = [(t[0], t[5]) for t in rows(graph.top_stations(city.stations, whole, city.users))]
     counts = [(t[0], t[3] + t[4]) for t in rows(relational.station_counts(city.stations, whole))]
     assert top == counts[:3]
 
@@ -63,7 +82,24 @@ def test_degrees_and_known_ends(city):
     assert edges.count() == 7
     known = graph.with_known_ends(edges, nodes)
     assert sorted(rows(known)) == [(10, 10), (10, 20), (20, 10), (20, 30), (30, 20)]
-    assert sorted(rows(graph.degrees(known))) == [(10, 2, 2, 4), (20, 2, 2, 4), (30, 1, 1, 2)]
+    # An isolated station has degree 0; null and unknown ends are no vertices.
+    assert sorted(rows(graph.degrees(nodes, edges))) == [(10, 2, 2, 4), (20, 3, 2, 5), (30, 2, 1, 3), (40, 0, 0, 0)]
+
+
+def test_walks_join_each_end_once(spark, conf, city, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    stored = city._replace(**{n: _stored(spark, getattr(city, n), tmp_path / n) for n in ("trips", "users", "stations")})
+    for walk in (
+        graph.two_hop_paths(stored.trips, stored.users, stored.stations),
+        graph.reachable_stations(stored.trips, stored.users, stored.stations),
+    ):
+        plan = planned(walk)
+        assert plan.count("Join") == 3 and plan.count("FileScan") == 4, plan
+
+
+def _stored(spark, df, path):
+    df.write.parquet(str(path))
+    return spark.read.schema(df.schema).parquet(str(path))
 
 
 def test_key_and_reference_reports(city):
@@ -120,11 +156,11 @@ def random_graph(seed: int, n: int, m: int, hub: bool):
     return n, [(0 if hub and rng.random() < 0.34 else rng.randrange(n), rng.randrange(n)) for _ in range(m)]
 
 
-@pytest.mark.parametrize("min_hot_rows", [1_000_000, 5])
+@pytest.mark.parametrize("target_rows", [1_000_000, 5])
 @pytest.mark.parametrize("case", [SMALL, random_graph(1, 40, 300, hub=True)], ids=["small", "hub"])
-def test_pagerank(spark, case, min_hot_rows):
+def test_pagerank(spark, case, target_rows):
     nodes, edges = make_graph(spark, *case)
-    got = {r.id: r.pagerank for r in graph_loops.pagerank(nodes, edges, min_hot_rows=min_hot_rows).collect()}
+    got = {r.id: r.pagerank for r in graph_loops.pagerank(nodes, edges, target_rows=target_rows).collect()}
     expected = ranks_by_hand(*case)
     assert got == pytest.approx(dict(enumerate(expected)), abs=1e-12)
     assert sum(got.values()) == pytest.approx(case[0])
@@ -143,15 +179,15 @@ def test_pagerank_parameters_and_edges_to_nowhere(spark):
 CHAIN = (60, [(i + 1, i) if i % 3 else (i, i + 1) for i in range(59)])
 
 
-@pytest.mark.parametrize("min_hot_rows", [1_000_000, 3])
+@pytest.mark.parametrize("target_rows", [1_000_000, 3])
 @pytest.mark.parametrize(
     "case",
     [SMALL, CHAIN, random_graph(2, 60, 45, hub=False), random_graph(3, 60, 40, hub=True), (3, [(1, 1)])],
     ids=["small", "chain", "sparse", "hub", "isolated"],
 )
-def test_connected_components(spark, case, min_hot_rows):
+def test_connected_components(spark, case, target_rows):
     nodes, edges = make_graph(spark, *case)
-    got = graph_loops.connected_components(nodes, edges, min_hot_rows=min_hot_rows).collect()
+    got = graph_loops.connected_components(nodes, edges, target_rows=target_rows).collect()
     expected = components_by_hand(*case)
     assert {r.id: r.component for r in got} == dict(enumerate(expected))
     assert [(r.component, r.id) for r in got] == sorted((c, i) for i, c in enumerate(expected))
@@ -161,7 +197,7 @@ def test_connected_components(spark, case, min_hot_rows):
 def test_rounds_move_only_vertex_sized_tables(spark, conf, monkeypatch):
     """Links and ranks keep their place: a round shuffles the partial sums, and the ranks if some are salted."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(graph_loops, "ROWS_PER_PARTITION", 1)
+    monkeypatch.setattr(graph_loops, "LINKS_PER_PARTITION", 1)
     plans, pass_ranks = [], graph_loops._pass_ranks
 
     def watched(*args):
@@ -171,11 +207,27 @@ def test_rounds_move_only_vertex_sized_tables(spark, conf, monkeypatch):
 
     monkeypatch.setattr(graph_loops, "_pass_ranks", watched)
     hub = make_graph(spark, *random_graph(4, 30, 200, hub=True))
-    for min_hot_rows, exchanges in ((1_000_000, 1), (10, 2)):
-        graph_loops.pagerank(*hub, iterations=1, min_hot_rows=min_hot_rows)
+    for target_rows, exchanges in ((1_000_000, 1), (10, 2)):
+        graph_loops.pagerank(*hub, iterations=1, target_rows=target_rows)
         assert plans[-1].count("Exchange hashpartitioning") == exchanges, plans[-1]
 
 
+def test_rounds_have_tasks_by_links_and_leave_the_session_alone(spark, monkeypatch):
+    before = dict(spark.conf.getAll.items())
+    partitions, settle = [], graph_loops._settle
+
+    def watched(df, parts, on):
+        partitions.append(parts)
+        return settle(df, parts, on)
+
+    monkeypatch.setattr(graph_loops, "_settle", watched)
+    monkeypatch.setattr(graph_loops, "LINKS_PER_PARTITION", 5)
+    n, edges = random_graph(4, 30, 200, hub=True)
+    graph_loops.pagerank(*make_graph(spark, n, edges), iterations=1)
+    assert partitions == [-(-len(set(edges)) // 5)] * 2 and partitions[0] > 8
+    assert dict(spark.conf.getAll.items()) == before
+
+
 def test_links_are_reduced_before_their_ends_are_checked(spark, conf, city):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     nodes, edges = graph.station_graph(city.stations, city.trips)
@@ -193,6 +245,6 @@ def test_walks_agree_between_forms(city):
     linked = graph.linked_trips(city.trips, city.users, city.stations)
     docs = documents.embed_events(linked, city.events)
     counted = {t.station_id: t.trips_ending for t in documents.station_counts(docs, city.stations).collect()}
-    top = {t.station_id: t.incoming for t in graph.optional_match(city.stations, linked).collect()}
+    top = {t.station_id: t.incoming for t in graph.optional_match(city.stations, city.trips, city.users).collect()}
     assert {k: v for k, v in top.items() if k in counted} == counted
     assert isinstance(city, Mobility)

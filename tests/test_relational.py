@@ -65,6 +65,12 @@ def test_merge_counts_fills_the_missing_side(city):
     assert counts[99] == (1, 0) and counts[30] == (1, 2)
 
 
+def test_the_null_id_is_one_key(city):
+    trips = city.trips.unionByName(city.trips.filter("trip_id = 100").withColumn("end_station_id", F.lit(None).cast("bigint")))
+    merged = rows(r.merge_counts(trips))
+    assert [t for t in merged if t[0] is None] == [(None, 1, 1)] and len(merged) == 5
+
+
 def test_max_ids_of_an_empty_table_is_one(city):
     empty = city.trips.filter("false")
     assert rows(r.max_ids({"trips": (city.trips, "trip_id"), "none": (empty, "trip_id")})) == [("trips", 106), ("none", 1)]
@@ -77,6 +83,6 @@ def test_top_users_breaks_ties_by_id(city):
 
 def test_other_small_operators(city):
     assert {t[0]: t[2] for t in rows(r.trips_per_station(city.stations, city.trips))} == {10: 2, 20: 2, 30: 1, 40: 0}
-    assert sorted(t[0] for t in rows(r.visited_station_ids(city.trips))) == [10, 20, 30, 99]
+    assert {t[0] for t in rows(r.visited_station_ids(city.trips))} == {None, 10, 20, 30, 99}
     assert {t[0]: t[1:] for t in rows(r.distinct_ends(city.trips))}[20] == (1, 2)
     assert [t[0] for t in rows(r.preview(city.trips, "trip_id", 2))] == [100, 101]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
-from pedalflow.operators import graph, relational
+from pedalflow.operators import graph, relational, skew
 from pedalflow.operators.skew import hot_keys, replicate, salted_join, spread
 from pedalflow.sources import generate
 
@@ -24,18 +24,29 @@ def dim(spark):
     return spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
 
 
-def test_hot_keys_are_few_whatever_the_data(fact):
+def test_a_key_is_hot_by_its_own_rows(fact):
     counts = fact.groupBy("k").agg(F.count("*").alias("n"))
-    assert [r[0] for r in rows(hot_keys(counts, "k", min_rows=100))] == [HOT]
+    assert rows(hot_keys(counts, "k", target_rows=100)) == [(HOT, 11)]
     assert rows(hot_keys(counts, "k")) == []
-    # Without a floor a key must hold more than 1/max_keys of the rows, which fewer than max_keys keys can.
-    for most in (1, 2, 10, 60):
-        assert hot_keys(counts, "k", min_rows=0, max_keys=most).count() < max(most, 2)
+    # However large the rest of the table is: this key has less than 0.05 % of the rows.
+    more = counts.unionByName(counts.sparkSession.createDataFrame([(77, 3_000_000)], "k long, n long"))
+    assert sorted(rows(hot_keys(more, "k", target_rows=1000))) == [(HOT, 2), (77, 3000)]
+
+
+def test_a_long_list_of_hot_keys_is_not_broadcast(fact, dim, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    counts = fact.groupBy("k").agg(F.count("*").alias("n"))
+    joined = salted_join(fact, dim, hot_keys(counts, "k", target_rows=20), "k", F.col("id"))
+    assert "BroadcastHashJoin" in plan_of(joined)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 3)
+    apart = salted_join(fact, dim, hot_keys(counts, "k", target_rows=20), "k", F.col("id"))
+    assert "BroadcastHashJoin" not in plan_of(apart)
+    assert sorted(rows(apart.select("id", "x"))) == sorted(rows(joined.select("id", "x")))
 
 
 def test_salted_join_equals_the_join_and_splits_the_hot_key(fact, dim):
     counts = fact.groupBy("k").agg(F.count("*").alias("n"))
-    hot = hot_keys(counts, "k", min_rows=100)
+    hot = hot_keys(counts, "k", target_rows=100)
     plain = sorted(rows(fact.join(dim, "k").select("id", "k", "x")))
     for chosen in (hot, None):
         assert sorted(rows(salted_join(fact, dim, chosen, "k", F.col("id")).select("id", "k", "x"))) == plain
