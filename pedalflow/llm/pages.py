@@ -56,10 +56,10 @@ TAGS = (
 ).split()
 # Words in class, id and role that tell parts of a page.
 HINTS = (
-    "ad ads advert advertisement banner sponsor promo cookie consent notice alert popup modal nav navigation menu breadcrumb "
-    "pagination header masthead footer copyright sidebar aside widget related recommended share social comment comments reply "
-    "discussion disqus form login search subscribe newsletter toolbar skip meta tags byline author article post content entry main "
-    "story body text"
+    "ad ads advert advertisement banner sponsor promo cookie cookies consent gdpr notice alert popup modal nav navigation menu "
+    "breadcrumb breadcrumbs pagination header masthead logo footer copyright sidebar aside widget related recommended share social "
+    "comment comments reply discussion disqus form login signup search subscribe newsletter toolbar skip meta tags byline author "
+    "article post content entry main story body text"
 ).split()
 
 _TAG_ID = {t: i for i, t in enumerate(TAGS)}
@@ -290,14 +290,14 @@ def text_of(page: Page, keep: list[bool]) -> str:
 # Tags and classes that stand for a part in rearranged pages.
 _MAIN = ("article", "main", "div class=\"content\"", "div class=\"post\"", "div id=\"main-text\"", "section class=\"entry\"", "div class=\"story\"", "div")
 _AROUND = {
-    "menu": ("nav", "div class=\"menu\"", "ul class=\"nav\"", "div id=\"navigation\""),
-    "top": ("header", "div class=\"header\"", "div id=\"masthead\"", "div class=\"banner\""),
+    "menu": ("nav", "div class=\"menu\"", "ul class=\"nav\"", "div id=\"navigation\"", "div class=\"breadcrumbs\"", "div class=\"pagination\""),
+    "top": ("header", "div class=\"header\"", "div id=\"masthead\"", "div class=\"toolbar\"", "div class=\"logo\""),
     "foot": ("footer", "div class=\"footer\"", "div id=\"footer\"", "p class=\"copyright\""),
-    "side": ("aside", "div class=\"sidebar\"", "div class=\"widget\"", "div class=\"related\""),
-    "ad": ("div class=\"ad\"", "div class=\"advert\"", "div class=\"sponsor\"", "div class=\"promo\""),
-    "notice": ("div class=\"cookie\"", "div class=\"notice\"", "div id=\"consent\"", "div class=\"popup\""),
-    "form": ("form", "div class=\"login\"", "div class=\"subscribe\"", "form class=\"search\""),
-    "comments": ("section class=\"comments\"", "div id=\"comments\"", "div class=\"discussion\"", "ol class=\"comment\""),
+    "side": ("aside", "div class=\"sidebar\"", "div class=\"widget\"", "div class=\"related\"", "section class=\"recommended\"", "div class=\"share\"", "div class=\"social\""),
+    "ad": ("div class=\"ad\"", "div class=\"advert\"", "div class=\"sponsor\"", "div class=\"promo\"", "div class=\"ads\"", "div class=\"advertisement\"", "div class=\"banner\""),
+    "notice": ("div class=\"cookie\"", "div class=\"notice\"", "div id=\"consent\"", "div class=\"popup\"", "div role=\"alert\"", "div class=\"modal\"", "div id=\"cookies\"", "section class=\"gdpr\""),
+    "form": ("form", "div class=\"login\"", "div class=\"subscribe\"", "form class=\"search\"", "div class=\"newsletter\"", "section id=\"signup\""),
+    "comments": ("section class=\"comments\"", "div id=\"comments\"", "div class=\"discussion\"", "ol class=\"comment\"", "div class=\"reply\"", "div id=\"disqus\""),
 }
 _FILLER = "The river rose in the night, and by morning the lower road was gone. People came out to look. Nobody spoke much."
 _NAMED_PART = re.compile(r"<(article|main)\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
