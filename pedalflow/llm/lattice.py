@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from pedalflow.llm import pieces
@@ -289,9 +290,10 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [ids or [] for ids in batch.column("token_ids").to_pylist()]
-            flat = np.array([i for ids in lists for i in ids], np.int64)
-            texts = decoder(vocabulary_path).decode(flat, offsets_of([len(ids) for ids in lists]))
+            lists = batch.column("token_ids")
+            sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = decoder(vocabulary_path).decode(ids, offsets_of(sizes))
             column = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], names=["doc_id", "text"])
 

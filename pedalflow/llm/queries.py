@@ -20,7 +20,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     known = langid.learn(docs.filter(langid.learnable()))
-    held_out = (~langid.learnable()).alias("held_out")
+    held_out = F.coalesce(~langid.learnable(), F.lit(False)).alias("held_out")
     return langid.identify(docs, known).select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
