@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+_removed_at_exit: set[str] = set()
+
+
 def get_spark(app_name: str = "pedalflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; on a cluster pass no master."""
     builder = (
@@ -48,8 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
             folder = tempfile.mkdtemp(prefix="pedalflow-")
         context.setCheckpointDir(folder)
-        _remove_at_exit(spark, context.getCheckpointDir())
-    return context.getCheckpointDir()
+    own = context.getCheckpointDir()  # Spark makes a new one in the folder for each application
+    if own not in _removed_at_exit:
+        _removed_at_exit.add(own)
+        _remove_at_exit(spark, own)
+    return own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
