@@ -312,7 +312,7 @@ def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Identifier:
     What reaches the driver is the sample, whose size does not grow with ``docs``.
     """
     texts: dict[str, set[str]] = {}
-    for lang, text in sample(docs, chars).collect():
+    for lang, text in sample(docs, chars).distinct().collect():  # copies of a text are drawn together
         texts.setdefault(lang, set()).add(text)
     return identifier(texts)
 
