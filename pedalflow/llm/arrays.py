@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,14 @@ def text_chunks(
             end = max(begin + 1, min(begin + rows, int(np.searchsorted(ends, before + limit, "right"))))
             yield batch.slice(begin, end - begin)
             begin = end
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system: Spark keeps Python workers between tasks, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

@@ -30,7 +30,9 @@ from pedalflow.llm.ship import ship
 
 # A worker remembers the ids of so many pre-tokens of at most so many bytes, and for so many pairs of pieces whether
 # one may follow the other; others are worked out anew.
-KNOWN_PRETOKENS, KNOWN_BYTES, KNOWN_PAIRS = 600_000, 24, 2_000_000
+KNOWN_PRETOKENS, KNOWN_BYTES, KNOWN_PAIRS = 300_000, 24, 1_000_000
+# Pre-tokens are indexed together in slices of about this many bytes, which bounds the arrays of a slice to some 60 MB.
+SLICE_BYTES = 400_000
 _NONE, _OUTSIDE = -1, -2
 
 
@@ -104,20 +106,22 @@ class Encoder:
         if not pretokens:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         row = np.array([self.known_row.get(t, -1) for t in pretokens], np.int64)
-        known, known_offsets = self.known_ids, self.known_offsets
+        known, known_offsets = [self.known_ids], [self.known_offsets]
+        rows = len(self.known_offsets) - 1
         new = np.flatnonzero(row < 0)
-        if len(new):
-            fresh = [pretokens[i] for i in new.tolist()]
-            flat, offsets = self._encode_pretokens(fresh)
-            row[new] = len(known_offsets) - 1 + np.arange(len(new))
-            known = np.concatenate([known, flat])
-            known_offsets = np.concatenate([known_offsets, known_offsets[-1] + offsets[1:]])
-            if len(known_offsets) <= KNOWN_PRETOKENS:
-                self.known_row.update((t, r) for t, r in zip(fresh, row[new].tolist()) if len(t) <= KNOWN_BYTES)
-                self.known_ids, self.known_offsets = known, known_offsets
-            else:
-                self.known_row.clear()
-                self.known_ids, self.known_offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        row[new] = rows + np.arange(len(new))
+        fresh = [pretokens[i] for i in new.tolist()]
+        for part in _slices(fresh, SLICE_BYTES):
+            flat, offsets = self._encode_pretokens(fresh[part])
+            known.append(flat)
+            known_offsets.append(known_offsets[-1][-1] + offsets[1:])
+        known, known_offsets = np.concatenate(known), np.concatenate(known_offsets)
+        if len(known_offsets) <= KNOWN_PRETOKENS:
+            self.known_row.update((t, r) for t, r in zip(fresh, range(rows, rows + len(fresh))) if len(t) <= KNOWN_BYTES)
+            self.known_ids, self.known_offsets = known, known_offsets
+        else:
+            self.known_row = {}
+            self.known_ids, self.known_offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
         sizes = np.diff(known_offsets)[row]
         per_place = sizes[at]
         out = known[ranges(known_offsets[row][at], per_place)]
@@ -158,7 +162,7 @@ class Encoder:
         back[place] = np.arange(len(symbols))
         start = back[at]
         end = start + np.repeat(self.sizes[use], count)
-        return start, end, np.repeat(self.ids[use], count)
+        return start.astype(np.int32), end.astype(np.int32), np.repeat(self.ids[use], count)
 
     def _bisect(self, text: np.ndarray, suffixes: np.ndarray, upper: bool) -> np.ndarray:
         """For each piece the first suffix that does not come before it; ``upper``: that does not begin with it either."""
@@ -187,11 +191,11 @@ class Encoder:
         # A character without a piece is an edge of its own.
         single = np.zeros(n, bool)
         single[start[end - start == 1]] = True
-        lone = np.flatnonzero(~single)
+        lone = np.flatnonzero(~single).astype(np.int32)
         start, end = np.concatenate([start, lone]), np.concatenate([end, lone + 1])
         piece = np.concatenate([piece, symbols[lone]])
-        step = end - owner_begin[start]
-        order = np.argsort(step.astype(np.int32))
+        step = (end - owner_begin[start]).astype(np.int32)
+        order = np.argsort(step)
         start, end, piece = start[order], end[order], piece[order]
         bounds = np.searchsorted(step[order], np.arange(1, int(step.max()) + 2))
         chosen, first = np.full(n + 1, _NONE, np.int32), np.zeros(n + 1, np.int64)
@@ -209,6 +213,17 @@ class Encoder:
         return chosen, first
 
 
+def _slices(texts: list[bytes], limit: int) -> Iterator[slice]:
+    """Slices of the list of at most ``limit`` bytes each, one text at least."""
+    ends = np.cumsum([len(t) for t in texts])
+    begin = 0
+    while begin < len(texts):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield slice(begin, end)
+        begin = end
+
+
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """The positions of ``text`` in the order of what follows, as far as ``depth`` symbols matter."""
     _, rank = np.unique(text, return_inverse=True)
@@ -263,7 +278,7 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_chunks(batches, "text", limit=8 << 20):
+        for chunk in text_chunks(batches, "text"):
             texts = as_bytes(chunk.column("text"))
             ids, offsets = encoder(vocabulary_path).encode(texts)
             back = decoder(vocabulary_path).decode(ids, offsets)
