@@ -41,7 +41,9 @@ REJECT_DEVIATIONS, REJECT_BITS = 6.0, 2.0
 UND = "und"
 DISCOUNT_FLOOR = 0.1
 # A task remembers the bits of so many words of at most so many letters; others are worked out anew.
-KNOWN_WORDS, KNOWN_LETTERS = 300_000, 20
+KNOWN_WORDS, KNOWN_LETTERS = 150_000, 20
+# Texts are scored in pieces of so many bytes; a piece takes some 25 times as much memory.
+PIECE_BYTES = 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -347,7 +349,7 @@ def identify(docs: DataFrame, known: Identifier) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Memory(len(shared.value.models))
-        for chunk in text_chunks(batches, "text"):
+        for chunk in text_chunks(batches, "text", limit=PIECE_BYTES):
             texts = ["" if t is None else t for t in chunk.column("text").to_pylist()]
             names, score, rejected = shared.value.predict(texts, memory)
             yield pa.RecordBatch.from_arrays(
@@ -369,7 +371,7 @@ def accepted(docs: DataFrame, known: Identifier) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Memory(len(shared.value.models))
-        for chunk in text_chunks(batches, "text"):
+        for chunk in text_chunks(batches, "text", limit=PIECE_BYTES):
             texts = ["" if t is None else t for t in chunk.column("text").to_pylist()]
             yield chunk.filter(pa.array(~shared.value.predict(texts, memory)[2]))
 
