@@ -7,12 +7,15 @@ the ``regex`` library's bounded-error matching decides, counts the edits and giv
 
 Defined results: a text that is null, empty or without words has no words, no places and score 0; every
 row is scanned for itself and whole, so repeated rows get equal results; matches do not overlap within one
-notice; of alternatives at one place the library's best match counts; an empty table gives an empty table; columns
+notice; of matches that overlap the one with the fewest errors counts, then the first, and what stands before and after
+it counts too; an empty table gives an empty table; columns
 besides ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -44,6 +47,8 @@ NOTICES = {
 }
 # A notice may have one error (a letter changed, added or left out) for so many characters.
 CHARS_PER_ERROR = 10
+# A window that is searched at once is so many times as long as its notice at most, or as one seed asks.
+WINDOW_SIZES = 4
 
 _WORD = np.array([b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 for b in range(256)])
 _END = 255  # between two texts; no byte of UTF-8
@@ -141,36 +146,72 @@ def exact_places(buffer: Buffer) -> list[Place]:
 
 
 def fuzzy_places(buffer: Buffer, notices: list[Notice] | None = None) -> list[Place]:
-    """Where the notices stand with at most their number of errors."""
+    """Where the notices stand with at most their number of errors: of places that overlap the one with the fewest, then the first."""
     found = []
     for n in _notices() if notices is None else notices:
         size = len(n.words)
-        windows = []
-        for offset, seed in n.seeds:
-            at = buffer.raw.find(seed)
-            while at >= 0:
-                begin = at - offset - n.errors - 1
-                windows.append((max(0, begin), begin + size + 2 * n.errors + 2))
-                at = buffer.raw.find(seed, at + 1)
-        for begin, end in _joined(windows):
-            for m in n.pattern.finditer(buffer.raw, begin, min(end, len(buffer.raw))):
-                if m.end() == m.start() or b"\xff" in m.group():
-                    continue
-                errors = sum(m.fuzzy_counts)
-                found.append(_place(buffer, m.start(), m.end(), n.label, errors, 1 - errors / size))
+        for begin, end, errors in _best_first(n, buffer.raw, _joined(_windows(n, buffer), WINDOW_SIZES * size)):
+            found.append(_place(buffer, begin, end, n.label, errors, 1 - errors / size))
     return found
 
 
-def _joined(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _windows(n: Notice, buffer: Buffer) -> list[tuple[int, int]]:
+    """Around each seed the room that the whole notice may take, within the seed's text."""
+    begins = []
+    for offset, seed in n.seeds:
+        at = buffer.raw.find(seed)
+        while at >= 0:
+            begins.append((at, at - offset - n.errors - 1))
+            at = buffer.raw.find(seed, at + 1)
+    if not begins:
+        return []
+    at, begin = np.array(begins).T
+    text = np.searchsorted(buffer.text_offsets, at, "right")
+    low, high = buffer.text_offsets[text - 1], buffer.text_offsets[text] - 1  # without _END
+    end = begin + len(n.words) + 2 * n.errors + 2
+    return list(zip(np.maximum(begin, low).tolist(), np.minimum(end, high).tolist()))
+
+
+def _joined(windows: list[tuple[int, int]], longest: int) -> list[tuple[int, int]]:
+    """Windows that overlap as one, up to a length; each given window lies whole in one of the result."""
     out: list[tuple[int, int]] = []
     for begin, end in sorted(windows):
-        if out and begin <= out[-1][1]:
+        if out and begin <= out[-1][1] and max(end, out[-1][1]) - out[-1][0] <= longest:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
             out.append((begin, end))
     return out
 
 
+def _best_first(n: Notice, raw: bytes, windows: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """``(begin, end, errors)`` of matches that do not overlap; what a match leaves of its window is searched again."""
+    heap: list[tuple[int, int, int, int, int]] = []
+    taken: list[tuple[int, int, int]] = []
+
+    def look(low: int, high: int) -> None:
+        # Too short for a match and the edge after it.
+        if high - low <= len(n.words) - n.errors:
+            return
+        m = n.pattern.search(raw, low, high)
+        if m:
+            heapq.heappush(heap, (sum(m.fuzzy_counts), m.start(), m.end(), low, high))
+
+    for low, high in windows:
+        look(low, high)
+    while heap:
+        errors, begin, end, low, high = heapq.heappop(heap)
+        at = bisect.bisect(taken, (begin, end))
+        if at and taken[at - 1][1] > begin:
+            begin, end, _ = taken[at - 1]
+        elif at < len(taken) and taken[at][0] < end:
+            begin, end, _ = taken[at]
+        else:
+            taken.insert(at, (begin, end, errors))
+        look(low, min(begin, high))
+        look(max(end, low), high)
+    return taken
+
+
 SPANS = "array<struct<first_word:bigint,last_word:bigint,label:string,errors:int,score:double>>"
 _SPAN = pa.struct(
     [("first_word", pa.int64()), ("last_word", pa.int64()), ("label", pa.string()), ("errors", pa.int32()), ("score", pa.float64())]

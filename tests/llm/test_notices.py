@@ -105,3 +105,20 @@ def test_documents_by_hand(documents, awkward):
 
 def test_an_empty_table(empty):
     assert notices.licenses(empty).collect() == []
+
+
+def fuzzy(*texts):
+    return [(p.text, p.first_word, p.last_word, p.errors) for p in sorted(notices.fuzzy_places(notices.words_of([t.encode() for t in texts])))]
+
+
+def test_a_worse_notice_before_a_better_one_is_found():
+    assert fuzzy("all rihts reserved all rights reserved") == [(0, 0, 2, 1), (0, 3, 5, 0)]
+    assert fuzzy("all rihts reserved", "all rights reserved") == [(0, 0, 2, 1), (1, 0, 2, 0)]
+    assert fuzzy("x all rihts reserved", "all rights reserved y") == fuzzy("x all rihts reserved") + [(1, 0, 2, 0)]
+
+
+def test_a_text_that_repeats_a_notice():
+    rng = random.Random(5)
+    forms = {"licensed under cc by": 0, "licensd under cc by": 1, "licensd undr cc by": 2}
+    drawn = [rng.choice(list(forms)) for _ in range(300)]
+    assert [(first, errors) for _, first, _, errors in fuzzy(" ".join(drawn))] == [(4 * i, forms[d]) for i, d in enumerate(drawn)]
