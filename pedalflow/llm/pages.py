@@ -10,10 +10,13 @@ The trees are fitted on a bounded sample of the given pages whose markup names i
 rearranged forms of these, in which other tags and class names stand for the same parts and further parts are added. So
 they also learn pages that use plain ``div``s.
 
-Defined results: null and empty pages have the empty text; scripts, styles, templates, form fields, comments and the
-head are never text; character references are decoded once; white space, ``br`` and the bounds of blocks become one
-space each; tags left open are closed as HTML closes them, and a page that breaks off ends there; a stray closing tag is
-passed over; text outside every element is no main text. Each page is read whole and for itself. An empty table gives an empty table; other columns are not read.
+Defined results: null and empty pages have the empty text; scripts, styles, templates, SVG, frames, form fields (buttons
+too), what stands for a missing script, comments, the head and the title are never text; formulas and what stands inside
+``object`` and ``canvas`` belong to the text around them; character references are decoded once; white space, ``br`` and
+the bounds of blocks become one space each; tags left open are closed as HTML closes them, and a page that breaks off
+ends there; a stray closing tag is passed over. As in HTML, a head ends and a body begins at the first text or tag that
+cannot be in a head, also where no tag says so, and the body goes on to the end of the page; the trees decide on its own
+text as on any node's. Each page is read whole and for itself. An empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,13 +40,18 @@ from pedalflow.llm.ship import ship
 SAMPLE_PAGES, MAX_SAMPLE_CHARS, REARRANGED = 120, 50_000, 3
 
 # Groups of tags.
-NEVER_TEXT = frozenset("head script style noscript template svg math select textarea button option iframe object canvas".split())
+NEVER_TEXT = frozenset("head title script style noscript template svg select textarea button option iframe".split())
 RAW_TEXT = frozenset("script style textarea title noscript iframe".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title style script template noscript noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr img".split()
+    "strong sub sup time tt u var wbr img object canvas "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced maction semantics annotation "
+    "annotation-xml msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable".split()
 )
+# Bounds of these are white space, as those of blocks; they are no nodes of their own.
+CELLS = frozenset("mtr mlabeledtr mtd".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol p pre section table ul".split()
@@ -97,13 +105,39 @@ def _hints(attributes: str) -> int:
     return found
 
 
-def parse(page: str) -> Page:
+def parse(page: str, implied_body: bool = False) -> Page:
+    """With ``implied_body`` as HTML has it, and as pages are read for their main text; without, a body begins at its tag only
+    and text outside every element is the root's, which is no text."""
     parent, end, tag_ids, hints, depth, truth = [-1], [0], [_TAG_ID["html"]], [0], [0], [""]
     chars, link_chars, marks, pieces = [0], [0], [0], []
     stack: list[tuple[str, int]] = [("", 0)]  # open elements and their nodes
     hidden, links, at = 0, 0, 0
+    in_body = False
+
+    def open_node(tag: str, own: int = 0, part: str = "") -> int:
+        above = stack[-1][1]
+        parent.append(above)
+        end.append(0)
+        tag_ids.append(_TAG_ID.get(tag, len(TAGS)))
+        hints.append(own)
+        depth.append(depth[above] + 1)
+        truth.append(part)
+        chars.append(0)
+        link_chars.append(0)
+        marks.append(0)
+        return len(parent) - 1
+
+    def open_body(own: int = 0, part: str = "") -> None:
+        nonlocal in_body
+        if not in_body:
+            close({"head"})
+            in_body = True
+            pieces.append((_BREAK, " "))
+            stack.append(("body", open_node("body", own, part)))
 
     def take(text: str) -> None:
+        if implied_body and not in_body and stack[-1][0] in ("", "head") and not text.isspace():
+            open_body()
         if not text or hidden:
             return
         if "&" in text:
@@ -151,18 +185,26 @@ def parse(page: str) -> Page:
         name = name.lower()
         attributes = m[3] if m[2] else m[6]
         if m[1] or m[4]:
+            if name in ("html", "body"):  # what follows is still in the body
+                continue
             if name == "p" and not any(n == "p" for n, _ in stack):
                 pieces.append((_BREAK, " "))
             close({name})
             continue
+        if name in ("html", "body") and (hints_of := _hints(attributes)):
+            hints[0] |= hints_of
+        if name == "html" or (name in ("head", "body") and in_body):
+            continue
+        if name == "body":
+            part = _TRUTH.search(attributes)
+            open_body(_hints(attributes), part[1] if part else "")
+            continue
+        if implied_body and not in_body and stack[-1][0] in ("", "head") and name != "head" and name not in IN_HEAD:
+            open_body()
         if name in VOID:
             if name not in INLINE:
                 pieces.append((_BREAK, " "))
             continue
-        if name in ("html", "body") and (hints_of := _hints(attributes)):
-            hints[0] |= hints_of
-        if name == "html":
-            continue
         if name in CLOSES_P:
             close({"p"}, {"td", "th", "table"})
         if name in SAME_CLOSES:
@@ -172,19 +214,9 @@ def parse(page: str) -> Page:
         own = _hints(attributes) if attributes else 0
         if not inline:
             pieces.append((_BREAK, " "))
-        if (not inline or own) and name not in NEVER_TEXT and not hidden:
-            new = len(parent)
-            parent.append(node)
-            end.append(0)
-            tag_ids.append(_TAG_ID.get(name, len(TAGS)))
-            hints.append(own)
-            depth.append(depth[node] + 1)
+        if (not (inline or name in CELLS) or own) and name not in NEVER_TEXT and not hidden:
             part = _TRUTH.search(attributes) if attributes else None
-            truth.append(part[1] if part else "")
-            chars.append(0)
-            link_chars.append(0)
-            marks.append(0)
-            node = new
+            node = open_node(name, own, part[1] if part else "")
         stack.append((name, node))
         if name in NEVER_TEXT:
             hidden += 1
@@ -192,9 +224,7 @@ def parse(page: str) -> Page:
             links += 1
         if name in RAW_TEXT:
             stop = re.compile(rf"</{name}\b", re.I).search(page, at)
-            inside, at = page[at : stop.start() if stop else len(page)], stop.start() if stop else len(page)
-            if name not in NEVER_TEXT:
-                take(inside)
+            at = stop.start() if stop else len(page)
     while len(stack) > 1:
         close_top()
     end[0] = len(parent)
@@ -376,10 +406,10 @@ def fit_pages(sample: list[str]) -> trees.Forest:
     for page in sorted(sample):
         found = _NAMED_PART.search(page)
         if found:
-            pages.append(parse(page))
+            pages.append(parse(page, implied_body=True))
             # A main part may be no more than a few words.
             few = " ".join(re.sub(r"<[^>]*>", " ", found[2]).split()[: 1 + len(pages) % 4])
-            pages.append(parse(page.replace(found[2], f"<h1>{few}</h1><p>{few}</p>")))
+            pages.append(parse(page.replace(found[2], f"<h1>{few}</h1><p>{few}</p>"), implied_body=True))
             plain = re.sub(r"<[^>]*>", " ", re.sub(r"<(script|style)\b.*?</\1", " ", page, flags=re.S | re.I))
             sources.append((found[2], plain))
     rng = random.Random(7)
@@ -406,7 +436,7 @@ def extract(pages: DataFrame, forest: trees.Forest) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "html", rows=500):
-            parsed = [parse(h or "") for h in chunk.column("html").to_pylist()]
+            parsed = [parse(h or "", implied_body=True) for h in chunk.column("html").to_pylist()]
             odds = shared.value.margins(features(parsed))
             texts, begin = [], 0
             for page in parsed:

@@ -120,3 +120,38 @@ def test_awkward_rows(spark, given, forest):
     assert by_id[6].text == " ".join(["long words here."] * 40_000)
     none = odd.filter("false")
     assert pages.extract(none, pages.learn(none)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("plain", "plain"),
+        ("a<br>b <b>c</b>d <a href=x>e</a>", "a b cd e"),
+        ("<title>no</title>\n<p>a</p> b", "a b"),
+        ("<html><head><title>no</title><meta name=x>a <p>b", "a b"),
+        ("<html><head><style>no{}</style></head><i>a</i><p>b</p></html>c", "a b c"),
+        ("<body><p>a</p></body>b <i>c</i><div>d</div></html> e", "a b c d e"),
+        ("<article>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, <object data=o>a</object> <canvas><p>b</p></canvas></article>", "If x=1, a b"),
+        ("<p><math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math>", "1 2"),
+    ],
+)
+def test_bodies_that_no_tag_opens_and_parts_of_the_text(page, text):
+    parsed = pages.parse(page, implied_body=True)
+    assert pages.text_of(parsed, [True] * len(parsed.parent)) == text
+    assert not any(node == 0 and t.strip() for node, t in parsed.pieces)
+
+
+def test_main_texts_without_a_body_tag(spark, given, forest):
+    prose = "The river rose in the night, and by morning the lower road was gone. People came out to look."
+    cases = [
+        (prose, prose),
+        (f"{prose}<br>{prose}", f"{prose} {prose}"),
+        (f"<b>{prose}</b> {prose} <i>{prose}</i>", f"{prose} {prose} {prose}"),
+        (f"<html><body></body>{prose}</html>", prose),
+        (f"<article><p>{prose}</p><p>If <math><mi>x</mi></math> {prose}</p></article>", f"{prose} If x {prose}"),
+    ]
+    for page in given.orderBy("page_id").limit(50).collect():
+        cases.append((re.sub(r"</?(?:html|head|body)\b[^>]*>", "", page.html), article_of(page.html)))
+    rows = spark.createDataFrame([(i, "u", page) for i, (page, _) in enumerate(cases)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(rows, forest).collect()}
+    assert [got[i] for i in range(len(cases))] == [text for _, text in cases]
