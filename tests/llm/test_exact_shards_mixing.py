@@ -177,3 +177,31 @@ def test_awkward_rows(awkward, empty):
     places = [place[r.doc_id] for r in ordered.collect()]
     assert places == sorted(places)
     assert mixing.mix(empty).collect() == [] and mixing.in_mixed_order(empty).collect() == []
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.5, "b": 0.3, "c": 0.2}, {c: (i + 1) ** 2.7 for i, c in enumerate("abcdefghijk")}, {"a": 1, "b": 1e-3, "c": 0.7, "d": 2e-5}])
+def test_the_given_weights_hold_over_many_segments(weights):
+    names, slots, period = sorted(weights), 6000, 37
+    parts = mixing.parts_of(names, weights)
+    whole, total = sum(parts), sum(weights.values())
+    at_once = list(mixing.segment(parts, [0] * len(parts), 0, slots))
+    done = [0] * len(parts)
+    for source, block, release, deadline, slot in at_once:
+        if slot % period == 0:
+            assert mixing.done_before(parts, slot) == done
+        assert release <= slot < deadline and release == block * whole // parts[source]
+        done[source] += 1
+        assert all(abs(n - weights[s] / total * (slot + 1)) < 1 for n, s in zip(done, names))
+    far = 10**9
+    assert all(abs(n - weights[s] / total * far) < 1.001 for n, s in zip(mixing.done_before(parts, far), names))
+
+
+def test_mixed_rows_keep_the_given_weights_over_many_periods(spark):
+    names, weights, rows = "abc", {"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 1000, "b": 600, "c": 400}
+    docs = spark.createDataFrame([(i, c) for c in names for i in range(rows[c])], "doc_id bigint, source string")
+    mixed = sorted(mixing.mix(docs, weights, block_rows=1, period=16).collect(), key=lambda r: r.position)
+    done = dict.fromkeys(names, 0)
+    for n, r in enumerate(mixed, 1):
+        done[r.source] += 1
+        assert r.weight == pytest.approx(weights[r.source]) and r.release <= r.slot < r.deadline
+        assert all(abs(done[c] - weights[c] * n) < 1 for c in names)
