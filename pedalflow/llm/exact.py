@@ -40,7 +40,8 @@ def _split(rows: DataFrame, digit: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _groups(cut: DataFrame, keys: list[str]) -> DataFrame:
-    label = F.coalesce(F.min("doc_id").cast("string"), F.min("text_sha256"))
+    # A text is in one group, so its digest names the group, whatever ids repeat.
+    label = F.min("text_sha256")
     made = cut.groupBy(*keys).agg(
         F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"), label.alias("_label")
     )

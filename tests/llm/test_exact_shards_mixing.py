@@ -50,6 +50,17 @@ def test_null_ids_alone_and_with_others(spark):
     assert left == [(0, "a"), (0, "a"), (0, "c"), (0, "c"), (0, "c"), (0, "c"), (3, "b")]
 
 
+@pytest.mark.parametrize("first_digit", [1, 64])
+def test_a_doc_id_in_groups_with_equal_tails(spark, first_digit):
+    tail = "t" * 3000
+    texts = ["a" * 64 + tail + "1", "a" * 64 + tail + "2", "b" * 64 + tail + "1", "b" * 64 + tail + "2"]
+    docs = spark.createDataFrame([(i, t) for t in texts for i in (1, 2, 2)], "doc_id bigint, text string")
+    got = exact.exact_groups(docs, first_digit)
+    assert sorted(map(tuple, got.collect()), key=str) == groups_by_hand(docs.collect())
+    spread = spark.createDataFrame([(1, texts[0]), (8, texts[0]), (1, texts[3]), (9, texts[2])], "doc_id bigint, text string")
+    assert sorted(map(tuple, exact.exact_groups(spread, first_digit).collect()), key=str) == groups_by_hand(spread.collect())
+
+
 def test_rows_without_copies(awkward, empty):
     left = exact.without_copies(awkward)
     assert left.columns == awkward.columns
