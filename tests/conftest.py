@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pedalflow.schemas import EVENTS, STATIONS, TRIPS, USERS, Mobility  # noqa: E402
 from pedalflow.session import get_spark  # noqa: E402
+from helpers import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -36,10 +37,6 @@ def conf(spark):
         spark.conf.set(key, value)
 
 
-def at(hour: int, minute: int = 0, second: int = 0) -> datetime.datetime:
-    return datetime.datetime(2024, 3, 10, hour, minute, second)
-
-
 @pytest.fixture(scope="session")
 def city(spark) -> Mobility:
     """Hand-made rows: a user and a station without trips, references that are null or lead nowhere, a loop."""
@@ -67,19 +64,3 @@ def city(spark) -> Mobility:
     ]
     make = spark.createDataFrame
     return Mobility(make(users, USERS), make(stations, STATIONS), make(trips, TRIPS), make(events, EVENTS))
-
-
-def rows(df) -> list[tuple]:
-    return [tuple(r) for r in df.collect()]
-
-
-def plan_of(df) -> str:
-    """The physical plan, after the query has run."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def planned(df) -> str:
-    """The physical plan before adaptive execution changes it."""
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[-1]

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import at, plan_of, rows
+from helpers import at, plan_of, rows
 from pedalflow.operators import documents as d
 from pedalflow.operators import evolution, relational
 from pedalflow.schemas import EVENTS, TRIPS

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from pedalflow.operators import documents as d
 from pedalflow.operators import evolution as e
 from pedalflow.schemas import EVOLVED_ELEMENT, EVOLVED_EVENTS, trip_docs

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from conftest import planned, rows
+from helpers import planned, rows
 from pedalflow.operators import documents, graph, graph_loops, quality, relational
 from pedalflow.operators.numbering import number_rows
 from pedalflow.schemas import Mobility

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from pedalflow.operators import relational as r
 
 

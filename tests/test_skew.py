@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pedalflow.operators import graph, relational, skew
 from pedalflow.operators.skew import hot_keys, replicate, salted_join, spread
 from pedalflow.sources import generate

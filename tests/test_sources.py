@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, planned, rows
+from helpers import plan_of, planned, rows
 from pedalflow.operators import documents, layout, relational
 from pedalflow.plans import timing
 from pedalflow.schemas import EVENTS, STATIONS, TABLES, TRIPS, USERS
