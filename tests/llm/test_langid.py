@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import PROSE
+from llm_helpers import PROSE
 
 from pedalflow.llm import langid
 from pedalflow.llm.queries import op1_language_id

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 import public_tokenizers
 import sentencepiece
-from conftest import FOLDER
+from llm_helpers import FOLDER
 from test_exact_shards_mixing import groups_by_hand
 from test_minhash import by_hand
 
