@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalflow.llm import exact, langid, lattice, minhash, mixing, notices, pages, pieces, shards, vectors
+from pedalflow.llm import exact, langid, lattice, minhash, mixing, notices, pages, pieces, repair, shards, vectors
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -61,6 +61,11 @@ def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations")
+    return repair.report(given, repair.damaged(given))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_license_scan": op9_license_scan,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # Components by following links both ways; for the small tables that SQL is run on.
