@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalflow.llm import exact, langid, lattice, minhash, mixing, notices, pages, pieces, repair, shards, vectors
+from pedalflow.llm import exact, langid, lattice, minhash, mixing, neighbours, notices, pages, pieces, repair, shards, vectors
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -61,6 +61,10 @@ def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op11_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     given = _table(spark, folder, "conversations")
     return repair.report(given, repair.damaged(given))
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_license_scan": op9_license_scan,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
