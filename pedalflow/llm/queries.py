@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalflow.llm import exact, langid, lattice, minhash, mixing, neighbours, notices, pages, pieces, repair, shards, vectors
+from pedalflow.llm import alignment, exact, langid, lattice, minhash, mixing, neighbours, notices, pages, pieces, repair, shards, vectors
 
-VOCABULARY = "piece_bpe_32k.model"
+VOCABULARY, BYTE_VOCABULARY = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +65,11 @@ def op11_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return alignment.align(docs, public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(VOCABULARY))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     given = _table(spark, folder, "conversations")
     return repair.report(given, repair.damaged(given))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_minhash_dedup": op10_minhash_dedup,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
