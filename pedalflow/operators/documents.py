@@ -1,9 +1,9 @@
 """The document form: trips that carry their events, and the analytics on it.
 
-A document is one row: the fields of a trip, ``part`` and ``events``. A trip's events in time order are cut into parts of
-``PART_EVENTS``; a trip with more has several documents, numbered from 0, and a trip without events one, whose array is
-empty. That rule is the whole form: it does not depend on how large the table or any other trip is. Part 0 stands for the
-trip where its events do not matter.
+A document is one row: the fields of a trip, ``part``, ``parts`` and ``events``. A trip's events in time order are cut into
+parts of ``PART_EVENTS``; a trip with more has several documents, numbered from 0, of which each knows how many there are, and a
+trip without events one, whose array is empty. That rule is the whole form: it does not depend on how large the table or any
+other trip is. Part 0 stands for the trip where its events do not matter; ``trip_heads`` makes these rows without the events.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def embed_events(trips: DataFrame, events: DataFrame, part_events: int = PART_EV
     large = checkpoint(counts.filter(F.col("trip_id").isNotNull() & (F.col("_events") > part_events)).select("trip_id"))
     element = F.struct(format_ts("timestamp").alias("timestamp"), "type", "value")
     embedded = F.sort_array(F.collect_list(element)).alias("events")
-    fields = trips.select(*[format_ts(c).alias(c) if c.endswith("_time") else F.col(c) for c in TRIP_FIELDS])
+    fields = trip_heads(trips).drop("part")
 
     if large.isEmpty():
         return _documents(fields.join(events.groupBy("trip_id").agg(embedded), "trip_id", "left"))
@@ -48,13 +48,19 @@ def embed_events(trips: DataFrame, events: DataFrame, part_events: int = PART_EV
     first = checkpoint(numbered.groupBy("trip_id").agg(F.min("_number").alias("_first")))
     part = F.floor((F.col("_number") - F.col("_first")) / part_events).alias("part")
     parts = checkpoint(numbered.join(first, "trip_id").groupBy("trip_id", part).agg(embedded))
-    return whole.unionByName(_documents(fields.join(parts, "trip_id")))
+    how_many = parts.groupBy("trip_id").agg(F.count("*").alias("parts"))
+    return whole.unionByName(_documents(fields.join(parts.join(how_many, "trip_id"), "trip_id")))
 
 
 def _documents(rows: DataFrame) -> DataFrame:
-    part = F.col("part") if "part" in rows.columns else F.lit(0)
+    part, parts = (F.col(c) if c in rows.columns else F.lit(n) for c, n in (("part", 0), ("parts", 1)))
     events = _or_empty(F.col("events"), rows, "events")
-    return rows.select(*TRIP_FIELDS, part.cast("bigint").alias("part"), events.alias("events"))
+    return rows.select(*TRIP_FIELDS, part.cast("bigint").alias("part"), parts.cast("bigint").alias("parts"), events.alias("events"))
+
+
+def trip_heads(trips: DataFrame) -> DataFrame:
+    """The part 0 documents of all trips without their events: what queries read that do not ask for these. No event is read."""
+    return trips.select(*[format_ts(c).alias(c) if c.endswith("_time") else F.col(c) for c in TRIP_FIELDS], F.lit(0).cast("bigint").alias("part"))
 
 
 def _or_empty(array: Column, df: DataFrame, name: str) -> Column:
@@ -77,8 +83,13 @@ def has_event(event_type: str) -> Column:
 
 
 def docs_with_event(docs: DataFrame, event_type: str, fields: tuple[str, ...] = TRIP_FIELDS) -> DataFrame:
-    """These trip fields, ``trip_id`` among them, of trips with at least one event of the type, once per trip, from one scan."""
-    return docs.filter(has_event(event_type)).select(*fields).distinct()
+    """These trip fields, ``trip_id`` among them, of trips with at least one event of the type, once per trip.
+
+    Only trips of several documents can be found more than once; the others, nearly all, are not shuffled.
+    """
+    found = docs.filter(has_event(event_type))
+    several = found.filter(F.col("parts") > 1).select(*fields).distinct()
+    return found.filter(F.col("parts") == 1).select(*fields).unionByName(several)
 
 
 def trip_details(docs: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pedalflow.operators.documents import has_event
+from pedalflow.sources import changes
 
 BATTERY = "BATTERY"
 FIELD = "battery_level"
@@ -34,9 +36,13 @@ def checked(events: DataFrame) -> DataFrame:
     return events.withColumn(FIELD, F.when(violates_range(level), failure).otherwise(level))
 
 
+def _lacks_level() -> Column:
+    return (F.col("type") == BATTERY) & F.col(FIELD).isNull()
+
+
 def missing_level(events: DataFrame) -> DataFrame:
     """BATTERY events without a level."""
-    return events.filter((F.col("type") == BATTERY) & F.col(FIELD).isNull())
+    return events.filter(_lacks_level())
 
 
 def add_battery_level(events: DataFrame) -> DataFrame:
@@ -48,6 +54,11 @@ def add_battery_level(events: DataFrame) -> DataFrame:
     return checked(evolved.withColumn(FIELD, level))
 
 
+def update_stored(spark: SparkSession, folder: str, schema: T.StructType, by: str) -> list:
+    """Give the BATTERY events without a level, in a table stored in parts by ``by``, the default; the parts rewritten."""
+    return changes.update_where(spark, folder, schema, by, _lacks_level(), {FIELD: F.lit(DEFAULT_LEVEL)})
+
+
 def add_battery_level_docs(docs: DataFrame) -> DataFrame:
     """Set the level of every BATTERY element, whether it had one or not; all else in a document stays."""
     return docs.withColumn("events", _with_levels(docs))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalflow.functions.scalars import format_ts, or_default
+from pedalflow.sources.keyed import KeyedTable
 
 PERFORMED, STARTS_AT, ENDS_AT = "PERFORMED", "STARTS_AT", "ENDS_AT"
 
@@ -129,15 +130,22 @@ def reachable_stations(trips: DataFrame, users: DataFrame, stations: DataFrame,
     return _named_ends(known, named).orderBy("station_name", "station_id")
 
 
+def reachable_stations_stored(trips: KeyedTable, users: KeyedTable, stations: DataFrame, user_id: int = 1) -> DataFrame:
+    """``reachable_stations`` of trips and users laid out by user, of which only that user's rows are read."""
+    return reachable_stations(trips.rows_of(user_id), users.rows_of(user_id), stations, user_id)
+
+
 def optional_match(stations: DataFrame, trips: DataFrame, users: DataFrame) -> DataFrame:
     """Every station with its incoming and outgoing trips, 0 where there are none.
 
-    Trips whose user, start or end is null or unknown have no edges. Trips are reduced to counts
-    per user, start and end before these are looked up.
+    Trips whose user, start or end is null or unknown have no edges. Users are looked up where the trips are read,
+    or in a join that adaptive execution splits; the rest are reduced to counts per start and end before these are looked up.
     """
     ends = ["start_station_id", "end_station_id"]
-    counted = trips.groupBy("user_id", *ends).agg(F.count("*").alias("n"))
-    connected = linked_trips(counted, users, stations)
+    performed = trips.join(users.select("user_id"), "user_id", "left_semi")
+    connected = performed.groupBy(*ends).agg(F.count("*").alias("n"))
+    for end in ends:
+        connected = connected.join(stations.select(F.col("station_id").alias(end)), end, "left_semi")
     both = F.array(
         F.struct(F.col(ends[0]).alias("station_id"), F.lit(0).alias("i"), F.col("n").alias("o")),
         F.struct(F.col(ends[1]).alias("station_id"), F.col("n").alias("i"), F.lit(0).alias("o")),

@@ -16,8 +16,8 @@ from pedalflow.session import checkpoint, in_session, planning_session
 
 RESET = 0.15
 ITERATIONS = 10
-# Links in a partition of the rounds. There are two partitions at least: one alone Spark would shuffle again.
-LINKS_PER_PARTITION = 25_000
+# Links that are worth a partition of their own while cores are free, and those that one holds at most (some 50 MB).
+FEW_LINKS, MANY_LINKS = 25_000, 2_000_000
 
 
 def pagerank(
@@ -37,7 +37,7 @@ def pagerank(
     links = checkpoint(with_known_ends(weighted_links(edges), nodes))
     sources = links.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n"))
     n_links, busiest = sources.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    parts = max(2, -(-n_links // LINKS_PER_PARTITION))
+    parts = round_partitions(n_links, nodes.sparkSession.sparkContext.defaultParallelism)
     # The rounds are planned in a session of their own; the caller's keeps its settings.
     loop = planning_session(nodes.sparkSession, parts)
     links = in_session(loop, links, "links")
@@ -61,6 +61,12 @@ def pagerank(
     return nodes.join(scaled, "id")
 
 
+def round_partitions(n_links: int, cores: int) -> int:
+    """Partitions of a round: as many as there are cores, fewer for few links, more only where one would hold too many, since a
+    round shuffles a block from each partition to each. Two at least: one alone Spark would shuffle again."""
+    return max(2, min(-(-n_links // FEW_LINKS), cores), -(-n_links // MANY_LINKS))
+
+
 def _settle(df: DataFrame, parts: int, on: list[str]) -> DataFrame:
     """Write ``df`` laid out and sorted by ``on``; in the loop's session joins on ``on`` do not move it again."""
     return checkpoint(df.repartition(parts, *on).sortWithinPartitions(*on))

@@ -15,6 +15,12 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).count().filter("count > 1")
 
 
+def missing_targets(df: DataFrame, column: str, target: DataFrame, key: str) -> DataFrame:
+    """The different values of a reference that are no key of ``target``; null passes."""
+    used = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("k")).distinct()
+    return used.join(target.select(F.col(key).alias("k")), "k", "left_anti")
+
+
 def key_report(data: Mobility) -> DataFrame:
     """Per table: rows, different keys, keys held twice or more, and null keys."""
     parts = []

@@ -144,9 +144,9 @@ def preview(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 
 def max_ids(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """The highest key per table, 1 for an empty one."""
+    """The highest key per table as text, 1 for an empty one."""
     parts = [
-        df.agg(F.coalesce(F.max(key), F.lit(1)).alias("max_id")).select(F.lit(name).alias("table_name"), "max_id")
+        df.agg(F.coalesce(F.max(key).cast("string"), F.lit("1")).alias("max_id")).select(F.lit(name).alias("table_name"), "max_id")
         for name, (df, key) in tables.items()
     ]
     out = parts[0]

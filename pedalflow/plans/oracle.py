@@ -48,9 +48,9 @@ texts AS (
          strftime(end_time, '%Y-%m-%d %H:%M:%S') AS end_time, total_cost
   FROM trips),
 arrays AS (
-  SELECT trip_id, part, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value)
+  SELECT trip_id, part, count(*) OVER (PARTITION BY trip_id) AS parts, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value)
                                ORDER BY timestamp, type, value))::VARCHAR AS events
-  FROM element GROUP BY ALL),
+  FROM element GROUP BY trip_id, part),
 links AS (
   SELECT start_station_id AS src, end_station_id AS dst, count(*) AS weight FROM trips GROUP BY ALL)
 """.replace("{part_events}", str(PART_EVENTS))
@@ -194,11 +194,11 @@ SELECT event_id, trip_id, timestamp, type, value,
        CASE WHEN type = 'BATTERY' THEN coalesce(battery_level, 50) ELSE battery_level END AS battery_level
 FROM leveled_events"""),
         "evolve_battery_level_doc": _sql("""
-SELECT t.*, d.part, coalesce(d.events, '[]') AS events FROM texts t JOIN (
-  SELECT t.trip_id, coalesce(part, 0) AS part, events FROM texts t LEFT JOIN (
-    SELECT trip_id, part, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value,
+SELECT t.*, d.part, d.parts, coalesce(d.events, '[]') AS events FROM texts t JOIN (
+  SELECT t.trip_id, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts, events FROM texts t LEFT JOIN (
+    SELECT trip_id, part, count(*) OVER (PARTITION BY trip_id) AS parts, to_json(list(struct_pack(timestamp := timestamp, type := type, value := value,
              battery_level := CASE WHEN type = 'BATTERY' THEN 50 END) ORDER BY timestamp, type, value))::VARCHAR AS events
-    FROM element GROUP BY ALL) e ON e.trip_id = t.trip_id) d ON d.trip_id = t.trip_id"""),
+    FROM element GROUP BY trip_id, part) e ON e.trip_id = t.trip_id) d ON d.trip_id = t.trip_id"""),
         # scans, sources, sinks, layout
         "scan_project": _sql("SELECT trip_id, user_id, start_time, end_time FROM trips"),
         "scan_stations_edges": _sql("""
@@ -208,7 +208,7 @@ UNION ALL SELECT 'trip', start_station_id, end_station_id, NULL, NULL FROM trips
             details.format(more=", (SELECT count(*) FROM trip_events v WHERE v.trip_id = t.trip_id) AS n_events")
         ),
         "write_docs": _sql(
-            "SELECT t.*, coalesce(a.part, 0) AS part, coalesce(a.events, '[]') AS events "
+            "SELECT t.*, coalesce(a.part, 0) AS part, coalesce(a.parts, 1) AS parts, coalesce(a.events, '[]') AS events "
             "FROM texts t LEFT JOIN arrays a ON a.trip_id = t.trip_id"
         ),
         "embed_events": _sql(
@@ -305,10 +305,10 @@ SELECT (SELECT count(*) FROM trip_events WHERE type = 'BATTERY') AS battery_even
             "SELECT (SELECT count(*) FROM stations) AS vertices, (SELECT count(*) FROM trips) AS edges"
         ),
         "max_coalesce": _sql("""
-SELECT 'users' AS table_name, coalesce(max(user_id), 1) AS max_id FROM users
-UNION ALL SELECT 'stations', coalesce(max(station_id), 1) FROM stations
-UNION ALL SELECT 'trips', coalesce(max(trip_id), 1) FROM trips
-UNION ALL SELECT 'events', coalesce(max(trip_id), 1) FROM trip_events"""),
+SELECT 'users' AS table_name, coalesce(max(user_id)::VARCHAR, '1') AS max_id FROM users
+UNION ALL SELECT 'stations', coalesce(max(station_id)::VARCHAR, '1') FROM stations
+UNION ALL SELECT 'trips', coalesce(max(trip_id)::VARCHAR, '1') FROM trips
+UNION ALL SELECT 'events', coalesce(max(event_id), '1') FROM trip_events"""),
         "components_count": _sql(
             "SELECT count(*) AS vertices, count(DISTINCT root) AS components FROM roots", _COMPONENTS, recursive=True
         ),
@@ -353,4 +353,46 @@ WHERE type = 'BATTERY' AND trip_id IN (
 SELECT s.station_id AS id, coalesce(e.n, 0) AS in_degree, coalesce(b.n, 0) AS out_degree, coalesce(e.n, 0) + coalesce(b.n, 0) AS degree
 FROM stations s LEFT JOIN starts b ON b.station_id = s.station_id LEFT JOIN ends e ON e.station_id = s.station_id""", _TRAFFIC),
         "pagerank": _sql("SELECT id, name, city, pagerank FROM pr JOIN stations ON station_id = id", _pagerank_ctes()),
+        # stored tables
+        "key_lookup": _sql("SELECT trip_id, start_station_id, end_station_id FROM trips WHERE user_id = 1"),
+        "g1_reachable_stored": _sql("""
+SELECT station_id, name AS station_name, city FROM stations WHERE station_id IN (
+  SELECT start_station_id FROM trips WHERE user_id = 1 UNION SELECT end_station_id FROM trips WHERE user_id = 1)"""),
+        "update_where": _sql("""
+SELECT event_id, trip_id, timestamp, type, value,
+       CASE WHEN type = 'BATTERY' AND battery_level IS NULL THEN 50 ELSE battery_level END AS battery_level
+FROM leveled_events"""),
+        "add_column_versions": _sql("""
+SELECT event_id, trip_id, timestamp, type, value, CASE WHEN trip_id % 2 = 1 THEN battery_level END AS battery_level
+FROM leveled_events"""),
+        "merge_stored": _sql(
+            _VERTICES.format(more=", NULL::BIGINT AS dst")
+            + " UNION ALL SELECT rel, src, NULL, NULL, NULL, NULL, NULL, NULL, NULL, dst FROM edges",
+            _EDGES,
+        ),
+        "write_checked": _sql("""
+SELECT 'users' AS table_name, 'rows' AS rule, count(*) AS broken FROM users
+UNION ALL SELECT 'stations', 'rows', count(*) FROM stations
+UNION ALL SELECT 'trips', 'rows', count(*) FROM trips
+UNION ALL SELECT 'events', 'rows', count(*) FROM trip_events
+UNION ALL SELECT 'high_levels', rule, CASE rule WHEN 'range_battery_level' THEN n ELSE 0 END
+FROM (SELECT count(*) FILTER (30 * battery_level > 100) AS n FROM leveled_events),
+     (SELECT unnest(['null_event_id', 'null_timestamp', 'null_type', 'null_value', 'long_type', 'range_battery_level',
+                     'duplicate_event_id']) AS rule)"""),
+        "count_distinct_bitmaps": _sql("""
+SELECT start_station_id, count(DISTINCT user_id) AS users, count(DISTINCT end_station_id) AS destinations
+FROM trips GROUP BY start_station_id"""),
+        "semi_join_bitmap": _sql("SELECT trip_id, user_id FROM trips WHERE trip_id IN (SELECT trip_id FROM errors)", _ERRORS),
+        "variant_docs": _sql("""
+SELECT trip_id, type, value, battery_level, CASE WHEN type = 'ERROR' THEN value END AS code,
+       CASE WHEN type = 'ERROR' THEN true END AS open
+FROM leveled_events"""),
+        "variant_fields": _sql("""
+SELECT type, concat('OBJECT<', CASE WHEN count(battery_level) > 0 THEN 'battery_level: BIGINT, ' ELSE '' END,
+                    CASE WHEN type = 'ERROR' THEN 'fault: OBJECT<code: STRING, open: BOOLEAN>, ' ELSE '' END,
+                    'timestamp: STRING, type: STRING, value: STRING>') AS fields
+FROM leveled_events GROUP BY type"""),
+        "trips_from_city": _sql("""
+SELECT trip_id, start_station_id, s.name AS station FROM trips JOIN stations s ON s.station_id = start_station_id
+WHERE s.city = 'FRANCE'"""),
     }

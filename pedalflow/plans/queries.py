@@ -5,19 +5,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalflow.functions import scalars
-from pedalflow.operators import documents, evolution, graph, graph_loops, layout, quality, relational
-from pedalflow.schemas import TABLES, Mobility
-from pedalflow.session import drop_at_exit, scratch_path, shuffle_partitions
-from pedalflow.sources import generate, given, storage
+from pedalflow.operators import bitmaps, documents, evolution, graph, graph_loops, layout, quality, relational
+from pedalflow.schemas import INT, TABLES, Mobility
+from pedalflow.session import checkpoint, drop_at_exit, scratch_path
+from pedalflow.sources import changes, checked, generate, given, graph_store, keyed, layouts, storage, variant_docs
 
-USER_ID = 1
+USER_ID, CITY = 1, "FRANCE"
 
 # The given events are keyed by text (see given.trip_events).
 GIVEN_TABLES = TABLES | {
@@ -45,6 +45,11 @@ class Context:
     def docs(self) -> DataFrame:
         return documents.embed_events(self.trips, self.events)
 
+    @cached_property
+    def heads(self) -> DataFrame:
+        """The documents without their events."""
+        return documents.trip_heads(self.trips)
+
     @cached_property
     def leveled_events(self) -> DataFrame:
         """Events of which the BATTERY ones at 25% or less already report a level."""
@@ -101,7 +106,7 @@ def _csv_sink(c: Context) -> DataFrame:
 def _partition_layout(c: Context) -> DataFrame:
     path, suffix = scratch_path(c.spark, "layout"), uuid.uuid4().hex[:8]
     trips, users = f"trips_{suffix}", f"users_{suffix}"
-    buckets = shuffle_partitions(c.spark)
+    buckets = storage.buckets_for(c.trips.count())
     storage.write_by_key(c.trips, "user_id", trips, path, buckets)
     storage.write_by_key(c.users, "user_id", users, path, buckets, unique=True)
     for table in (trips, users):
@@ -131,13 +136,10 @@ def _scan_stations_edges(c: Context) -> DataFrame:
 def _merge_upsert(c: Context) -> DataFrame:
     """The trips of users in credit are loaded with their users and stations, then all of the graph: the rest is added
     and nothing doubled. Vertices and edges in one table."""
-    credit = given.table(c.spark, c.folder, "customer").filter("c_acctbal >= 0")
-    users = c.users.join(credit.select(F.col("c_custkey").alias("user_id")), "user_id", "left_semi")
-    trips = c.trips.join(users.select("user_id"), "user_id", "left_semi")
-    stations = c.stations.join(trips.select(F.col("start_station_id").alias("station_id")), "station_id", "left_semi")
+    part = _credit_part(c)
     labelled, edges = graph.merge_graph(
-        graph.vertices(users, stations, trips),
-        graph.trip_edges(graph.linked_trips(trips, users, stations)),
+        graph.vertices(part.users, part.stations, part.trips),
+        graph.trip_edges(graph.linked_trips(part.trips, part.users, part.stations)),
         graph.vertices(c.users, c.stations, c.trips),
         c.edges,
     )
@@ -145,6 +147,93 @@ def _merge_upsert(c: Context) -> DataFrame:
     return graph.vertex_list(labelled).unionByName(ends, allowMissingColumns=True)
 
 
+def _credit_part(c: Context) -> Mobility:
+    """The trips of users in credit, with these users and the stations where the trips start."""
+    credit = given.table(c.spark, c.folder, "customer").filter("c_acctbal >= 0")
+    users = c.users.join(credit.select(F.col("c_custkey").alias("user_id")), "user_id", "left_semi")
+    trips = c.trips.join(users.select("user_id"), "user_id", "left_semi")
+    stations = c.stations.join(trips.select(F.col("start_station_id").alias("station_id")), "station_id", "left_semi")
+    return Mobility(users, stations, trips, c.events)
+
+
+def _merge_stored(c: Context) -> DataFrame:
+    """As ``_merge_upsert``, into folders; merging all once more adds nothing."""
+    folder, part = scratch_path(c.spark, "graph"), _credit_part(c)
+    first = graph.vertices(part.users, part.stations, part.trips)
+    graph_store.merge_stored(c.spark, folder, first, graph.trip_edges(graph.linked_trips(part.trips, part.users, part.stations)))
+    every = graph.vertices(c.users, c.stations, c.trips)
+    for _ in range(2):
+        added = graph_store.merge_stored(c.spark, folder, every, c.edges)
+    if any(added.values()):
+        raise RuntimeError(f"the second merge added {added}")
+    labelled = {label: graph_store.read_rows(c.spark, f"{folder}/{label}", df.schema) for label, df in every.items()}
+    edges = graph_store.read_rows(c.spark, f"{folder}/{graph_store.EDGES}", c.edges.schema)
+    ends = edges.select(F.col("rel").alias("label"), F.col("src").alias("id"), "dst")
+    return graph.vertex_list(labelled).unionByName(ends, allowMissingColumns=True)
+
+
+def _keyed(c: Context, name: str) -> keyed.KeyedTable:
+    return keyed.write_keyed(getattr(c, name), "user_id", scratch_path(c.spark, f"keyed-{name}"))
+
+
+def _update_where(c: Context) -> DataFrame:
+    """The events, by month, with the levels filled in place."""
+    folder = scratch_path(c.spark, "monthly")
+    events = changes.with_month(c.leveled_events, "timestamp", "month")
+    changes.write_parts(events, folder, "month")
+    evolution.update_stored(c.spark, folder, events.schema, "month")
+    return changes.read_parts(c.spark, folder, events.schema).drop("month")
+
+
+def _add_column_versions(c: Context) -> DataFrame:
+    """Events of even trips from files without the column, those of odd ones from files with it, in one folder."""
+    folder, even = scratch_path(c.spark, "versions"), F.col("trip_id") % 2 == 0
+    changes.append_version(c.events.filter(even), folder)
+    changes.add_stored_column(c.spark, folder, evolution.FIELD, INT)
+    changes.append_version(c.leveled_events.filter(~even), folder)
+    return changes.read_versions(c.spark, folder)
+
+
+def _write_checked(c: Context) -> DataFrame:
+    """The rows of the four tables that were written under their rules and read back, and what the rules say about events whose
+    levels are three times too high, which are refused."""
+    folder = scratch_path(c.spark, "checked")
+    checked.write_all_checked(c.data, folder, GIVEN_TABLES)
+    counts = [
+        checked.read_checked(c.spark, folder, name, GIVEN_TABLES).agg(F.count("*").alias("broken")).select(
+            F.lit(name).alias("table_name"), F.lit("rows").alias("rule"), "broken"
+        )
+        for name in GIVEN_TABLES
+    ]
+    high = c.leveled_events.withColumn(evolution.FIELD, F.col(evolution.FIELD) * 30)
+    rules = checked.rules_of("events", high.schema)
+    try:
+        checked.write_checked(high, rules, f"{folder}/events")
+    except checked.RuleError:
+        return reduce(DataFrame.unionByName, counts).unionByName(checked.rule_report(high, "high_levels", rules))
+    raise RuntimeError("levels out of range were written")
+
+
+def _semi_join_bitmap(c: Context) -> DataFrame:
+    hits = c.events.filter(F.col("type") == relational.ERROR).select("trip_id").distinct()
+    hits = checkpoint(hits)
+    return bitmaps.semi_join(c.trips, hits, "trip_id", hits.count()).select("trip_id", "user_id")
+
+
+def _variants(c: Context) -> DataFrame:
+    """The events as VARIANT: levels where there are some, and a field for errors that no schema declares."""
+    folder = scratch_path(c.spark, "variants")
+    fault = F.when(F.col("type") == relational.ERROR, F.struct(F.col("value").alias("code"), F.lit(True).alias("open")))
+    variant_docs.write_variants(variant_docs.event_texts(c.leveled_events, battery_level=F.col(evolution.FIELD), fault=fault), folder)
+    return variant_docs.read_variants(c.spark, folder)
+
+
+def _trips_from_city(c: Context) -> DataFrame:
+    folder = scratch_path(c.spark, "by-station")
+    layouts.write_by_station(c.trips, folder)
+    return layouts.trips_from_city(c.spark, folder, c.trips.schema, c.stations, CITY).select("trip_id", "start_station_id", "station")
+
+
 def _filter_param(c: Context) -> DataFrame:
     return c.spark.sql(
         "SELECT trip_id, start_station_id, end_station_id FROM {trips} WHERE user_id = :user_id",
@@ -186,12 +275,12 @@ def _evolve_counts(c: Context) -> DataFrame:
 QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     # flagship queries
     "q1_trip_details": lambda c: relational.trip_details(c.trips, c.users, c.stations),
-    "q1_trip_details_doc": lambda c: documents.trip_details(c.docs, c.users, c.stations),
+    "q1_trip_details_doc": lambda c: documents.trip_details(c.heads, c.users, c.stations),
     "q2_user_stats": lambda c: relational.user_stats(c.users, c.trips),
-    "q2_user_stats_doc": lambda c: documents.user_stats(c.docs, c.users),
-    "q2_user_stats_null": lambda c: relational.user_stats_nullable(c.users, documents.parsed_times(documents.one_per_trip(c.docs))),
+    "q2_user_stats_doc": lambda c: documents.user_stats(c.heads, c.users),
+    "q2_user_stats_null": lambda c: relational.user_stats_nullable(c.users, documents.parsed_times(documents.one_per_trip(c.heads))),
     "q3_station_counts": lambda c: relational.station_counts(c.stations, c.trips),
-    "q3_station_counts_doc": lambda c: documents.station_counts(c.docs, c.stations),
+    "q3_station_counts_doc": lambda c: documents.station_counts(c.heads, c.stations),
     "q4_error_trips": lambda c: relational.error_trips(c.trips, c.users, c.events),
     "q4_error_trips_doc": lambda c: documents.error_trips(c.docs),
     "g1_reachable_stations": lambda c: graph.reachable_stations(c.trips, c.users, c.stations, USER_ID),
@@ -237,7 +326,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
         "trip_id", "user_id"
     ),
     "lookup": lambda c: documents.lookup(
-        documents.one_per_trip(c.docs).select("trip_id", "user_id"), c.users.select("user_id", "name", "surname"), "user_id", "user_id", "user"
+        documents.one_per_trip(c.heads).select("trip_id", "user_id"), c.users.select("user_id", "name", "surname"), "user_id", "user_id", "user"
     ).withColumn("user", F.to_json("user")),
     "unwind_inner": lambda c: _unwound(c, keep_empty=False),
     "unwind_outer": lambda c: _unwound(c, keep_empty=True),
@@ -256,8 +345,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
             "users": (c.users, "user_id"),
             "stations": (c.stations, "station_id"),
             "trips": (c.trips, "trip_id"),
-            # Events have text ids here; the highest trip they refer to stands for them.
-            "events": (c.events, "trip_id"),
+            "events": (c.events, "event_id"),
         }
     ),
     "components_count": lambda c: graph_loops.component_count(*c.graph),
@@ -270,8 +358,8 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "duration_minutes": lambda c: c.trips.select(
         "trip_id", scalars.duration_minutes("start_time", "end_time").alias("minutes")
     ),
-    "parse_ts": lambda c: documents.parsed_times(documents.one_per_trip(c.docs)).select("trip_id", "start_time", "end_time"),
-    "format_ts": lambda c: documents.one_per_trip(c.docs).select("trip_id", "start_time", "end_time"),
+    "parse_ts": lambda c: documents.parsed_times(documents.one_per_trip(c.heads)).select("trip_id", "start_time", "end_time"),
+    "format_ts": lambda c: documents.one_per_trip(c.heads).select("trip_id", "start_time", "end_time"),
     "ts_add": lambda c: c.trips.select(
         "trip_id",
         scalars.add_time(
@@ -300,6 +388,22 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "station_graph": lambda c: c.graph[1],
     "station_degrees": lambda c: graph.degrees(*c.graph),
     "pagerank": lambda c: _rounded(graph_loops.pagerank(*c.graph)),
+    # stored tables: access by key, changes in place, rules, layouts, varying fields
+    "key_lookup": lambda c: _keyed(c, "trips").rows_of(USER_ID).select("trip_id", "start_station_id", "end_station_id"),
+    "g1_reachable_stored": lambda c: graph.reachable_stations_stored(_keyed(c, "trips"), _keyed(c, "users"), c.stations, USER_ID),
+    "update_where": _update_where,
+    "add_column_versions": _add_column_versions,
+    "merge_stored": _merge_stored,
+    "write_checked": _write_checked,
+    "count_distinct_bitmaps": lambda c: bitmaps.distinct_counts(
+        c.trips, "start_station_id", {"user_id": "users", "end_station_id": "destinations"}
+    ),
+    "semi_join_bitmap": _semi_join_bitmap,
+    "variant_docs": lambda c: variant_docs.fields_of(
+        _variants(c), type="string", value="string", battery_level="int", fault="struct<code: string, open: boolean>"
+    ).select("trip_id", "type", "value", evolution.FIELD, F.col("fault.code").alias("code"), F.col("fault.open").alias("open")),
+    "variant_fields": lambda c: variant_docs.field_names(_variants(c)),
+    "trips_from_city": _trips_from_city,
 }
 
 

@@ -33,9 +33,9 @@ EVOLVED_ELEMENT = struct(timestamp=TEXT, type=TEXT, value=TEXT, battery_level=IN
 
 
 def trip_docs(element: T.StructType = ELEMENT) -> T.StructType:
-    """Trip fields, the number of the document among those of its trip, and a part of the trip's events."""
+    """Trip fields, the number of the document among those of its trip, how many these are, and a part of the trip's events."""
     fields = {f.name: TEXT if f.dataType == TIME else f.dataType for f in TRIPS}
-    return struct(**fields, part=LONG, events=T.ArrayType(element))
+    return struct(**fields, part=LONG, parts=LONG, events=T.ArrayType(element))
 
 
 PRIMARY_KEYS = {"users": "user_id", "stations": "station_id", "trips": "trip_id", "events": "event_id"}

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from pedalflow.operators.skew import TARGET_ROWS, hot_keys
 from pedalflow.schemas import ELEMENT, TABLES, Mobility, trip_docs
+from pedalflow.session import checkpoint
 
 SALT = "salt"
 
@@ -48,6 +49,11 @@ def read_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("header", True).csv(folder)
 
 
+def buckets_for(rows: int, target_rows: int = TARGET_ROWS) -> int:
+    """Buckets of a table, each what a task can work on."""
+    return max(1, -(-rows // target_rows))
+
+
 def write_by_key(
     df: DataFrame, key: str, table: str, path: str, buckets: int, unique: bool = False, target_rows: int = TARGET_ROWS
 ) -> None:
@@ -55,18 +61,20 @@ def write_by_key(
 
     The table has a column ``salt`` more, and its buckets go by key and salt. It is 0 for the rows of ordinary keys,
     which therefore lie together. Rows of a key with more than ``target_rows``, and those without a key, are dealt
-    over salts from 1 on, for they would make one bucket as large as all others together. ``unique``: no key has two
-    rows, so there is nothing to look for. Take so many buckets that one of them is what a task can work on.
+    over salts from 1 on by a number of their own, equal rows too, for they would make one bucket as large as all others
+    together. ``unique``: no key has two rows, so there is nothing to look for. ``buckets_for`` tells how many buckets to take.
     """
     if unique:
         salted = df.withColumn(SALT, F.lit(0))
     else:
-        row = F.xxhash64(*df.columns)
         counts = df.groupBy(key).agg(F.count("*").alias("n"))
         with_slots = df.join(hot_keys(counts, key, target_rows=target_rows), key, "left")
         slots = F.when(F.col(key).isNull(), F.lit(buckets)).otherwise(F.col("slots"))
-        dealt = F.coalesce(F.pmod(row, slots).cast("int") + 1, F.lit(0))
-        salted = with_slots.withColumn(SALT, dealt).select(*df.columns, SALT)
+        ordinary = with_slots.filter(slots.isNull()).select(*df.columns, F.lit(0).alias(SALT))
+        # Numbers are written before they are used, so a task that runs again deals its rows as before.
+        hot = checkpoint(with_slots.filter(slots.isNotNull()).withColumns({"slots": slots, "_row": F.monotonically_increasing_id()}))
+        salt = (F.pmod(F.xxhash64("_row"), F.col("slots")) + 1).cast("int")
+        salted = ordinary.unionByName(hot.select(*df.columns, salt.alias(SALT)))
     (
         salted.repartition(buckets, key, SALT)
         .write.mode("overwrite")

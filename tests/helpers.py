@@ -19,6 +19,30 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def scan_metrics(df, column: str | None = None) -> dict[str, int]:
+    """The counts of the scan of a file after ``df`` has run, of the one that reads ``column`` if there are several."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves, found = _leaves(plan), []
+    for leaf in leaves:
+        if leaf.metrics().contains("numFiles") and (column is None or column in leaf.schema().simpleString()):
+            metrics = leaf.metrics()
+            found.append({m: metrics.apply(m).value() for m in ("numFiles", "filesSize", "numOutputRows", "numPartitions") if metrics.contains(m)})
+    assert len(found) == 1, found
+    return found[0]
+
+
+def _leaves(plan) -> list:
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _leaves(plan.executedPlan())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _leaves(plan.plan())
+    children = plan.children()
+    if children.isEmpty():
+        return [plan]
+    return [leaf for i in range(children.size()) for leaf in _leaves(children.apply(i))]
+
+
 def planned(df) -> str:
     """The physical plan before adaptive execution changes it."""
     text = df._jdf.queryExecution().executedPlan().toString()
