@@ -1,7 +1,7 @@
 """Alignment of two tokenizers' tokens on the same text, by anchors at white space.
 
-A text is encoded whole by both: a byte-level BPE of the ``tokenizers`` library (A) on a space and the text, and a
-``sentencepiece`` vocabulary with byte fallback (B), which puts that space itself. The bytes of the tokens must spell the same;
+A text is encoded whole by both: a byte-level BPE (A), given as a file of the ``tokenizers`` library, on a space and the text, and
+a ``sentencepiece`` vocabulary with byte fallback (B), which puts that space itself. The bytes of the tokens must spell the same;
 texts for which they do not, and those that are null or empty, have no tokens here. The byte offsets where tokens of
 both end cut them into *groups*; every token of A is linked with every token of B in its group.
 
@@ -12,8 +12,8 @@ its two id tuples alone, so it is worked out once and remembered by them; a docu
 Corpus counts (in how many documents is a pair of ids linked?) are exact over all documents: each task counts the pairs of a
 chunk of documents, chunks are summed by pair in Spark, and the sums come back to the chunks that asked, where they are added up
 by window and then by document. What is shuffled are a chunk's different pairs and a document's different windows, not its
-links. A long text is handed to the libraries in segments, cut before a space between two ASCII letters: both
-tokenizers always start a token there, so the tokens are the same.
+links. A text is the row of its pieces, cut before each space between two ASCII letters: both tokenizers always start a token
+there, so the tokens of the text are those of its pieces, and a piece that was met before is not encoded again.
 
 Special strings inside texts are plain text. Rows that repeat a doc_id are documents of their own. A null doc_id stays
 null. An empty table gives an empty table, and columns besides ``doc_id`` and ``text`` are not read.
@@ -22,17 +22,15 @@ null. An empty table gives an empty table, and columns besides ``doc_id`` and ``
 from __future__ import annotations
 
 import hashlib
-import os
-import re
+import itertools
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the unit of parallel work
-
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import tokenizers
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,11 +39,16 @@ from pedalflow.llm.arrays import as_bytes, offsets_of, ranges, sums, text_chunks
 from pedalflow.llm.scratch import stored
 from pedalflow.llm.ship import ship
 
-SEGMENT_BYTES, SLICE_BYTES, CHUNK_BYTES = 1 << 16, 1 << 20, 24 << 20
-KNOWN_WINDOWS, KNOWN_TOKENS = 400_000, 40  # alignments that a worker remembers, and tokens in one of them
+SLICE_BYTES, ENCODE_BYTES, CHUNK_BYTES = 1 << 20, 1 << 18, 8 << 20
+PLAIN_AT_ONCE = 400
+KNOWN_PIECES, KNOWN_BYTES = 150_000, 16 << 20  # of text that a worker remembers from one chunk to the next (some 70 MB)
+MANY_LINKS = 1 << 16  # of one group; beyond it only different ids are paired
+# --- fixed value: how the byte-level vocabulary splits a text before it merges ---
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# --- end of fixed value ---
 _PAIR = 1 << 32  # a pair of ids is one number, a * 2^32 + b
-_BETWEEN_LETTERS = re.compile(rb"(?<=[A-Za-z]) (?=[A-Za-z])")
-_SPACE = 32
+_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+_IS_LETTER = _LETTER.tolist()
 
 
 class Spelling:
@@ -68,37 +71,64 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _ranked(path: str) -> tiktoken.Encoding:
+    """The byte-level BPE of a ``tokenizers`` file for the ``tiktoken`` library, which does the same merges several times faster.
+
+    Refused where the file asks for more than byte-level BPE after the usual split, or its ids do not follow its merges.
+    """
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    model, split = described["model"], described["pre_tokenizer"]
+    usual = split["type"] == "ByteLevel" and not split["add_prefix_space"] and split.get("use_regex", True)
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [model["vocab"][m] for m in merged]
+    if model["type"] != "BPE" or not usual or described["normalizer"] or ids != sorted(ids):
+        raise ValueError("only byte-level BPE files whose ids follow their merges are supported")
+    letters = _byte_alphabet()
+    special = {t["content"] for t in described["added_tokens"]}
+    ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+    return tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class Tokenizers:
-    """Both vocabularies; encodes segments and spells their tokens."""
+    """Both vocabularies; encodes pieces of text and spells their tokens."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a = tokenizers.Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        self.a = _ranked(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = _byte_alphabet()
-        words: list[bytes] = [b""] * (max(self.a.get_vocab(with_added_tokens=True).values()) + 1)
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            words[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        pieces = [self.b.id_to_piece(i) for i in range(len(self.b))]
+        if any("▁" in p.lstrip("▁") for p in pieces):
+            raise ValueError("a piece goes on over a space")
+        words: list[bytes] = [b""] * self.a.n_vocab
+        for word, i in self.a._mergeable_ranks.items():
+            words[i] = word
         self.a_bytes = Spelling(words)
-        self.b_bytes = Spelling(
-            [
-                bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
-                for i in range(len(self.b))
-            ]
-        )
-
-    def encode(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and offsets of the segments in A, then in B."""
-        texts = [s.decode() for s in segments]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+        self.b_bytes = Spelling([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
+
+    def encode(self, pieces: list[bytes], n_plain: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and offsets of the pieces, which begin with a space, in A, then in B.
+
+        The first ``n_plain`` begin with a space and an ASCII letter and end in one. Both tokenizers start anew at each, so these are
+        encoded as a few texts; where that does not spell them they are encoded one by one, as the others are.
+        """
         found = []
-        for lists in (a, b):
-            offsets = offsets_of([len(x) for x in lists])
-            ids = np.fromiter((i for x in lists for i in x), np.int64, int(offsets[-1]))
-            found += [ids, offsets]
+        texts = [b"".join(pieces[i : min(i + PLAIN_AT_ONCE, n_plain)]) for i in range(0, n_plain, PLAIN_AT_ONCE)]
+        joined = b"".join(texts)
+        for spelling, encode in (
+            (self.a_bytes, lambda parts: [self.a.encode_ordinary(p.decode()) for p in parts]),
+            (self.b_bytes, lambda parts: self.b.encode([p[1:].decode() for p in parts], num_threads=1)),
+        ):
+            first, begin = (np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
+            if n_plain:
+                ids = np.array(list(itertools.chain.from_iterable(encode(texts))), np.int64)
+                ends, wanted = np.cumsum(spelling.sizes[ids]), np.cumsum([len(p) for p in pieces[:n_plain]])
+                at = np.searchsorted(ends, wanted, "right")
+                if len(ids) and ends[-1] == wanted[-1] and (ends[at - 1] == wanted).all() and spelling.spelled(ids).tobytes() == joined:
+                    first, begin = (ids, np.diff(at, prepend=0)), n_plain
+            lists = encode(pieces[begin:])
+            sizes = np.array([len(x) for x in lists], np.int64)
+            rest = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum()))
+            found += [np.concatenate([first[0], rest]), offsets_of(np.concatenate([first[1], sizes]))]
         return tuple(found)
 
 
@@ -107,209 +137,270 @@ def both(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-def segments_of(text: bytes, size: int = SEGMENT_BYTES) -> list[bytes]:
-    """The text in segments of ``size`` bytes or a little more, without the spaces that it is cut at."""
-    found, begin = [], 0
-    while len(text) - begin > size:
-        cut = _BETWEEN_LETTERS.search(text, begin + size)
-        if cut is None:
-            break
-        found.append(text[begin : cut.start()])
-        begin = cut.end()
-    return [*found, text[begin:]]
-
-
-def groups_of(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets of the groups in both id arrays, which spell the same bytes."""
-    a_ends, b_ends = np.cumsum(a_size[a]), np.cumsum(b_size[b])
-    shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    zero = np.zeros(1, np.int64)
-    return np.concatenate([zero, np.searchsorted(a_ends, shared) + 1]), np.concatenate([zero, np.searchsorted(b_ends, shared) + 1])
-
-
-class Alignment:
-    """What a window gives wherever it stands: groups, links, its groups as text, and the count of each linked pair."""
-
-    __slots__ = ("n_groups", "n_links", "text", "pairs", "counts")
-
-    def __init__(self, a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray):
-        a_cuts, b_cuts = (c.tolist() for c in groups_of(a, b, a_size, b_size))
-        a_ids, b_ids = a.tolist(), b.tolist()
-        parts, links, pairs = [], 0, {}
-        for i, j, k, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:]):
-            parts.append(f"{','.join(map(str, a_ids[i:j]))}|{','.join(map(str, b_ids[k:m]))}")
-            links += (j - i) * (m - k)
-            if (j - i) * (m - k) <= 64:
-                for x in a_ids[i:j]:
-                    for y in b_ids[k:m]:
-                        pairs[x * _PAIR + y] = pairs.get(x * _PAIR + y, 0) + 1
-            else:  # of a large group the different ids meet, with how often they do
-                xs, x_counts = np.unique(a[i:j], return_counts=True)
-                ys, y_counts = np.unique(b[k:m], return_counts=True)
-                for x, n in zip(xs.tolist(), x_counts.tolist()):
-                    for y, o in zip(ys.tolist(), y_counts.tolist()):
-                        pairs[x * _PAIR + y] = pairs.get(x * _PAIR + y, 0) + n * o
-        self.n_groups, self.n_links, self.text = len(parts), links, ";".join(parts).encode()
-        self.pairs, self.counts = list(pairs), list(pairs.values())
-
-
-class Windows:
-    """The different windows of a chunk of documents, numbered as they come, and the alignments that a worker remembers."""
-
-    def __init__(self, tokens: Tokenizers, known: dict[bytes, Alignment]):
-        self.tokens, self.known = tokens, known
-        self.begin()
-
-    def begin(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.alignments: list[Alignment] = []
+def pieces_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The texts, with a space before each, cut before every space between two ASCII letters; and where each text begins."""
+    spaced = [b" " + t for t in texts]
+    data = np.frombuffer(b"".join(spaced), np.uint8)
+    begins = offsets_of([len(t) for t in spaced])
+    cut = np.zeros(len(data), bool)
+    letter = _LETTER[data]
+    cut[1:-1] = (data[1:-1] == 32) & letter[:-2] & letter[2:]
+    cut[begins[:-1]] = True
+    starts = np.flatnonzero(cut)
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), np.searchsorted(starts, begins)
+
+
+def _plain(piece: bytes) -> bool:
+    """Whether a piece begins with a space and an ASCII letter, and ends in one."""
+    return len(piece) > 1 and _IS_LETTER[piece[1]] and _IS_LETTER[piece[-1]]
+
+
+class _Lists:
+    """Lists of numbers, flat."""
+
+    def __init__(self, kind=np.int64):
+        self.flat, self.offsets = np.zeros(0, kind), np.zeros(1, np.int64)
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat.astype(self.flat.dtype)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists at these places, one after the other, and their sizes."""
+        sizes = self.offsets[at + 1] - self.offsets[at]
+        return self.flat[ranges(self.offsets[at], sizes)], sizes
+
+
+class Decimals:
+    """The ids below a limit as text."""
+
+    def __init__(self, limit: int):
+        texts = [str(i).encode() for i in range(limit)]
+        self.sizes = np.array([len(t) for t in texts])
+        self.starts = offsets_of(self.sizes)[:-1]
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+
+    def joined(self, ids: np.ndarray, separators: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids with a separator after each, and where each begins."""
+        sizes = self.sizes[ids]
+        at = offsets_of(sizes + 1)
+        out = np.empty(int(at[-1]), np.uint8)
+        out[ranges(at[:-1], sizes)] = self.data[ranges(self.starts[ids], sizes)]
+        out[at[1:] - 1] = separators
+        return out.tobytes(), at
+
+
+class Aligned:
+    """The pieces of text and the windows of token ids that a worker has met, with what follows from each.
+
+    A window is known by its two id tuples. It has the numbers of its groups and links, its groups as text, and its different
+    linked pairs with how often each is linked.
+    """
+
+    def __init__(self, tokens: Tokenizers):
+        self.tokens = tokens
+        self.decimals = Decimals(max(len(tokens.a_bytes.sizes), len(tokens.b_bytes.sizes)))
+        self.forget()
+
+    def forget(self) -> None:
+        self.piece_number: dict[bytes, int] = {}
+        self.held = 0
+        self.sound, self.n_a, self.n_b = np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.windows_of_piece = _Lists(np.int32)
+        self.piece_text: list[bytes] = []
+        self.window_number: dict[bytes, int] = {}
+        self.window_text: list[bytes] = []
         self.groups, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pairs, self.times = _Lists(), _Lists()
+
+    def full(self) -> bool:
+        return len(self.piece_number) > KNOWN_PIECES or self.held > KNOWN_BYTES
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each piece; new ones are encoded and aligned."""
+        encoded = pieces.dictionary_encode()
+        different = encoded.dictionary.to_pylist()
+        number = np.array([self.piece_number.get(p, -1) for p in different], np.int64)
+        new = sorted(np.flatnonzero(number < 0).tolist(), key=lambda i: not _plain(different[i]))
+        number[new] = np.arange(len(self.piece_number), len(self.piece_number) + len(new))
+        begin = 0
+        while begin < len(new):
+            end, size = begin, 0
+            while end < len(new) and (end == begin or size + len(different[new[end]]) <= ENCODE_BYTES):
+                size += len(different[new[end]])
+                end += 1
+            self._add([different[i] for i in new[begin:end]])
+            begin = end
+        return number[encoded.indices.to_numpy(zero_copy_only=False)]
 
-    def cut(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each segment spells the same in both, its tokens in A and B, the windows and their offsets."""
+    def _add(self, pieces: list[bytes]) -> None:
+        for p in pieces:
+            self.piece_number[p] = len(self.piece_number)
+        self.held += sum(map(len, pieces))
         t = self.tokens
-        a, a_at, b, b_at = t.encode(segments)
-        spaced = [b" " + s for s in segments]
-        sound = self._sound(spaced, a, a_at, t.a_bytes) & self._sound(spaced, b, b_at, t.b_bytes)
+        a, a_at, b, b_at = t.encode(pieces, sum(map(_plain, pieces)))
+        sound = _spell(pieces, a, a_at, t.a_bytes) & _spell(pieces, b, b_at, t.b_bytes)
         n_a, n_b = np.diff(a_at), np.diff(b_at)
+        self.sound = np.append(self.sound, sound)
+        self.n_a, self.n_b = np.append(self.n_a, n_a), np.append(self.n_b, n_b)
         if not sound.all():
             a, b = a[np.repeat(sound, n_a)], b[np.repeat(sound, n_b)]
-        sizes = np.array([len(s) for s in spaced]) * sound
-        begins = offsets_of(sizes)
+        begins = offsets_of(np.array([len(p) for p in pieces]) * sound)
         total = int(begins[-1])
+        # Offsets where tokens of both end, and those where tokens of both begin with a space.
+        a_ends, b_ends = np.cumsum(t.a_bytes.sizes[a]), np.cumsum(t.b_bytes.sizes[b])
         mark = np.zeros(total + 1, np.uint8)
-        a_start, b_start = offsets_of(t.a_bytes.sizes[a]), offsets_of(t.b_bytes.sizes[b])
-        mark[a_start[:-1][t.a_bytes.spaced[a]]] |= 1
-        mark[b_start[:-1][t.b_bytes.spaced[b]]] |= 2
-        anchors = np.flatnonzero(mark == 3)
-        windows = self._numbered(a, b, np.searchsorted(a_start, np.append(anchors, total)), np.searchsorted(b_start, np.append(anchors, total)))
-        return sound, n_a, n_b, windows, np.searchsorted(anchors, begins)
-
-    @staticmethod
-    def _sound(spaced: list[bytes], ids: np.ndarray, at: np.ndarray, spelling: Spelling) -> np.ndarray:
-        want = np.array([len(s) for s in spaced])
-        have = sums(spelling.sizes[ids], at)
-        data, made = np.frombuffer(b"".join(spaced), np.uint8), spelling.spelled(ids)
-        if (want == have).all():
-            wrong = sums((data != made).astype(np.int64), offsets_of(want))
-            return wrong == 0
-        cuts, raw = offsets_of(have).tolist(), made.tobytes()
-        return np.array([raw[i:j] == s for i, j, s in zip(cuts, cuts[1:], spaced)])
-
-    def _numbered(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> np.ndarray:
-        """The number of each window; ``a_cut`` and ``b_cut`` are the windows' offsets in the ids."""
-        n = len(a_cut) - 1
+        mark[a_ends] |= 1
+        mark[b_ends] |= 2
+        mark[(a_ends - t.a_bytes.sizes[a])[t.a_bytes.spaced[a]]] |= 4
+        mark[(b_ends - t.b_bytes.sizes[b])[t.b_bytes.spaced[b]]] |= 8
+        ends = np.flatnonzero((mark & 3) == 3)
+        anchors = np.flatnonzero((mark & 12) == 12)
+        a_cut = np.concatenate([[0], np.searchsorted(a_ends, ends) + 1])
+        b_cut = np.concatenate([[0], np.searchsorted(b_ends, ends) + 1])
+        first_group = np.searchsorted(ends, np.append(anchors, total), "right")
+        first_group[-1] = len(ends)
+        numbers = self._windows(a, b, a_cut, b_cut, first_group)
+        sizes = np.diff(np.searchsorted(anchors, begins))
+        self.windows_of_piece.extend(numbers, sizes)
+        at = 0
+        for n in sizes.tolist():
+            own = numbers[at : at + n].tolist()
+            self.piece_text.append(self.window_text[own[0]] if n == 1 else b";".join([self.window_text[w] for w in own]))
+            at += n
+
+    def _windows(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, first_group: np.ndarray) -> np.ndarray:
+        """The number of each window, ``first_group`` the groups that they begin with; new ones are aligned."""
+        n = len(first_group) - 1
         if n <= 0:
             return np.zeros(0, np.int64)
+        a_at, b_at = a_cut[first_group], b_cut[first_group]
         # The ids of A, a mark, the ids of B: the key of a window.
-        n_a, n_b, window = np.diff(a_cut), np.diff(b_cut), np.arange(n)
+        window = np.arange(n)
         key = np.full(len(a) + len(b) + n, 0xFFFFFFFF, np.uint32)
-        key[np.arange(len(a)) + np.repeat(b_cut[:-1] + window, n_a)] = a
-        key[np.arange(len(b)) + np.repeat(a_cut[1:] + window + 1, n_b)] = b
-        offsets = (4 * (a_cut + b_cut + np.arange(n + 1))).astype(np.int64)
+        key[np.arange(len(a)) + np.repeat(b_at[:-1] + window, np.diff(a_at))] = a
+        key[np.arange(len(b)) + np.repeat(a_at[1:] + window + 1, np.diff(b_at))] = b
+        offsets = (4 * (a_at + b_at + np.arange(n + 1))).astype(np.int64)
         column = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(key)])
         encoded = column.dictionary_encode()
-        fresh, number = [], np.empty(len(encoded.dictionary), np.int64)
-        for i, ids in enumerate(encoded.dictionary.to_pylist()):
-            at = self.numbers.get(ids)
-            if at is None:
-                at = self.numbers[ids] = len(self.alignments)
-                self.alignments.append(self._aligned(ids))
-                fresh.append(at)
-            number[i] = at
-        if fresh:
-            new = self.alignments[len(self.groups) :]
-            self.groups = np.append(self.groups, [x.n_groups for x in new])
-            self.links = np.append(self.links, [x.n_links for x in new])
-        return number[encoded.indices.to_numpy(zero_copy_only=False)]
-
-    def _aligned(self, ids: bytes) -> Alignment:
-        found = self.known.get(ids)
-        if found is None:
-            both_ids = np.frombuffer(ids, np.uint32).astype(np.int64)
-            middle = int(np.flatnonzero(both_ids == 0xFFFFFFFF)[0])
-            found = Alignment(both_ids[:middle], both_ids[middle + 1 :], self.tokens.a_bytes.sizes, self.tokens.b_bytes.sizes)
-            if len(both_ids) <= KNOWN_TOKENS:
-                if len(self.known) >= KNOWN_WINDOWS:
-                    self.known.clear()
-                self.known[ids] = found
-        return found
-
-
-_known: dict[tuple[str, str], dict[bytes, Alignment]] = {}
+        different, place = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False)
+        number = np.array([self.window_number.get(ids, -1) for ids in different], np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = np.arange(len(self.window_number), len(self.window_number) + len(new))
+            self.window_number.update((different[i], int(number[i])) for i in new.tolist())
+            seen = np.unique(place, return_index=True)[1][new]  # where each new one stands first
+            self._align(a, b, a_cut, b_cut, first_group[seen], first_group[seen + 1])
+        return number[place]
+
+    def _align(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Add windows of the groups from ``begin`` to ``end``."""
+        n_groups = end - begin
+        group = ranges(begin, n_groups)
+        owner = np.repeat(np.arange(len(begin)), n_groups)
+        a_from, b_from = a_cut[group], b_cut[group]
+        n_a, n_b = a_cut[group + 1] - a_from, b_cut[group + 1] - b_from
+        n_links = n_a * n_b
+        self.groups = np.append(self.groups, n_groups)
+        self.links = np.append(self.links, sums(n_links, offsets_of(n_groups)))
+
+        small = np.where(n_links <= MANY_LINKS, n_links, 0)
+        at = np.repeat(np.arange(len(group)), small)
+        nth = ranges(np.zeros(len(group), np.int64), small)
+        pair = a[a_from[at] + nth // n_b[at]] * _PAIR + b[b_from[at] + nth % n_b[at]]
+        window, times = owner[at], np.ones(len(at), np.int64)
+        for g in np.flatnonzero(n_links > MANY_LINKS).tolist():  # the different ids meet, with how often they do
+            xs, x_times = np.unique(a[a_from[g] : a_from[g] + n_a[g]], return_counts=True)
+            ys, y_times = np.unique(b[b_from[g] : b_from[g] + n_b[g]], return_counts=True)
+            pair = np.append(pair, (xs[:, None] * _PAIR + ys).ravel())
+            times = np.append(times, (x_times[:, None] * y_times).ravel())
+            window = np.append(window, np.full(len(xs) * len(ys), owner[g]))
+        order = np.lexsort((pair, window))
+        pair, window, times = pair[order], window[order], times[order]
+        first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (window[1:] != window[:-1])]))
+        sizes = np.bincount(window[first], minlength=len(begin))
+        self.pairs.extend(pair[first], sizes)
+        self.times.extend(np.add.reduceat(times, first), sizes)
+
+        # The ids of all groups in a row, with what stands after each.
+        item = offsets_of(n_a + n_b)
+        ids, after = np.empty(int(item[-1]), np.int64), np.full(int(item[-1]), ord(","), np.uint8)
+        ids[ranges(item[:-1], n_a)] = a[ranges(a_from, n_a)]
+        ids[ranges(item[:-1] + n_a, n_b)] = b[ranges(b_from, n_b)]
+        after[item[:-1] + n_a - 1] = ord("|")
+        after[item[1:] - 1] = ord(";")
+        text, place = self.decimals.joined(ids, after)
+        cuts = place[item[offsets_of(n_groups)]].tolist()
+        self.window_text += [text[i : j - 1] for i, j in zip(cuts, cuts[1:])]
+
+
+def _spell(pieces: list[bytes], ids: np.ndarray, at: np.ndarray, spelling: Spelling) -> np.ndarray:
+    """Whether the tokens of each piece spell it."""
+    want = np.array([len(p) for p in pieces])
+    have = sums(spelling.sizes[ids], at)
+    data, made = np.frombuffer(b"".join(pieces), np.uint8), spelling.spelled(ids)
+    if (want == have).all():
+        return sums((data != made).astype(np.int64), offsets_of(want)) == 0
+    cuts, raw = offsets_of(have).tolist(), made.tobytes()
+    return np.array([raw[i:j] == p for i, j, p in zip(cuts, cuts[1:], pieces)])
+
+
+_worker: dict[tuple[str, str], Aligned] = {}
 
 
 class _Chunk:
     """Documents whose windows and pairs are counted together."""
 
-    def __init__(self, windows: Windows, keep_groups: bool):
-        self.windows, self.keep_groups = windows, keep_groups
-        self.bytes = 0
-        self.docs: list[dict] = []
+    def __init__(self, aligned: Aligned, keep_groups: bool):
+        self.aligned, self.keep_groups = aligned, keep_groups
+        self.bytes, self.n_docs = 0, 0
+        self.docs: list[list] = []
+        self.windows: list[np.ndarray] = []
         self.pairs: list[np.ndarray] = []
-        windows.begin()
+        if aligned.full():
+            aligned.forget()
 
     def add(self, ids: list, texts: list[bytes]) -> None:
         """All of these documents."""
-        segments, owner = [], []
-        for i, text in enumerate(texts):
-            if text:
-                parts = segments_of(text)
-                segments += parts
-                owner += [i] * len(parts)
-        of_doc: list[list[np.ndarray]] = [[] for _ in texts]
-        totals, sound = np.zeros((len(texts), 2), np.int64), np.array([bool(t) for t in texts], bool)
-        begin = 0
-        while begin < len(segments):
-            end, size = begin, 0
-            while end < len(segments) and (end == begin or size + len(segments[end]) <= SLICE_BYTES):
-                size += len(segments[end])
-                end += 1
-            fine, n_a, n_b, numbers, at = self.windows.cut(segments[begin:end])
-            for k in range(end - begin):
-                i = owner[begin + k]
-                sound[i] &= fine[k]
-                totals[i] += (n_a[k], n_b[k])
-                of_doc[i].append(numbers[at[k] : at[k + 1]])
-            begin = end
         self.bytes += sum(map(len, texts))
-        texts_of = self.windows.alignments
-        linked = []
-        for i, doc_id in enumerate(ids):
-            if not sound[i]:
-                self.docs.append({"doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "gaps": [], "times": []})
-                if self.keep_groups:
-                    self.docs[-1]["groups"] = ""
-                continue
-            numbers = np.concatenate(of_doc[i])
-            groups = b";".join([texts_of[w].text for w in numbers.tolist()])
-            different, times = np.unique(numbers, return_counts=True)
-            linked.append(different)
-            self.docs.append(
-                {
-                    "doc_id": doc_id, "n_a": int(totals[i, 0]), "n_b": int(totals[i, 1]), "n_groups": int(self.windows.groups[numbers].sum()),
-                    "n_links": int(self.windows.links[numbers].sum()), "groups_sha256": hashlib.sha256(groups).hexdigest(),
-                    "gaps": np.diff(different, prepend=0), "times": times,
-                }
-            )
-            if self.keep_groups:
-                self.docs[-1]["groups"] = groups.decode()
-        self._count(linked)
+        self.n_docs += len(texts)
+        known = self.aligned
+        filled = np.flatnonzero([bool(t) for t in texts])
+        pieces, at = pieces_of([texts[i] for i in filled.tolist()]) if len(filled) else (None, None)
+        rows = [[i, 0, 0, 0, 0, ""] + [""] * self.keep_groups for i in ids]
+        of_doc = [np.zeros(0, np.int64)] * len(ids)
+        times_of = [np.zeros(0, np.int64)] * len(ids)
+        if pieces is not None:
+            number = known.numbers(pieces)
+            bad = sums((~known.sound[number]).astype(np.int64), at) > 0
+            n_a, n_b = sums(known.n_a[number], at), sums(known.n_b[number], at)
+            flat, sizes = known.windows_of_piece.of(number)
+            windows = flat.astype(np.int64)
+            cuts = offsets_of(sums(sizes, at))
+            n_groups, n_links = sums(known.groups[windows], cuts), sums(known.links[windows], cuts)
+            linked = []
+            for k, i in enumerate(filled.tolist()):
+                if bad[k]:
+                    continue
+                groups = b";".join([known.piece_text[p] for p in number[at[k] : at[k + 1]].tolist()])
+                row = [ids[i], int(n_a[k]), int(n_b[k]), int(n_groups[k]), int(n_links[k]), hashlib.sha256(groups).hexdigest()]
+                rows[i] = row + [groups.decode()] * self.keep_groups
+                of_doc[i], times_of[i] = np.unique(windows[cuts[k] : cuts[k + 1]], return_counts=True)
+                linked.append(of_doc[i])
+            self._count(linked)
+        self.docs += rows
+        self.windows += list(zip(of_doc, times_of))
 
     def _count(self, linked: list[np.ndarray]) -> None:
         """Add the documents of each pair."""
         if not linked:
             return
-        flat = np.concatenate(linked)
-        doc = np.repeat(np.arange(len(linked)), [len(x) for x in linked])
-        used, at = np.unique(flat, return_inverse=True)
-        lists = [self.windows.alignments[w].pairs for w in used.tolist()]
-        offsets = offsets_of([len(x) for x in lists])
-        pairs, place = np.unique(np.fromiter((p for x in lists for p in x), np.int64, int(offsets[-1])), return_inverse=True)
-        sizes = np.diff(offsets)[at]
-        both = np.repeat(doc, sizes) * len(pairs) + place[ranges(offsets[:-1][at], sizes)]
-        counted = np.bincount(np.unique(both) % len(pairs), minlength=len(pairs))
-        self.pairs.append(np.stack([pairs, counted]))
+        flat, sizes = self.aligned.pairs.of(np.concatenate(linked))
+        doc = np.repeat(np.repeat(np.arange(len(linked)), [len(x) for x in linked]), sizes)
+        pairs, place = np.unique(flat, return_inverse=True)
+        both = np.unique(doc * len(pairs) + place)
+        self.pairs.append(np.stack([pairs, np.bincount(both % len(pairs), minlength=len(pairs))]))
         if len(self.pairs) > 16:
             self.pairs = [self._summed()]
 
@@ -321,16 +412,18 @@ class _Chunk:
         return np.stack([pairs, np.bincount(place, every[1], len(pairs)).astype(np.int64)])
 
     def rows(self, number: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """The documents, then one row of the chunk's pairs and windows."""
+        """The documents, then one row of the chunk's pairs and windows, which are numbered anew."""
+        used = np.unique(np.concatenate([w for w, _ in self.windows] or [np.zeros(0, np.int64)]))
+        names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"] + ["groups"] * self.keep_groups
         for begin in range(0, len(self.docs), 2000):
-            yield pa.RecordBatch.from_pylist([{"chunk": number, **d} for d in self.docs[begin : begin + 2000]], schema)
+            part = [dict(zip(names, row)) for row in self.docs[begin : begin + 2000]]
+            for row, (windows, times) in zip(part, self.windows[begin : begin + 2000]):
+                row |= {"chunk": number, "gaps": np.diff(np.searchsorted(used, windows), prepend=0), "times": times}
+            yield pa.RecordBatch.from_pylist(part, schema)
         pairs, counted = self._summed()
-        lists = [x.pairs for x in self.windows.alignments]
-        offsets = offsets_of([len(x) for x in lists])
-        place = np.searchsorted(pairs, np.fromiter((p for x in lists for p in x), np.int64, int(offsets[-1])))
-        place = np.minimum(place, max(len(pairs) - 1, 0))  # windows of texts without tokens may have pairs that none has
-        times = np.fromiter((c for x in self.windows.alignments for c in x.counts), np.int64, int(offsets[-1]))
-        row = {"chunk": number, "pairs": pairs, "counted": counted, "sizes": np.diff(offsets), "places": place, "linked": times}
+        flat, sizes = self.aligned.pairs.of(used)
+        times, _ = self.aligned.times.of(used)
+        row = {"chunk": number, "pairs": pairs, "counted": counted, "sizes": sizes, "places": np.searchsorted(pairs, flat), "linked": times}
         yield pa.RecordBatch.from_pylist([row], schema)
 
 
@@ -339,9 +432,10 @@ def _aligned_chunks(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = both(a_path, b_path)
-        windows = Windows(tokens, _known.setdefault((a_path, b_path), {}))
-        number, chunk, schema = TaskContext.get().partitionId() << 24, _Chunk(windows, keep_groups), None
+        if (a_path, b_path) not in _worker:
+            _worker[a_path, b_path] = Aligned(both(a_path, b_path))
+        aligned = _worker[a_path, b_path]
+        number, chunk, schema = TaskContext.get().partitionId() << 24, _Chunk(aligned, keep_groups), None
         longs, long = pa.list_(pa.int64()), pa.int64()
         for rows in text_chunks(batches, "text", limit=SLICE_BYTES, rows=2000):
             if schema is None:
@@ -353,8 +447,8 @@ def _aligned_chunks(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool
             chunk.add(rows.column("doc_id").to_pylist(), as_bytes(rows.column("text")))
             if chunk.bytes > chunk_bytes:
                 yield from chunk.rows(number, schema)
-                number, chunk = number + 1, _Chunk(windows, keep_groups)
-        if schema is not None and chunk.docs:
+                number, chunk = number + 1, _Chunk(aligned, keep_groups)
+        if schema is not None and chunk.n_docs:
             yield from chunk.rows(number, schema)
 
     columns = (

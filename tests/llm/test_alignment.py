@@ -106,15 +106,46 @@ def test_chunks_change_nothing(spark, documents, chunk_bytes):
     assert answer(alignment.align(some, A_PATH, B_PATH, chunk_bytes=chunk_bytes)) == answer(alignment.align(some, A_PATH, B_PATH))
 
 
-def test_segments_have_the_same_tokens(encoders):
-    text = ("words of many kinds, don't  stop\n" * 40 + "é日本 x y 12 a b ").encode() * 5
+def test_pieces_have_the_same_tokens(encoders):
+    text = "words of many kinds, don't  stop\n" * 40 + "é日本 x y 12 a b "
     tokens = alignment.both(A_PATH, B_PATH)
-    for size in (1, 10, 100, 1000):
-        segments = alignment.segments_of(text, size)
-        assert b" ".join(segments) == text
-        a, _, b, _ = tokens.encode(segments)
-        assert a.tolist() == encoders[0].encode(" " + text.decode(), add_special_tokens=False).ids
-        assert b.tolist() == encoders[1].encode(text.decode())
+    pieces, at = alignment.pieces_of([text.encode(), b"a b"])
+    pieces = pieces.to_pylist()
+    assert b"".join(pieces) == f" {text} a b".encode() and at.tolist() == [0, len(pieces) - 2, len(pieces)]
+    for one_by_one in (True, False):
+        ordered = pieces[:-2] if one_by_one else sorted(pieces[:-2], key=lambda p: not alignment._plain(p))
+        n_plain = 0 if one_by_one else sum(map(alignment._plain, ordered))
+        a, a_at, b, b_at = tokens.encode(ordered, n_plain)
+        of = {p: (a[a_at[i] : a_at[i + 1]].tolist(), b[b_at[i] : b_at[i + 1]].tolist()) for i, p in enumerate(ordered)}
+        assert [i for p in pieces[:-2] for i in of[p][0]] == encoders[0].encode(" " + text, add_special_tokens=False).ids
+        assert [i for p in pieces[:-2] for i in of[p][1]] == encoders[1].encode(text)
+
+
+@pytest.mark.parametrize("pieces,links", [(1, 1 << 16), (300_000, 3), (1, 1)])
+def test_what_is_remembered_changes_nothing(encoders, monkeypatch, pieces, links):
+    monkeypatch.setattr(alignment, "KNOWN_PIECES", pieces)
+    monkeypatch.setattr(alignment, "MANY_LINKS", links)
+    monkeypatch.setattr(alignment, "ENCODE_BYTES", 64)
+    texts = [t for t in ODD if t] + ["the river rose", "a river"]
+    aligned = alignment.Aligned(alignment.both(A_PATH, B_PATH))
+    for begin in range(0, len(texts), 4):
+        chunk = alignment._Chunk(aligned, True)
+        some = texts[begin : begin + 4]
+        chunk.add(list(range(len(some))), [t.encode() for t in some])
+        for row, text, (windows, times) in zip(chunk.docs, some, chunk.windows):
+            expected = by_hand(encoders, [(row[0], text)])[0]
+            assert (*row[:5], row[5]) == (*expected[:5], expected[7])
+            flat, sizes = aligned.pairs.of(windows)
+            counts, _ = aligned.times.of(windows)
+            a, b = tokens_of(encoders, text)
+            shared = sorted({e for _, e in a} & {e for _, e in b})
+            links_by_hand = Counter()
+            for low, high in zip([0, *shared], shared):
+                links_by_hand.update((x << 32) + y for x, e in a if low < e <= high for y, f in b if low < f <= high)
+            found = Counter()
+            for pair, n, t in zip(flat.tolist(), counts.tolist(), np.repeat(times, sizes).tolist()):
+                found[pair] += n * t
+            assert found == links_by_hand
 
 
 def test_long_texts(spark, encoders):
@@ -142,18 +173,3 @@ def test_awkward_rows(spark, encoders, awkward, empty):
         awkward = awkward.withColumn(name, awkward["n_chars"])
     assert answer(alignment.align(awkward, A_PATH, B_PATH)) == by_hand(encoders, docs)
     assert alignment.align(empty, A_PATH, B_PATH).collect() == []
-
-
-def test_a_large_group_counts_its_different_ids():
-    a, b = np.array([1, 2, 1] * 10), np.array([5, 6] * 10)
-    size = np.ones(10, np.int64)
-    a_size, b_size = size.copy(), size.copy()
-    a_size[:] = 2
-    b_size[:] = 3
-    # 60 bytes each; ends meet at every sixth byte only.
-    found = alignment.Alignment(a, b, a_size, b_size)
-    assert found.n_groups == 10 and found.n_links == 60 and sum(found.counts) == 60
-    b_size[:] = 1
-    b_size[6] = 41
-    whole = alignment.Alignment(a, np.array([5] * 9 + [6] * 10 + [6]), np.full(10, 2), np.full(10, 3))
-    assert whole.n_links == sum(whole.counts)
