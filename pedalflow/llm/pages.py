@@ -13,8 +13,9 @@ they also learn pages that use plain ``div``s.
 Defined results: null and empty pages have the empty text; scripts, styles, templates, SVG, frames, form fields (buttons
 too), what stands for a missing script, comments, the head and the title are never text; formulas and what stands inside
 ``object`` and ``canvas`` belong to the text around them; character references are decoded once; white space, ``br`` and
-the bounds of blocks become one space each; tags left open are closed as HTML closes them, and a page that breaks off
-ends there; a stray closing tag is passed over. As in HTML, a head ends and a body begins at the first text or tag that
+the bounds of blocks become one space each; tags left open are closed as HTML closes them, and a page that breaks off, also in a
+tag or a quoted value, ends there; a stray closing tag is passed over. Comments end as in HTML (``<!-->``, ``--!>``), and a "<" that
+begins no tag is text. As in HTML, a head ends and a body begins at the first text or tag that
 cannot be in a head, also where no tag says so, and the body goes on to the end of the page; the trees decide on its own
 text as on any node's. Each page is read whole and for itself. An empty table gives an empty table; other columns are not read.
 """
@@ -72,16 +73,56 @@ HINTS = (
 
 _TAG_ID = {t: i for i, t in enumerate(TAGS)}
 _HINT_BIT = {h: 1 << i for i, h in enumerate(HINTS)}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>",
-    re.S,
+# A tag's attributes as HTML reads them: an unquoted value ends at white space or ">", a quote inside it is a character. No part is
+# looked at twice, so a tag costs its length, also one that never ends.
+_ATTRIBUTES = re.compile(
+    r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|(?=>)))?+)*+"
 )
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_COMMENT_END = re.compile(r"--!?>")
 _HINTED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TRUTH = re.compile(r"data-part=\"(\w)\"")
 _WORDS = re.compile(r"[a-z]+")
 _BREAK = -1
 
 
+def _past(page: str, mark: str, at: int) -> int:
+    """Just behind the next ``mark``, or the end of the page."""
+    found = page.find(mark, at)
+    return len(page) if found < 0 else found + len(mark)
+
+
+def next_tag(page: str, at: int) -> tuple[int, int, bool, str, str]:
+    """The next tag or comment from ``at`` on: where it begins and ends, whether it closes, its name in lower case and its attributes.
+
+    A comment has no name; neither has a tag in which the page ends, which is none. What is no tag is passed over as text.
+    """
+    begin = at
+    while True:
+        begin = page.find("<", begin)
+        if begin < 0:
+            return len(page), len(page), False, "", ""
+        after = page[begin + 1 : begin + 3]
+        if page.startswith("<!--", begin):
+            if page.startswith(">", begin + 4) or page.startswith("->", begin + 4):
+                return begin, _past(page, ">", begin), False, "", ""
+            ended = _COMMENT_END.search(page, begin + 4)
+            return begin, ended.end() if ended else len(page), False, "", ""
+        if after[:1] in ("!", "?"):
+            return begin, _past(page, ">", begin), False, "", ""
+        closing = after[:1] == "/"
+        name = _NAME.match(page, begin + 1 + closing)
+        if name is None:
+            if closing and len(after) > 1:
+                return begin, _past(page, ">", begin), False, "", ""
+            begin += 1
+            continue
+        end = _ATTRIBUTES.match(page, name.end()).end()
+        if not page.startswith(">", end):  # the page ends in the tag
+            return begin, len(page), False, "", ""
+        return begin, end + 1, closing, name[0].lower(), page[name.end() : end]
+
+
 class Page(NamedTuple):
     """Nodes in page order with their texts. Lists run over the nodes, ``pieces`` over texts and breaks."""
 
@@ -113,6 +154,11 @@ def parse(page: str, implied_body: bool = False) -> Page:
     stack: list[tuple[str, int]] = [("", 0)]  # open elements and their nodes
     hidden, links, at = 0, 0, 0
     in_body = False
+    n_open: dict[str, int] = {}  # of each name
+
+    def push(name: str, node: int) -> None:
+        stack.append((name, node))
+        n_open[name] = n_open.get(name, 0) + 1
 
     def open_node(tag: str, own: int = 0, part: str = "") -> int:
         above = stack[-1][1]
@@ -133,7 +179,7 @@ def parse(page: str, implied_body: bool = False) -> Page:
             close({"head"})
             in_body = True
             pieces.append((_BREAK, " "))
-            stack.append(("body", open_node("body", own, part)))
+            push("body", open_node("body", own, part))
 
     def take(text: str) -> None:
         if implied_body and not in_body and stack[-1][0] in ("", "head") and not text.isspace():
@@ -153,6 +199,7 @@ def parse(page: str, implied_body: bool = False) -> Page:
     def close_top() -> None:
         nonlocal hidden, links
         name, node = stack.pop()
+        n_open[name] -= 1
         if node != stack[-1][1]:
             end[node] = len(parent)
         if name in NEVER_TEXT:
@@ -163,6 +210,8 @@ def parse(page: str, implied_body: bool = False) -> Page:
             pieces.append((_BREAK, " "))
 
     def close(names: set[str] | frozenset[str], stops: set[str] = frozenset()) -> None:
+        if not any(n_open.get(n) for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in names:
                 while len(stack) > k:
@@ -172,22 +221,16 @@ def parse(page: str, implied_body: bool = False) -> Page:
                 return
 
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
-            take(page[at:])
-            break
-        if m.start() > at:
-            take(page[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+        begin, after, closing, name, attributes = next_tag(page, at)
+        if begin > at:
+            take(page[at:begin])
+        at = after
+        if not name:
             continue
-        name = name.lower()
-        attributes = m[3] if m[2] else m[6]
-        if m[1] or m[4]:
+        if closing:
             if name in ("html", "body"):  # what follows is still in the body
                 continue
-            if name == "p" and not any(n == "p" for n, _ in stack):
+            if name == "p" and not n_open.get("p"):
                 pieces.append((_BREAK, " "))
             close({name})
             continue
@@ -217,7 +260,7 @@ def parse(page: str, implied_body: bool = False) -> Page:
         if (not (inline or name in CELLS) or own) and name not in NEVER_TEXT and not hidden:
             part = _TRUTH.search(attributes) if attributes else None
             node = open_node(name, own, part[1] if part else "")
-        stack.append((name, node))
+        push(name, node)
         if name in NEVER_TEXT:
             hidden += 1
         elif name == "a":
@@ -258,8 +301,10 @@ def features(pages: list[Page]) -> np.ndarray:
     nodes = end - node
     page_chars = np.repeat(chars[first[:-1]], sizes)
     above = hints.copy()  # hints of the node and all above it
-    for level in range(1, int(depth.max()) + 1 if n else 0):
-        some = np.flatnonzero(depth == level)
+    by_depth = np.argsort(depth, kind="stable")
+    levels = np.searchsorted(depth[by_depth], np.arange(1, int(depth.max()) + 2 if n else 1))
+    for begin_level, end_level in zip(levels, levels[1:]):
+        some = by_depth[begin_level:end_level]
         above[some] |= above[parent[some]]
     children = np.bincount(parent[~root], minlength=n)
     order = np.lexsort((node, parent))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -39,6 +40,15 @@ def whole(page: str) -> str:
         ("<DIV>A<STYLE>p{}</Style>B</dIv>", "A B"),
         ("<p>a<div>b</div>c", "a b"),
         ("<div>x <", "x <"),
+        ("<p title=don't>text one</p><p title=can't>text two</p>", "text one text two"),
+        ("<p>one</p><!--><p>two</p><!---><p>three</p><!-- x --!><p>four</p>", "one two three four"),
+        ("<div>a</ div>b</>c<!doctype x>d<?pi ?>e</div>", "abcde"),
+        ("<p a=\"x>y\" b='>' c = \"'\" d=e\"f>one</p>", "one"),
+        ("<div><p a=>one</p><p =x>two</p><br/>three<p/>four", "one two three four"),
+        ("<p>one</p><p title=\"never closed>two</p><p>three</p>", "one"),
+        ("<p>one</p><a b <p c", "one"),
+        ("<p>1 <2 <3> a<b</p>", "1 <2 <3> a"),
+        ("<div>x<!-- <!-- --> y <!-- a -- b --> z", "x y z"),
     ],
 )
 def test_parsing(page, text):
@@ -155,3 +165,16 @@ def test_main_texts_without_a_body_tag(spark, given, forest):
     rows = spark.createDataFrame([(i, "u", page) for i, (page, _) in enumerate(cases)], "page_id bigint, url string, html string")
     got = {r.page_id: r.text for r in pages.extract(rows, forest).collect()}
     assert [got[i] for i in range(len(cases))] == [text for _, text in cases]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a b " * 80_000, "<!-" * 130_000, "<" * 400_000, "</" * 200_000, "<a b='" * 60_000, "<a b=c\" " * 50_000, "<!-- x" * 60_000, "<p>&" * 100_000,
+     "<div>" * 20_000 + "x" + "</div>" * 20_000, "<b>" * 40_000 + "</i>" * 40_000, "<p>" * 100_000, "<li>" * 100_000, "<ul><li>" * 10_000],
+    ids=lambda page: page[:9],
+)
+def test_odd_pages_cost_their_length(page):
+    begun = time.process_time()
+    parsed = pages.parse(page, implied_body=True)
+    pages.features([parsed])
+    assert time.process_time() - begun < 6
