@@ -48,7 +48,6 @@ _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 # --- end of fixed value ---
 _PAIR = 1 << 32  # a pair of ids is one number, a * 2^32 + b
 _LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
-_IS_LETTER = _LETTER.tolist()
 
 
 class Spelling:
@@ -151,9 +150,13 @@ def pieces_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), np.searchsorted(starts, begins)
 
 
-def _plain(piece: bytes) -> bool:
-    """Whether a piece begins with a space and an ASCII letter, and ends in one."""
-    return len(piece) > 1 and _IS_LETTER[piece[1]] and _IS_LETTER[piece[-1]]
+def _shapes(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each piece, and whether an ASCII letter follows its first space and one ends it."""
+    offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2], np.uint8)
+    sizes = np.diff(offsets)
+    second = data[np.minimum(offsets[:-1] + 1, len(data) - 1)]
+    return sizes, (sizes > 1) & _LETTER[second] & _LETTER[data[offsets[1:] - 1]]
 
 
 class _Lists:
@@ -221,32 +224,34 @@ class Aligned:
         """The number of each piece; new ones are encoded and aligned."""
         encoded = pieces.dictionary_encode()
         different = encoded.dictionary.to_pylist()
-        number = np.array([self.piece_number.get(p, -1) for p in different], np.int64)
-        new = sorted(np.flatnonzero(number < 0).tolist(), key=lambda i: not _plain(different[i]))
+        number = np.fromiter(map(self.piece_number.get, different, itertools.repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(number < 0)
+        sizes, plain = _shapes(encoded.dictionary)
+        new = new[np.argsort(~plain[new], kind="stable")]  # the plain ones first
         number[new] = np.arange(len(self.piece_number), len(self.piece_number) + len(new))
-        begin = 0
+        ends, begin = np.cumsum(sizes[new]), 0
         while begin < len(new):
-            end, size = begin, 0
-            while end < len(new) and (end == begin or size + len(different[new[end]]) <= ENCODE_BYTES):
-                size += len(different[new[end]])
-                end += 1
-            self._add([different[i] for i in new[begin:end]])
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + ENCODE_BYTES, "right")))
+            part = new[begin:end]
+            self._add([different[i] for i in part.tolist()], sizes[part], int(plain[part].sum()))
             begin = end
         return number[encoded.indices.to_numpy(zero_copy_only=False)]
 
-    def _add(self, pieces: list[bytes]) -> None:
-        for p in pieces:
-            self.piece_number[p] = len(self.piece_number)
-        self.held += sum(map(len, pieces))
+    def _add(self, pieces: list[bytes], lengths: np.ndarray, n_plain: int) -> None:
+        """Encode and align pieces, of which the first ``n_plain`` are plain."""
+        first = len(self.piece_number)
+        self.piece_number.update(zip(pieces, range(first, first + len(pieces))))
+        self.held += int(lengths.sum())
         t = self.tokens
-        a, a_at, b, b_at = t.encode(pieces, sum(map(_plain, pieces)))
-        sound = _spell(pieces, a, a_at, t.a_bytes) & _spell(pieces, b, b_at, t.b_bytes)
+        a, a_at, b, b_at = t.encode(pieces, n_plain)
+        sound = _spell(pieces, lengths, a, a_at, t.a_bytes) & _spell(pieces, lengths, b, b_at, t.b_bytes)
         n_a, n_b = np.diff(a_at), np.diff(b_at)
         self.sound = np.append(self.sound, sound)
         self.n_a, self.n_b = np.append(self.n_a, n_a), np.append(self.n_b, n_b)
         if not sound.all():
             a, b = a[np.repeat(sound, n_a)], b[np.repeat(sound, n_b)]
-        begins = offsets_of(np.array([len(p) for p in pieces]) * sound)
+        begins = offsets_of(lengths * sound)
         total = int(begins[-1])
         # Offsets where tokens of both end, and those where tokens of both begin with a space.
         a_ends, b_ends = np.cumsum(t.a_bytes.sizes[a]), np.cumsum(t.b_bytes.sizes[b])
@@ -264,11 +269,12 @@ class Aligned:
         numbers = self._windows(a, b, a_cut, b_cut, first_group)
         sizes = np.diff(np.searchsorted(anchors, begins))
         self.windows_of_piece.extend(numbers, sizes)
-        at = 0
-        for n in sizes.tolist():
-            own = numbers[at : at + n].tolist()
-            self.piece_text.append(self.window_text[own[0]] if n == 1 else b";".join([self.window_text[w] for w in own]))
-            at += n
+        texts = list(map(self.window_text.__getitem__, numbers.tolist()))
+        if len(texts) == len(pieces) and (sizes == 1).all():
+            self.piece_text += texts
+        else:
+            cuts = offsets_of(sizes).tolist()
+            self.piece_text += [texts[i] if j - i == 1 else b";".join(texts[i:j]) for i, j in zip(cuts, cuts[1:])]
 
     def _windows(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, first_group: np.ndarray) -> np.ndarray:
         """The number of each window, ``first_group`` the groups that they begin with; new ones are aligned."""
@@ -285,11 +291,11 @@ class Aligned:
         column = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(key)])
         encoded = column.dictionary_encode()
         different, place = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False)
-        number = np.array([self.window_number.get(ids, -1) for ids in different], np.int64)
+        number = np.fromiter(map(self.window_number.get, different, itertools.repeat(-1)), np.int64, len(different))
         new = np.flatnonzero(number < 0)
         if len(new):
             number[new] = np.arange(len(self.window_number), len(self.window_number) + len(new))
-            self.window_number.update((different[i], int(number[i])) for i in new.tolist())
+            self.window_number.update(zip(map(different.__getitem__, new.tolist()), number[new].tolist()))
             seen = np.unique(place, return_index=True)[1][new]  # where each new one stands first
             self._align(a, b, a_cut, b_cut, first_group[seen], first_group[seen + 1])
         return number[place]
@@ -335,9 +341,8 @@ class Aligned:
         self.window_text += [text[i : j - 1] for i, j in zip(cuts, cuts[1:])]
 
 
-def _spell(pieces: list[bytes], ids: np.ndarray, at: np.ndarray, spelling: Spelling) -> np.ndarray:
-    """Whether the tokens of each piece spell it."""
-    want = np.array([len(p) for p in pieces])
+def _spell(pieces: list[bytes], want: np.ndarray, ids: np.ndarray, at: np.ndarray, spelling: Spelling) -> np.ndarray:
+    """Whether the tokens of each piece, of ``want`` bytes, spell it."""
     have = sums(spelling.sizes[ids], at)
     data, made = np.frombuffer(b"".join(pieces), np.uint8), spelling.spelled(ids)
     if (want == have).all():
@@ -349,6 +354,18 @@ def _spell(pieces: list[bytes], ids: np.ndarray, at: np.ndarray, spelling: Spell
 _worker: dict[tuple[str, str], Aligned] = {}
 
 
+def packed(windows: np.ndarray, times: np.ndarray) -> bytes:
+    """A document's windows and how often it has each, as bytes: the width of a number, the steps between windows, the times."""
+    numbers = np.concatenate([np.diff(windows, prepend=0), times])
+    width = 1 if not len(numbers) or numbers.max() < 1 << 8 else 2 if numbers.max() < 1 << 16 else 8
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+    return np.cumsum(numbers[: len(numbers) // 2]), numbers[len(numbers) // 2 :]
+
+
 class _Chunk:
     """Documents whose windows and pairs are counted together."""
 
@@ -418,7 +435,7 @@ class _Chunk:
         for begin in range(0, len(self.docs), 2000):
             part = [dict(zip(names, row)) for row in self.docs[begin : begin + 2000]]
             for row, (windows, times) in zip(part, self.windows[begin : begin + 2000]):
-                row |= {"chunk": number, "gaps": np.diff(np.searchsorted(used, windows), prepend=0), "times": times}
+                row |= {"chunk": number, "windows": packed(np.searchsorted(used, windows), times)}
             yield pa.RecordBatch.from_pylist(part, schema)
         pairs, counted = self._summed()
         flat, sizes = self.aligned.pairs.of(used)
@@ -441,7 +458,7 @@ def _aligned_chunks(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool
             if schema is None:
                 fields = [("chunk", long), ("doc_id", rows.schema.field("doc_id").type)]
                 fields += [(c, long) for c in ("n_a", "n_b", "n_groups", "n_links")] + [("groups_sha256", pa.string())]
-                fields += [("gaps", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))]
+                fields += [("windows", pa.binary())]
                 fields += [("pairs", longs), ("counted", longs), ("sizes", pa.list_(pa.int32())), ("places", pa.list_(pa.int32())), ("linked", longs)]
                 schema = pa.schema(fields + [("groups", pa.string())] * keep_groups)
             chunk.add(rows.column("doc_id").to_pylist(), as_bytes(rows.column("text")))
@@ -452,8 +469,8 @@ def _aligned_chunks(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool
             yield from chunk.rows(number, schema)
 
     columns = (
-        f"chunk bigint, doc_id {id_type}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, gaps array<int>, "
-        "times array<int>, pairs array<bigint>, counted array<bigint>, sizes array<int>, places array<int>, linked array<bigint>"
+        f"chunk bigint, doc_id {id_type}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, windows binary, "
+        "pairs array<bigint>, counted array<bigint>, sizes array<int>, places array<int>, linked array<bigint>"
     )
     return stored(docs.select("doc_id", "text").mapInArrow(align, columns + ", groups string" * keep_groups), "aligned-documents")
 
@@ -520,13 +537,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool = False,
 
 
 def _of_documents(part: pa.RecordBatch, of_window: tuple[np.ndarray, np.ndarray], names: list[str]) -> pa.RecordBatch:
-    gaps = part.column("gaps")
-    offsets = offsets_of(gaps.value_lengths().to_numpy(zero_copy_only=False))
-    flat = gaps.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    times = part.column("times").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    # Window numbers of a document are kept as the steps between them.
-    run = np.cumsum(flat)
-    before = np.concatenate([[0], run])[offsets[:-1]]
-    window = run - np.repeat(before, np.diff(offsets))
+    held = [unpacked(raw) for raw in part.column("windows").to_pylist()]
+    offsets = offsets_of([len(w) for w, _ in held])
+    window, times = (np.concatenate(x) for x in zip(*held))
     added = {name: pa.array(sums(values[window] * times, offsets), pa.int64()) for name, values in zip(("n_best", "count_sum"), of_window)}
     return pa.RecordBatch.from_arrays([added[c] if c in added else part.column(c) for c in names], names=names)

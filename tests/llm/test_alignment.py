@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -112,9 +113,11 @@ def test_pieces_have_the_same_tokens(encoders):
     pieces, at = alignment.pieces_of([text.encode(), b"a b"])
     pieces = pieces.to_pylist()
     assert b"".join(pieces) == f" {text} a b".encode() and at.tolist() == [0, len(pieces) - 2, len(pieces)]
+    plain = dict(zip(pieces, alignment._shapes(pa.array(pieces, pa.large_binary()))[1].tolist()))
+    assert any(plain.values()) and not all(plain.values())
     for one_by_one in (True, False):
-        ordered = pieces[:-2] if one_by_one else sorted(pieces[:-2], key=lambda p: not alignment._plain(p))
-        n_plain = 0 if one_by_one else sum(map(alignment._plain, ordered))
+        ordered = pieces[:-2] if one_by_one else sorted(pieces[:-2], key=lambda p: not plain[p])
+        n_plain = 0 if one_by_one else sum(plain[p] for p in ordered)
         a, a_at, b, b_at = tokens.encode(ordered, n_plain)
         of = {p: (a[a_at[i] : a_at[i + 1]].tolist(), b[b_at[i] : b_at[i + 1]].tolist()) for i, p in enumerate(ordered)}
         assert [i for p in pieces[:-2] for i in of[p][0]] == encoders[0].encode(" " + text, add_special_tokens=False).ids
@@ -173,3 +176,9 @@ def test_awkward_rows(spark, encoders, awkward, empty):
         awkward = awkward.withColumn(name, awkward["n_chars"])
     assert answer(alignment.align(awkward, A_PATH, B_PATH)) == by_hand(encoders, docs)
     assert alignment.align(empty, A_PATH, B_PATH).collect() == []
+
+
+@pytest.mark.parametrize("windows,times", [([], []), ([0], [1]), ([3, 700], [1, 2]), ([5, 90_000], [1, 70_000]), ([1 << 33], [1 << 40])])
+def test_packed_windows_come_back(windows, times):
+    back = alignment.unpacked(alignment.packed(np.array(windows, np.int64), np.array(times, np.int64)))
+    assert back[0].tolist() == windows and back[1].tolist() == times
