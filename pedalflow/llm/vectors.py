@@ -12,7 +12,8 @@ A pair counts in the first table that it shares. Buckets are compared in bounded
 
 Equal vectors are one member with a multiplicity. Vectors that are null, empty, zero or hold null, infinite or NaN
 components link with nothing (0 links, their own component); so do rows with a null vec_id (component null). Vectors of
-different lengths are never linked. Rows that repeat vec_id and vector count each other as links. An empty table gives an
+different lengths are never linked. Rows that repeat vec_id and vector count each other as links; where a vec_id has several
+vectors, each row counts the links of its own vector, and the rows are one document as far as components go. An empty table gives an
 empty table; labels and other columns are not read.
 """
 
@@ -150,7 +151,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     members = stored(
         rows.filter("_vector IS NOT NULL")
         .groupBy("_vector")
-        .agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")),
+        .agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+        .withColumn("member", F.monotonically_increasing_id()),  # ids can repeat with other vectors
         "vectors",
     )
     bits, tables = table_shape(members.count(), cosine)
@@ -174,14 +176,16 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                             pa.array(np.tile(np.arange(tables, dtype=np.int32), len(same))),
                             part.column("id").take(rows_at),
                             part.column("copies").take(rows_at),
+                            part.column("member").take(rows_at),
                             pa.array(here, pa.binary()).take(pa.array(at)),
                         ],
-                        names=["key", "table", "id", "copies", "raw"],
+                        names=["key", "table", "id", "copies", "member", "raw"],
                     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run_table, offsets in whole_runs(batches, "key"):
             ids, copies = run_table.column("id").to_numpy(), run_table.column("copies").to_numpy()
+            members_here = run_table.column("member").to_numpy()
             table, own = run_table.column("table").to_numpy(), run_table.column("_own").to_numpy()
             same_block = run_table.column("_low").to_numpy() == run_table.column("_high").to_numpy()
             raw = run_table.column("raw").to_pylist()
@@ -209,25 +213,26 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[same][some], run_table.column("id").type),
+                        pa.array(members_here[same][some]),
                         pa.array(links[some].astype(np.int64)),
                         pa.array(root[some], run_table.column("id").type),
                     ],
-                    names=["id", "links", "root"],
+                    names=["id", "member", "links", "root"],
                 )
 
-    entered = members.mapInArrow(enter, f"key bigint, table int, id {id_type}, copies bigint, raw binary")
+    entered = members.mapInArrow(enter, f"key bigint, table int, id {id_type}, copies bigint, member bigint, raw binary")
     large = stored(
         entered.groupBy("key").agg(F.count("*").alias("_n")).filter(F.col("_n") > BUCKET_BLOCK), "vector-buckets"
     )
     blocks = F.coalesce(F.ceil(F.col("_n") / BUCKET_BLOCK), F.lit(1))
-    paired = in_block_pairs(entered.join(large, "key", "left"), blocks, "id").drop("_n")
+    paired = in_block_pairs(entered.join(large, "key", "left"), blocks, "member").drop("_n")
     found = stored(
-        by_runs(paired, "key").mapInArrow(compare, f"id {id_type}, links bigint, root {id_type}"), "vector-links"
+        by_runs(paired, "key").mapInArrow(compare, f"id {id_type}, member bigint, links bigint, root {id_type}"), "vector-links"
     )
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
+    counts = found.groupBy("member").agg(F.sum("links").alias("links"))
     edges = found.filter("id != root").select(F.col("id").alias("src"), F.col("root").alias("dst")).distinct()
     component = roots(stored(edges, "vector-edges"))
-    known = stored(members.join(counts, "id", "left").join(component, "id", "left"), "vector-members").select(
+    known = stored(members.join(counts, "member", "left").join(component, "id", "left"), "vector-members").select(
         F.col("_vector").alias("_same"), "id", "copies", "links", "root"
     )
     joined = rows.join(known, F.col("_vector") == F.col("_same"), "left")

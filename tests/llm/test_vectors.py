@@ -87,6 +87,14 @@ def test_given_vectors(spark):
     assert np.mean([g[2] == e[2] for g, e in zip(got, expected)]) > 0.99
 
 
+def test_an_id_with_several_vectors(spark):
+    near = lambda v: [x + 0.01 for x in v]
+    x, y, z = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    rows = [(1, x, 0), (1, y, 0), (2, near(x), 0), (3, near(y), 0), (4, near(y), 0), (5, z, 0), (6, x, 0), (1, x, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert answer(df) == by_hand(df.collect())
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
