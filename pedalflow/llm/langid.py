@@ -31,11 +31,12 @@ from pedalflow.llm.arrays import mix, offsets_of, ranges, sums, text_chunks
 from pedalflow.llm.ship import ship
 
 ORDER = 5
-# The models are fitted on a sample of labelled texts of about this many characters per language (the bound);
-# texts longer than MAX_SAMPLE_TEXT are not drawn. A quarter of the drawn texts calibrates the rejection.
-SAMPLE_CHARS = 600_000
+# The models are fitted on a sample of labelled texts of about this many characters per language, or of about SAMPLE_TEXTS
+# texts if these are more (the bound); of texts longer than MAX_SAMPLE_TEXT a piece of that length is taken. A quarter of the drawn
+# texts calibrates the rejection.
+SAMPLE_CHARS, SAMPLE_TEXTS = 600_000, 20
 MAX_SAMPLE_TEXT = 100_000
-MAX_LANGUAGES = 200
+MAX_LANGUAGES = 200  # those with most text; texts of others are told to be in the nearest of these, or rejected
 # A text is rejected beyond so many standard deviations of its language's calibration texts, and two bits in any case.
 REJECT_DEVIATIONS, REJECT_BITS = 6.0, 2.0
 UND = "und"
@@ -294,18 +295,25 @@ def learnable(doc_id: str = "doc_id") -> Column:
 def sample(docs: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
     """Labelled texts of about ``chars`` characters per language: ``lang``, ``text``.
 
-    A text is drawn by a hash of itself, with the chance that makes the language's draw as large as asked.
+    A text is drawn by a hash of itself, with the chance that makes the language's draw as large as asked; the chance is taken
+    from the different texts, so that copies take no room. The text of the least hash is drawn in any case, so every
+    language has one. Of a long text a piece is taken from a place that its hash tells.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    short = known.filter(F.length("text") <= MAX_SAMPLE_TEXT)
-    sizes = short.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"{len(sizes)} languages; at most {MAX_LANGUAGES} are expected")
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    hashed, size = F.xxhash64("text"), F.length("text")
+    place = F.pmod(hashed, F.greatest(size - MAX_SAMPLE_TEXT, F.lit(0)) + 1).cast("int") + 1
+    labelled = known.select(
+        "lang", F.col("text").substr(place, F.lit(MAX_SAMPLE_TEXT)).alias("text"), hashed.alias("hash"),
+        F.least(size, F.lit(MAX_SAMPLE_TEXT)).alias("size"),
+    )
+    draw = F.pmod("hash", F.lit(1 << 30))
+    different = labelled.select("lang", "hash", "size").distinct()
+    totals = different.groupBy("lang").agg(F.sum("size").alias("n"), F.count("*").alias("texts"), F.min(draw).alias("least"))
     drawn = F.lit(False)
-    for lang, n in sizes:
-        drawn = drawn | ((F.col("lang") == lang) & (draw < min(1.0, chars / max(n, 1))))
-    return short.filter(drawn)
+    for lang, n, texts, least in totals.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect():
+        chance = min(1.0, max(chars / max(n, 1), SAMPLE_TEXTS / texts))
+        drawn = drawn | ((F.col("lang") == lang) & (draw <= max(int(chance * (1 << 30)), least)))
+    return labelled.filter(drawn).select("lang", "text")
 
 
 def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Identifier:
