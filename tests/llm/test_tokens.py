@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -34,6 +36,36 @@ def test_odd_texts(library):
     assert encode(ODD) == expected
 
 
+LONG_TEXTS = [
+    " " * 1000, "x" + " " * 777 + "y", "a" * 999, "ab" * 700, "the" * 500, "thequickbrownfox" * 100, "▁a" * 400, "=" * 1234, "-=" * 600, "é日" * 300,
+    "".join("theriveroseinthenightandbymorning"[(i * i) % 33] for i in range(3000)), "\t" * 800, "0123456789" * 90,
+]
+
+
+def test_texts_without_a_break(library):
+    """Sequences beyond ``LONG`` symbols, merged from a heap."""
+    expected = [len(e) for e in library.encode(LONG_TEXTS)]
+    assert pieces.count_tokens(pieces.vocabulary(PATH), [t.encode() for t in LONG_TEXTS]).tolist() == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" ▁abetinorsh.=0é日"), max_size=30), max_size=4))
+def test_the_heap_and_the_rounds_agree(texts):
+    vocab = pieces.vocabulary(PATH)
+    symbols, offsets = pieces.to_symbols(vocab, [t.encode() for t in texts if t])
+    merged, ends = pieces.merge(vocab, symbols, offsets)
+    for i in range(len(offsets) - 1):
+        assert pieces.merge_one(vocab, symbols[offsets[i] : offsets[i + 1]]).tolist() == merged[ends[i] : ends[i + 1]].tolist()
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a" * 300_000, "thequickbrownfox" * 20_000], ids=["spaces", "letters", "words"])
+def test_a_megabyte_without_a_break_takes_seconds(library, text):
+    begun = time.process_time()
+    counts = pieces.count_tokens(pieces.vocabulary(PATH), [text.encode()])
+    assert time.process_time() - begun < 30
+    assert counts.tolist() == [len(library.encode(text))]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from(" ▁abetinorsh.,\n0é日𝒳"), max_size=40), max_size=4))
 def test_any_text(texts):
