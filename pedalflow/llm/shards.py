@@ -1,13 +1,15 @@
 """Sharding by fixed virtual slots and a stored, versioned slot-to-shard map.
 
-A record's slot is a hash of its id and its text's checksum, one of ``SLOTS``, for ever. Bytes are summed per slot; the
-map gives each slot a shard so that the shards' bytes are nearly equal. To rebalance, a new version of the map is
+A record's slot is a hash of its id and its text's checksum, one of ``SLOTS``, for ever. Of records that repeat both, such as
+those without id and text, the second and later ones hash the number of the copy as well, so no slot holds them all. Bytes
+are summed per slot; the map gives each slot a shard so that the shards' bytes are nearly equal. To rebalance, a new version of the map is
 stored in which a few slots have moved; no record is hashed anew. Only DataFrame functions touch the records. The
 driver sees one row per slot, ``SLOTS`` in all, whatever the data.
 
 Law ``bytes``: the largest and the smallest shard differ by no more than the largest slot. A record's size is its
 UTF-8 bytes (null: none) plus 8. Within a shard records are numbered from 0 without gaps: slot by slot, in a slot by
-doc_id. Rows that are equal get numbers of their own. A null doc_id is hashed like a value of its own. An empty table
+doc_id. Rows that are equal get numbers of their own. Equal texts are not kept together: each record is placed by itself, so
+that a text with a third of all rows is spread over all shards. A null doc_id is hashed like a value of its own. An empty table
 gives an empty table; other columns are not read.
 """
 
@@ -20,19 +22,44 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pedalflow.llm.scratch import stored
+from pedalflow.operators.numbering import number_rows
 from pedalflow.session import scratch_path
 
 SHARDS, SLOTS, RECORD_BYTES = 24, 8192, 8
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``(doc_id, size, text_crc32, virtual_slot)`` of every row."""
+    """``(doc_id, size, text_crc32, virtual_slot)`` of every row, kept in the shared folder."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    measured = docs.select(
-        "doc_id", (F.octet_length(text) + RECORD_BYTES).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32")
+    measured = stored(
+        docs.select(
+            "doc_id",
+            (F.octet_length(text) + RECORD_BYTES).cast("bigint").alias("size"),
+            F.crc32(text).alias("text_crc32"),
+            F.monotonically_increasing_id().alias("_record"),
+        ),
+        "measured-records",
     )
-    slot = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int")
-    return measured.withColumn("virtual_slot", slot)
+    alone, later = F.xxhash64("doc_id", "text_crc32"), F.xxhash64("doc_id", "text_crc32", "_copy")
+    slot = F.pmod(F.when(F.col("_copy") > 0, later).otherwise(alone), F.lit(slots)).cast("int")
+    copies = measured.join(copy_numbers(measured), "_record", "left")
+    return stored(copies.withColumn("virtual_slot", slot).drop("_record", "_copy"), "shard-records")
+
+
+def copy_numbers(measured: DataFrame) -> DataFrame:
+    """``(_row, _copy)`` of the records whose id and checksum are repeated: they are numbered from 0, in range partitions that
+    no key, however often it is repeated, has to itself."""
+    keys = measured.groupBy("doc_id", "text_crc32").agg(F.count("*").alias("n")).filter("n > 1")
+    keys = stored(keys.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc")), "repeated-records")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_crc32") == F.col("_crc"))
+    repeated = measured.join(keys, same).select("_id", "_crc", "_record", F.struct("_id", "_crc", "_record").alias("_order"))
+    numbered = number_rows(repeated, "_order", "_number").drop("_order")
+    first = stored(
+        numbered.groupBy("_id", "_crc").agg(F.min("_number").alias("_first")).withColumnsRenamed({"_id": "_a", "_crc": "_b"}),
+        "first-records",
+    )
+    of_key = F.col("_id").eqNullSafe(F.col("_a")) & (F.col("_crc") == F.col("_b"))
+    return numbered.join(first, of_key).select("_record", (F.col("_number") - F.col("_first")).alias("_copy"))
 
 
 def slot_loads(recs: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int]]:
@@ -122,7 +149,7 @@ def place(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
 def shard(docs: DataFrame, n_shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """Put every row of ``docs`` into a shard and store version 1 of the map in the shared folder."""
     spark = docs.sparkSession
-    recs = stored(records(docs, slots), "shard-records")
+    recs = records(docs, slots)
     loads, counts = slot_loads(recs, slots)
     slot_map = store_map(spark, scratch_path(spark, "slot-map"), 1, first_map(loads, n_shards), counts)
     return place(recs, slot_map).select(
