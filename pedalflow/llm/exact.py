@@ -10,8 +10,9 @@ all rows reaches a task as a few rows; the rows are then joined with the groups
 tables and the join is a sort-merge join at every size, which adaptive execution can split where a group is hot.
 
 Texts are equal when they are identical after each run of white space is replaced by one space; null counts as empty.
-Of equal texts the smallest doc_id stays. Rows of one text and one doc_id all stay or all go; rows with a null doc_id
-group like others, stay only if the whole group has none, and never give their id to a group that has one. An empty
+Of equal texts the smallest doc_id stays. Rows of one text and one doc_id are all ``kept`` or none is; rows with a null doc_id
+group like others, are kept only if the whole group has none, and never give their id to a group that has one.
+``without_copies`` leaves one row of each group: of several kept ones that whose columns have the least hash. An empty
 table gives an empty table; other columns are not read.
 """
 
@@ -114,16 +115,21 @@ def _from(column: str, digit: int) -> Column:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stay."""
-    dropped = exact_groups(docs).filter("NOT kept")
+    """One row of ``docs``, with all its columns, for each group of equal texts."""
+    per_row = exact_groups(docs).groupBy("doc_id", "text_sha256").agg(F.bool_and("kept").alias("tied"), F.count("*").alias("n"))
     gone = stored(
-        dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")).distinct(), "copies"
+        per_row.filter("NOT tied OR n > 1").select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha"), "tied"),
+        "copies",
     )
     # Columns of any name may come along, so they are packed away from those of the join.
     packed = docs.select(F.struct("*").alias("row"))
     id_and_sha = packed.withColumn("own_sha", F.sha2(normal_bytes("row.text"), 256))
     key = [F.col("row.doc_id"), F.col("own_sha")]
-    marked = bitmaps.with_chance(id_and_sha, key, bitmaps.pages(gone), "may_go")
+    marked = bitmaps.with_chance(id_and_sha, key, bitmaps.pages(gone.drop("tied")), "may_go")
     same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("own_sha") == F.col("gone_sha"))
-    left = marked.filter("may_go").join(gone, same, "left_anti")
-    return marked.filter("NOT may_go").unionByName(left).select("row.*")
+    judged = marked.filter("may_go").join(gone, same, "left")
+    left = judged.filter("tied IS NULL").select("row")
+    # Rows that tie are combined where they are read, so many of them are one row from each task.
+    first = F.min_by("row", F.xxhash64(F.to_json("row")))
+    one = judged.filter("tied").groupBy("gone_id", "gone_sha").agg(first.alias("row")).select("row")
+    return marked.filter("NOT may_go").select("row").unionByName(left).unionByName(one).select("row.*")

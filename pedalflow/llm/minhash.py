@@ -280,10 +280,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all their columns; of each group of near duplicates that with the smallest doc_id."""
-    gone = stored(near_duplicates(docs, size, percent).filter("NOT kept").select("doc_id").distinct(), "near-copies")
-    # Columns of any name may come along, so they are packed away from those of the join.
-    packed = docs.select(F.struct("*").alias("row"), "doc_id")
-    marked = bitmaps.with_chance(packed, [F.col("doc_id")], bitmaps.pages(gone), "may_go")
-    left = marked.filter("may_go").join(gone, "doc_id", "left_anti").select("row")
-    return marked.filter("NOT may_go").select("row").unionByName(left).select("row.*")
+    """One row of ``docs``, with all its columns, of each group of near duplicates: that with the smallest doc_id.
+
+    Every row is a document of its own here, whatever doc_id it has, so a text that is near nothing stays, also if its doc_id has
+    another text. Rows without doc_id come after those with one; of rows with one doc_id that with the least digest of its
+    text stays, then that whose columns have the least hash. Rows without words all stay.
+    """
+    # Written once with numbers of their own, so that what is told apart by these is the same row in every pass.
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_row_id")), "near-rows")
+    texts = rows.select(F.col("_row_id").alias("doc_id"), F.col("row.text").alias("text"))
+    found = near_duplicates(texts, size, percent).filter("n_shingles > 0").select(F.col("doc_id").alias("_row_id"), "component_id")
+    found = stored(found, "near-components")
+    groups = found.groupBy("component_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("component_id")
+    grouped = stored(found.join(groups, "component_id"), "near-groups")
+    chance = bitmaps.with_chance(rows, [F.col("_row_id")], bitmaps.pages(grouped.select("_row_id")), "_grouped").filter("_grouped")
+    sha = F.sha2(F.coalesce(F.col("row.text"), F.lit("")), 256)
+    rank = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), sha, F.xxhash64(F.to_json("row")), F.col("_row_id"))
+    ranked = stored(chance.select("_row_id", rank.alias("_rank")).join(grouped, "_row_id"), "near-ranked")
+    # Combined before the shuffle, so a large group is a row from each task.
+    first = ranked.groupBy("component_id").agg(F.min("_rank").alias("_first"))
+    gone = stored(ranked.join(first, "component_id").filter("_rank != _first").select(F.col("_row_id").alias("_gone")), "near-copies")
+    marked = bitmaps.with_chance(rows, [F.col("_row_id")], bitmaps.pages(gone), "may_go")
+    left = marked.filter("may_go").join(gone, F.col("_row_id") == F.col("_gone"), "left_anti")
+    return marked.filter("NOT may_go").select("row").unionByName(left.select("row")).select("row.*")

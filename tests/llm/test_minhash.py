@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -8,6 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from pedalflow.llm import links, minhash
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -92,8 +95,8 @@ def test_awkward_rows(awkward, empty):
     assert got == by_hand(awkward.collect(), 3, 85)
     left = minhash.without_near_duplicates(awkward)
     assert left.columns == awkward.columns
-    # 2 and 8 repeat 1 and 7; rows without id link with nothing.
-    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 0, 1, 3, 4, 5, 6, 7, 9, 9, 10, 11]
+    # 2 and 8 repeat 1 and 7; the text of 9 is there twice, and once without id.
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 3, 4, 5, 6, 7, 9, 10, 11]
     assert answer(empty, 3, 85) == [] and minhash.without_near_duplicates(empty).collect() == []
 
 
@@ -144,3 +147,19 @@ def test_components_within():
     assert label.tolist() == [0, 0, 0, 3, 4, 4]
     src, dst = links.stars(np.array([50, 40, 30, 20, 10, 11]), label)
     assert sorted(zip(src, dst)) == [(11, 10), (40, 30), (50, 30)]
+
+
+def test_rows_go_by_id_and_text(spark):
+    """A doc_id with a second text, texts of a group under one id, and rows that repeat both."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words[:-1] + ["other"])
+    nearer = " ".join(words[:-1] + ["another"])
+    alone = " ".join(f"z{i}" for i in range(40))
+    rows = [(1, " ".join(words)), (9, " ".join(words)), (9, alone), (5, near), (5, near), (1, near), (3, alone + " end"), (None, " ".join(words)), (None, alone), (7, "")]
+    rows += [(7, "")] + [(20, "a text of its own that is twice there with its id")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("source", F.monotonically_increasing_id())
+    left = sorted(((r.doc_id or 0), r.text) for r in minhash.without_near_duplicates(docs).collect())
+    first = min((" ".join(words), near), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert left == sorted([(1, first), (3, alone + " end"), (7, ""), (7, ""), (20, rows[-1][1])])
+    apart = spark.createDataFrame([(1, " ".join(words)), (9, nearer), (9, "quite another text without any near one")], docs.schema[:2])
+    assert sorted(r.doc_id for r in minhash.without_near_duplicates(apart).collect()) == [1, 9]
