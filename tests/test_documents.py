@@ -150,3 +150,37 @@ def test_queries_that_ignore_events_do_not_embed_them(city, docs):
         d.station_counts(docs, city.stations),
     ):
         assert "collect_list" not in plan_of(df)
+
+
+def test_questions_about_trips_read_no_event(spark, city, tmp_path):
+    """The heads of documents come from the trips alone, and no job runs before the question is asked."""
+    city.events.write.parquet(str(tmp_path / "events"))
+    events = spark.read.schema(EVENTS).parquet(str(tmp_path / "events"))
+    docs, heads = d.embed_events(city.trips, events), d.trip_heads(city.trips)
+    for question in (
+        lambda x: d.trip_details(x, city.users, city.stations),
+        lambda x: d.user_stats(x, city.users),
+        lambda x: d.station_counts(x, city.stations),
+        d.one_per_trip,
+    ):
+        assert sorted(rows(question(heads)), key=str) == sorted(rows(question(docs)), key=str)
+        assert "parquet" not in plan_of(question(heads)).lower()
+
+
+def test_documents_know_their_number(city):
+    small = d.embed_events(city.trips, city.events, part_events=1)
+    parts = {}
+    for r in small.collect():
+        parts.setdefault(r.trip_id, []).append((r.part, r.parts))
+    assert all(sorted(p) == [(i, len(p)) for i in range(len(p))] for p in parts.values()) and len(parts[100]) == 3
+    assert {(r.part, r.parts) for r in d.embed_events(city.trips, city.events).collect()} == {(0, 1)}
+
+
+def test_trips_of_one_document_are_found_without_a_shuffle(spark, city, tmp_path):
+    for part_events in (1, 100):
+        folder = str(tmp_path / str(part_events))
+        d.embed_events(city.trips, city.events, part_events).write.parquet(folder)
+        found = d.error_trips(spark.read.parquet(folder))
+        assert sorted(r.trip_id for r in found.collect()) == [100, 104]
+    plan = plan_of(found)
+    assert plan.count("Exchange") <= 2 and "EqualTo(parts,1)" in plan and "GreaterThan(parts,1)" in plan

@@ -197,7 +197,7 @@ def test_connected_components(spark, case, target_rows):
 def test_rounds_move_only_vertex_sized_tables(spark, conf, monkeypatch):
     """Links and ranks keep their place: a round shuffles the partial sums, and the ranks if some are salted."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(graph_loops, "LINKS_PER_PARTITION", 1)
+    monkeypatch.setattr(graph_loops, "MANY_LINKS", 1)
     plans, pass_ranks = [], graph_loops._pass_ranks
 
     def watched(*args):
@@ -221,13 +221,29 @@ def test_rounds_have_tasks_by_links_and_leave_the_session_alone(spark, monkeypat
         return settle(df, parts, on)
 
     monkeypatch.setattr(graph_loops, "_settle", watched)
-    monkeypatch.setattr(graph_loops, "LINKS_PER_PARTITION", 5)
+    monkeypatch.setattr(graph_loops, "MANY_LINKS", 5)
     n, edges = random_graph(4, 30, 200, hub=True)
     graph_loops.pagerank(*make_graph(spark, n, edges), iterations=1)
     assert partitions == [-(-len(set(edges)) // 5)] * 2 and partitions[0] > 8
     assert dict(spark.conf.getAll.items()) == before
 
 
+@pytest.mark.parametrize(
+    "links, cores, parts", [(0, 8, 2), (147_000, 8, 6), (10**6, 8, 8), (10**8, 8, 50), (10**8, 1000, 1000), (10**9, 1000, 1000), (10**10, 1000, 5000)]
+)
+def test_partitions_of_a_round(links, cores, parts):
+    """Cores while there are links for them, then partitions of two million links; a round has the square of that in blocks."""
+    assert graph_loops.round_partitions(links, cores) == parts
+
+
+def test_traffic_is_reduced_to_pairs_of_stations_after_the_users(spark, conf, city):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = planned(graph.optional_match(city.stations, city.trips, city.users))
+    pairs = plan.index("keys=[start_station_id")
+    assert "user_id" not in plan[pairs : plan.index("]", pairs)] and plan.index("LeftSemi", pairs) > pairs
+    assert plan.count("partial_count(1)") == 1
+
+
 def test_links_are_reduced_before_their_ends_are_checked(spark, conf, city):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     nodes, edges = graph.station_graph(city.stations, city.trips)

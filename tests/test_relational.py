@@ -73,7 +73,8 @@ def test_the_null_id_is_one_key(city):
 
 def test_max_ids_of_an_empty_table_is_one(city):
     empty = city.trips.filter("false")
-    assert rows(r.max_ids({"trips": (city.trips, "trip_id"), "none": (empty, "trip_id")})) == [("trips", 106), ("none", 1)]
+    given = {"trips": (city.trips, "trip_id"), "none": (empty, "trip_id"), "texts": (city.users, "name")}
+    assert rows(r.max_ids(given)) == [("trips", "106"), ("none", "1"), ("texts", "Cy")]
 
 
 def test_top_users_breaks_ties_by_id(city):
