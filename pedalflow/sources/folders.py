@@ -16,6 +16,12 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return system.exists(path)
 
 
+def size(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files in the folder; 0 where there is none."""
+    path, system = _system(spark, folder)
+    return system.getContentSummary(path).getLength() if system.exists(path) else 0
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     path, system = _system(spark, folder)
     system.delete(path, True)

@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pedalflow.sources.folders import exists
+from pedalflow.sources.folders import size
 
 BUCKET_ROWS = 1_000_000
 ROW_GROUP_BYTES = 256 << 10
 BLOOM_ROWS = 20_000  # different keys in a row group at most, to size its filter
+ONE_TASK_BYTES = 32 << 20
 BUCKET, LAYOUT = "bucket", "_layout"
 
 
@@ -40,12 +41,18 @@ class KeyedTable:
     schema: T.StructType
 
     def rows_of(self, value: int | str) -> DataFrame:
-        """The rows whose key is ``value``, from its bucket alone."""
+        """The rows whose key is ``value``, from its bucket alone.
+
+        A bucket of up to ``ONE_TASK_BYTES`` is read by one task, so that what is grouped, joined or sorted after it is not
+        shuffled; a larger one, where a hot key lies, by many.
+        """
         bucket = zlib.crc32(str(value).encode()) % self.buckets
         path = f"{self.folder}/{BUCKET}={bucket}"
-        if not exists(self.spark, path):
+        found = size(self.spark, path)
+        if not found:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(path).filter(F.col(self.key) == F.lit(value))
+        rows = self.spark.read.schema(self.schema).parquet(path).filter(F.col(self.key) == F.lit(value))
+        return rows.coalesce(1) if found <= ONE_TASK_BYTES else rows
 
     def rows(self) -> DataFrame:
         """All rows, those without a key included."""

@@ -71,6 +71,17 @@ def test_reachable_stations_on_a_keyed_table(spark, trips_by_user, tmp_path):
     assert rows(graph.reachable_stations_stored(table, people, stations, 123_456)) == []
 
 
+def test_a_small_bucket_is_one_task_and_a_large_one_is_not(spark, trips_by_user, monkeypatch):
+    trips, table = trips_by_user
+    stations = generate.generate_stations(spark, 50)
+    users = generate.generate_users(spark, 2_000)
+    few = graph.reachable_stations(table.rows_of(77), users.filter("user_id = 77"), stations, 77)
+    assert "Exchange hash" not in planned(few) and "Exchange range" not in planned(few)
+    monkeypatch.setattr(keyed, "ONE_TASK_BYTES", 1000)
+    many = graph.reachable_stations(table.rows_of(77), users.filter("user_id = 77"), stations, 77)
+    assert "Exchange hash" in planned(many) and rows(many) == rows(few)
+
+
 def test_texts_and_odd_keys(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("", 2), ("é", 3), (None, 4), ("a", 5)], "k string, n int")
     table = keyed.write_keyed(df, "k", str(tmp_path / "t"), bucket_rows=1)
