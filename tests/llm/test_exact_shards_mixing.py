@@ -153,7 +153,7 @@ def schedule_by_hand(quota, slots):
 @pytest.mark.parametrize("quota", [[1], [5, 3, 8], [1, 1, 62], [7, 7, 7, 11], [32, 16, 8, 4, 2, 1, 1]])
 def test_each_source_is_less_than_a_block_from_its_weight(quota):
     period = sum(quota)
-    blocks = mixing.one_period(quota)
+    blocks = list(mixing.segment(quota, [0] * len(quota), 0, period))
     assert [(s, b) for s, b, *_ in sorted(blocks, key=lambda x: x[4])] == schedule_by_hand(quota, period)
     done = [0] * len(quota)
     for source, block, release, deadline, slot in sorted(blocks, key=lambda x: x[4]):
@@ -163,13 +163,50 @@ def test_each_source_is_less_than_a_block_from_its_weight(quota):
             assert abs(done[s] * period - q * (slot + 1)) < period
 
 
-def test_quotas():
-    assert mixing.quotas(["a", "b"], {"a": 1, "b": 3}, 16) == [4, 12]
-    assert mixing.quotas(["a", "b", "c"], {"b": 1.0}, 10) == [1, 8, 1]
-    assert sum(mixing.quotas(list("abcdefg"), {c: i + 0.3 for i, c in enumerate("abcdefg")}, 64)) == 64
-    assert mixing.quotas(["a", "b"], {}, 8) == [4, 4] and mixing.quotas([], {}, 8) == []
-    with pytest.raises(ValueError, match="sources"):
-        mixing.quotas(["a", "b"], {}, 1)
+def test_parts():
+    whole = 1 << 64
+    assert mixing.parts_of(["a", "b"], {"a": 1, "b": 3}) == [whole // 4, whole // 4 * 3]
+    assert sum(mixing.parts_of(list("abcdefg"), {c: i + 0.3 for i, c in enumerate("abcdefg")})) == whole
+    assert mixing.parts_of(["a", "b"], {}) == [whole // 2] * 2 and mixing.parts_of([], {}) == []
+    least, most = mixing.parts_of(["a", "b"], {"b": 1.0}, 16)
+    assert least == whole // 16 and least + most == whole
+
+
+@pytest.mark.parametrize(
+    "weights, blocks",
+    [([1], [5]), ([1, 1], [3, 3]), ([5, 3, 1], [10, 40, 7]), ([1e-6, 1], [300, 4]), ([1e-6, 1e-6, 1], [50, 60, 100]), ([2, 1, 1, 1], [0, 9, 1, 30]), ([], [])],
+)
+def test_phases_place_every_block_once_and_hardly_any_slot_is_empty(weights, blocks):
+    parts = mixing.parts_of([str(i) for i in range(len(weights))], {str(i): w for i, w in enumerate(weights)})
+    placed, last = [[] for _ in blocks], 0
+    for phase in mixing.phases(parts, blocks):
+        assert phase.first == last and abs(sum(phase.parts) - (1 << 64)) == 0
+        last += phase.slots
+        for s, block, release, deadline, slot in mixing.segment(phase.parts, [0] * len(phase.parts), 0, phase.slots):
+            assert release <= slot < deadline
+            source = phase.sources[s]
+            if phase.placed[s] + block < blocks[source]:
+                placed[source].append(phase.placed[s] + block)
+    assert placed == [list(range(n)) for n in blocks]
+    assert last <= sum(blocks) + len(blocks) ** 2
+
+
+def test_a_heavy_source_without_weight_costs_no_empty_slots(spark):
+    docs = spark.range(2000).selectExpr("id AS doc_id", "CASE WHEN id % 10 < 8 THEN 'heavy' WHEN id % 10 = 8 THEN 'a' ELSE 'b' END AS source")
+    mixed = sorted(mixing.mix(docs, {"a": 3, "b": 1}, block_rows=1).collect(), key=lambda r: r.position)
+    assert [r.position for r in mixed] == list(range(2000)) and max(r.slot for r in mixed) < 2010
+    assert [r.source for r in mixed[:260]].count("a") in (194, 195, 196) and {r.source for r in mixed[420:]} == {"heavy"}
+
+
+def test_many_sources_share_an_entry(spark):
+    """Five sources have schedules of their own, 60 others one; each of these is spread evenly over it."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 > 0 THEN concat('big', id % 5) ELSE concat('small', id % 60) END AS source")
+    mixed = sorted(mixing.mix(docs, block_rows=2, period=64, max_sources=5).collect(), key=lambda r: r.position)
+    assert [r.position for r in mixed] == list(range(3000)) and sorted(r.doc_id for r in mixed) == list(range(3000))
+    small = [r.source for r in mixed if r.source.startswith("small")]
+    assert len(set(small)) == 20 and all(len(set(small[i : i + 20])) == 20 for i in range(0, 1000, 20))
+    weighted = mixing.mix(docs, {"big0": 1.0, "small3": 1.0}, block_rows=2, period=64, max_sources=5).collect()
+    assert sorted(r.doc_id for r in weighted) == list(range(3000))
 
 
 def test_mixed_rows(spark):
@@ -179,7 +216,7 @@ def test_mixed_rows(spark):
     weights = {"hot": 2, "a": 1, "b": 1}
     mixed = sorted(mixing.mix(docs, weights, block_rows=3, period=16).collect(), key=lambda r: r.position)
     assert [r.position for r in mixed] == list(range(300)) and sorted(r.doc_id for r in mixed) == list(range(300))
-    quota = mixing.quotas(["a", "b", "hot"], weights, 16)
+    quota = [4, 4, 8]
     expected, left = [], {"a": 50, "b": 50, "hot": 200}
     for s, block in schedule_by_hand(quota, 16 * 20):
         name = ["a", "b", "hot"][s]
