@@ -125,6 +125,17 @@ links AS (
   SELECT a, b FROM common JOIN members x ON x.id = a JOIN members y ON y.id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
 {_COMPONENTS}
 SELECT id AS doc_id, n AS n_shingles, component_id, id = component_id AS kept FROM component JOIN members USING (id)
+""",
+    # The exact neighbours; the query finds them all where its index has one part, as on small tables.
+    "op11_nearest_neighbours": """
+WITH members AS (
+  SELECT DISTINCT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+scored AS (
+  SELECT q.id AS query_id, m.id AS vec_id,
+         list_reduce(list_transform(list_zip(q.v, m.v), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
+  FROM members q JOIN members m ON q.id % 20 = 0 AND q.id <> m.id AND len(q.v) = len(m.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, place::INT AS rank, vec_id, score FROM ranked WHERE place <= 20
 """,
     "op6_exact_dedup": r"""
 WITH normal AS (
