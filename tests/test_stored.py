@@ -348,6 +348,15 @@ def test_text_that_is_no_json_fails_the_write(spark, tmp_path):
         variant_docs.write_variants(bad, str(tmp_path / "docs"))
 
 
+def test_empty_tables(spark, tmp_path):
+    none = spark.range(5).selectExpr("id AS user_id", "'a' AS name", "'b' AS surname", "date'2020-01-01' AS birthdate", "'c' AS country").filter("user_id < 0")
+    folder = str(tmp_path / "users")
+    for _ in range(2):
+        assert checked.write_checked(none, checked.rules_of("users", TABLES["users"]), folder) == 0
+    assert spark.read.schema(TABLES["users"]).parquet(folder).isEmpty()
+    assert bitmaps.semi_join(none, none.select("user_id"), "user_id", 0).isEmpty()
+
+
 def test_a_key_is_found_fast(spark, trips_by_user):
     """No exchange, one small folder: a search by key is one short job. A generous bound, for busy machines."""
     _, table = trips_by_user
