@@ -10,13 +10,18 @@ follows from the weights alone (``done_before``). When a source has no rows left
 others share its weight in the proportion of theirs, and start anew. So the slots are hardly more than the blocks, also where a
 source with most rows has next to no weight.
 
-No row is dropped or repeated: the result is an order. ``weight`` is a source's share in the phase that a row is in.
+No row is dropped or repeated: the result is an order. ``weight`` is a source's share in the phase that a row is in (in a band, its part of the band's).
 
-The ``MAX_SOURCES`` sources with most rows have a schedule of their own; the rows of all others share one, with the sum of their weights,
-in which each of these sources is spread evenly.
+The ``MAX_SOURCES`` sources with most rows are entries of the schedule by themselves. All others, however many, keep their weights
+too: they are put in at most ``BANDS`` bands by the time at which they end (rows by weight, a band up to twice its least, the last band
+all above), each an entry with the sum of its sources' weights. In a band, row k of a source with weight w is due at (k + u) / w, so that at any time
+t a source has placed its weight times t, to the row, until it ends. The offsets u in [0, 1) are dealt by the golden ratio over sources in
+the order of weight, so that many small sources do not come at once. What a source of a band leaves when it ends goes to the band's
+others first, and to all when the band ends.
 
 Rows of a source are numbered by doc_id; a null source counts as the empty name; rows that are equal in source and
-doc_id get numbers of their own. A source without a given weight gets 1 / ``PERIOD``, and the others share the rest. An empty table
+doc_id get numbers of their own. A source without a given weight gets 1 / ``PERIOD`` (of n > ``PERIOD`` / 2 sources, 1 / 2n), and the
+others share the rest. An empty table
 gives an empty table; other columns are not read.
 """
 
@@ -40,8 +45,9 @@ from pedalflow.operators.numbering import number_rows
 from pedalflow.session import checkpoint
 
 BLOCK_ROWS, PERIOD = 8, 16_384
-# Sources with a schedule of their own, those with most rows; all others share one more.
-MAX_SOURCES = 512
+# Sources that are entries by themselves, those with most rows; all others are scheduled by their weights in bands.
+MAX_SOURCES, BANDS = 512, 64
+_GOLDEN = (5**0.5 - 1) / 2
 _WHOLE = 1 << 64  # weights are parts of this
 MAX_TASKS = 4096
 _SCAN = 1 << 20  # numbers looked at at once
@@ -165,7 +171,7 @@ def schedule(spark: SparkSession, names: list[str], parts: list[int], blocks: li
     ship(spark)
     planned = phases(parts, blocks)
     segments = list(itertools.accumulate((-(-p.slots // period) for p in planned), initial=0))
-    shared = spark.sparkContext.broadcast((names, blocks, planned, segments))  # at most MAX_SOURCES + 1 entries and phases
+    shared = spark.sparkContext.broadcast((names, blocks, planned, segments))  # at most MAX_SOURCES + BANDS entries and phases
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, blocks, planned, segments = shared.value
@@ -206,16 +212,43 @@ def numbered_in_source(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_entries(ranked: DataFrame, names: list[str], counts: DataFrame, pool: str) -> DataFrame:
-    """``(doc_id, source, entry, rank)``: the rows of sources that are not in ``names`` share the entry ``pool``, each source spread
-    evenly over it."""
-    listed = counts.filter(F.col("source").isin(names)).select("source")  # at most MAX_SOURCES names
-    own = ranked.join(F.broadcast(listed), "source").withColumn("entry", F.col("source"))
-    sizes = counts.filter(~F.col("source").isin(names))
-    order = F.struct(((F.col("rank") + 0.5) / F.col("n")).alias("share"), "source", "rank")
-    pooled = ranked.join(sizes, "source").withColumn("_share", order).drop("rank", "n")
-    spread = number_rows(pooled, "_share", "rank").drop("_share").withColumn("entry", F.lit(pool))
-    return own.unionByName(spread)
+def _weighted(counts: DataFrame, weights: Mapping[str, float] | None, period: int) -> DataFrame:
+    """``(source, n, w)``: the weight of every source, by the rule of ``parts_of``."""
+    if weights is None:
+        return counts.withColumn("w", F.pow("n", F.lit(FLATTEN)))
+    given = counts.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "source string, g double")
+    known = counts.join(given, "source", "left").withColumn("g", F.coalesce("g", F.lit(0.0)))
+    total, free, sources = known.agg(F.sum("g"), F.sum((F.col("g") == 0).cast("bigint")), F.count("*")).first()
+    least = 1 / max(period, 2 * sources)
+    share = F.when(F.col("g") > 0, F.col("g") / F.lit(total) * (1 - least * free)).otherwise(least) if total else F.lit(1 / sources)
+    return known.select("source", "n", share.alias("w"))
+
+
+def _bands(rest: DataFrame, pool: str) -> tuple[DataFrame, dict[str, tuple[int, float]]]:
+    """``(source, w, u, entry, start, own)`` of the sources of ``rest``, and the rows and weight of each band by its entry's name,
+    which starts with ``pool``; ``start``: the rows of the bands before; ``own``: the source's part of the band's weight."""
+    end = F.col("n") / F.col("w")
+    first = rest.agg(F.min(end)).first()[0]
+    banded = rest.withColumn("band", F.least(F.floor(F.log2(end / F.lit(first))), F.lit(BANDS - 1)).cast("int"))
+    ordered = number_rows(banded.withColumn("_key", F.struct("band", "w", "source")), "_key", "_i").drop("_key")
+    found = banded.groupBy("band").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).orderBy("band").collect()  # at most ``BANDS``
+    starts = itertools.accumulate((r["n"] for r in found), initial=0)
+    rows = [(r["band"], f"{pool}{r['band']:02d}", start, r["w"]) for r, start in zip(found, starts)]
+    of_band = rest.sparkSession.createDataFrame(rows, "band int, entry string, start bigint, band_w double")
+    u = F.col("_i") * F.lit(_GOLDEN) % 1
+    placed = ordered.join(F.broadcast(of_band), "band").select("source", "w", u.alias("u"), "entry", "start", (F.col("w") / F.col("band_w")).alias("own"))
+    return placed, {entry: (r["n"], r["w"]) for r, (_, entry, _, _) in zip(found, rows)}
+
+
+def _with_entries(ranked: DataFrame, names: list[str], banded: DataFrame) -> DataFrame:
+    """``(doc_id, source, entry, rank, own)``: rows of the sources in ``names`` by these, all others by their band, in which they are
+    numbered in the order of the times at which they are due."""
+    listed = ranked.sparkSession.createDataFrame([(s,) for s in names], "source string")  # at most MAX_SOURCES names
+    own = ranked.join(F.broadcast(listed), "source").withColumns({"entry": F.col("source"), "own": F.lit(1.0)})
+    due = F.struct("start", ((F.col("rank") + F.col("u")) / F.col("w")).alias("due"), "source", "rank")
+    pooled = ranked.join(banded, "source").withColumn("_due", due).drop("rank", "u", "w")
+    numbered = number_rows(pooled, "_due", "_number").withColumn("rank", F.col("_number") - F.col("start")).drop("_due", "_number", "start")
+    return own.unionByName(numbered)
 
 
 def mix(
@@ -233,23 +266,24 @@ def mix(
     sizes = {r["source"]: r["n"] for r in sorted(largest, key=lambda r: r["source"])}
     names = list(sizes)
     given = flattened_weights(sizes) if weights is None else {s: weights.get(s, 0) for s in names}
-    rest = counts.filter(~F.col("source").isin(names))
-    rows, flattened = rest.agg(F.sum("n"), F.sum(F.pow("n", F.lit(FLATTEN)))).first()
-    entries = ranked.withColumn("entry", F.col("source"))
-    if rows:
-        pool = (names[-1] if names else "") + "\0"  # the name of no source that is listed, for it comes after all of them
-        entries = _with_entries(ranked, names, counts, pool)
-        asked = [w for s, w in weights.items() if s not in sizes] if weights else []
-        given[pool] = flattened if weights is None else sum(asked)
-        sizes[pool] = rows
-        names = [*names, pool]
+    entries = ranked.withColumns({"entry": F.col("source"), "own": F.lit(1.0)})
+    if counts.count() > len(names):
+        weighted = stored(_weighted(counts, weights, period), "source-weights")
+        listed = F.col("source").isin(names)
+        given = {r["source"]: r["w"] for r in weighted.filter(listed).collect()}
+        # Names of no source that is listed, for they come after all of them.
+        banded, bands = _bands(weighted.filter(~listed), (names[-1] if names else "") + "\0")
+        entries = _with_entries(ranked, names, banded)
+        for name, (rows, weight) in bands.items():
+            sizes[name], given[name] = rows, weight
+        names = [*names, *bands]
     blocks = [-(-sizes[s] // block_rows) for s in names]
     planned = schedule(spark, names, parts_of(names, given, max(period, len(names))), blocks, period)
     scheduled = (
         entries.withColumn("block", F.floor(F.col("rank") / block_rows))
         .join(planned, ["entry", "block"])
         .select(
-            *("doc_id", "source", "weight", "block", "release", "deadline", "slot"),
+            *("doc_id", "source", (F.col("weight") * F.col("own")).alias("weight"), "block", "release", "deadline", "slot"),
             (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("_order"),
         )
     )

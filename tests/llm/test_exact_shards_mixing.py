@@ -209,6 +209,37 @@ def test_many_sources_share_an_entry(spark):
     assert sorted(r.doc_id for r in weighted) == list(range(3000))
 
 
+def pooled_order(spark, sizes, weights, **options):
+    rows = [(i, name) for name, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string")
+    mixed = sorted(mixing.mix(docs, weights, block_rows=1, period=64, **options).collect(), key=lambda r: r.position)
+    assert [r.position for r in mixed] == list(range(len(rows))) and sorted((r.doc_id, r.source) for r in mixed) == sorted(rows)
+    assert all([r.doc_id for r in mixed if r.source == s] == list(range(n)) for s, n in sizes.items())
+    return [r.source for r in mixed]
+
+
+def test_sources_beyond_those_with_most_rows_keep_their_weights(spark):
+    """One source has a schedule of its own; of the other ten, in one band, one has nearly twice the weight."""
+    sizes = {"big": 300} | {f"s{i}": 100 for i in range(10)}
+    weights = {"big": 10.9, "s0": 1.9} | {f"s{i}": 1 for i in range(1, 10)}
+    order, done = pooled_order(spark, sizes, weights, max_sources=1), dict.fromkeys(sizes, 0)
+    for n, source in enumerate(order[:590], 1):
+        done[source] += 1
+        assert all(abs(done[s] - weights[s] / 21.8 * n) < 2.5 for s in sizes)
+
+
+def test_a_heavy_source_beyond_those_with_most_rows_ends_early(spark):
+    sizes = {"big": 300} | {f"s{i}": 40 for i in range(10)}
+    order = pooled_order(spark, sizes, {"s3": 1.0, "big": 1.0}, max_sources=1)
+    assert {"s3", "big"} <= set(order[:6]) and 39 <= order[:100].count("s3") <= 40
+    # By default as by rows to the power 0.7: sources with few rows end before those with many.
+    sizes = {"big": 300} | {f"many{i}": 120 for i in range(4)} | {f"few{i}": 4 for i in range(30)}
+    order = pooled_order(spark, sizes, None, max_sources=1)
+    last = max(i for i, s in enumerate(order) if s.startswith("few"))
+    total = 300**0.7 + 4 * 120**0.7 + 30 * 4**0.7
+    assert last < 4**0.3 * total * 1.2 < 0.7 * len(order)
+
+
 def test_mixed_rows(spark):
     docs = spark.range(300).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source")
