@@ -1,7 +1,8 @@
 """Exact distinct counts by bitmaps, and semi joins that shuffle only rows with a chance of a partner.
 
-A bitmap page is 4 KB and covers 32,768 neighbouring numbers. Pages are made where the rows are and merged by OR, so a number
-that comes a million times is one bit in every task.
+Distinct numbers are counted in words of 64 neighbouring ones, made where the rows are and merged by OR, so a number that
+comes a million times is one bit in every task. A word is as wide as an id: where a group's ids lie far apart, there are no more
+words than rows. The keys of a semi join, which are hashed and fill their bitmap, are in pages of 4 KB that cover 32,768 places.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pedalflow.session import in_session
+
+WORD_BITS, WORD_SHIFT = 64, 6  # a long
 PAGE_BITS = 1 << 15  # of bitmap_construct_agg
 BITS_PER_KEY = 16  # one row in 16 without a partner passes
 MAX_BITS = 1 << 28  # 32 MB to broadcast
@@ -19,16 +23,20 @@ MAX_BITS = 1 << 28  # 32 MB to broadcast
 def distinct_counts(df: DataFrame, by: str, columns: dict[str, str]) -> DataFrame:
     """``by`` and the number of different values of each integer column, null not counted; ``columns`` names the results.
 
-    One pass makes a page of every column for each group and each combination of page numbers; the rows that are merged after
-    it are pages. No row is repeated for a second column. Ids should be dense: a page that holds few of them is 4 KB none the less.
+    One pass, whose result is written, makes a word of every column for each group and each combination of word numbers; the rows that are merged after
+    it are words, at most as many as the rows. No row is repeated for a second column. Words and counts are longs, which hash
+    aggregates keep in place and spill by the row.
     """
-    pages = {c: F.bitmap_bucket_number(c).alias(f"_page_{c}") for c in columns}
-    bits = [F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias(f"_bits_{c}") for c in columns]
-    made = df.select(F.col(by), *columns, *pages.values()).groupBy(by, *[f"_page_{c}" for c in columns]).agg(*bits)
+    longs = {c: F.col(c).cast("bigint") for c in columns}
+    words = {c: F.shiftright(n, WORD_SHIFT).alias(f"_word_{c}") for c, n in longs.items()}
+    one, at = F.lit(1).cast("bigint"), {c: n.bitwiseAND(F.lit(WORD_BITS - 1)).cast("int") for c, n in longs.items()}
+    bits = [F.bit_or(F.call_function("shiftleft", one, n)).alias(f"_bits_{c}") for c, n in at.items()]
+    made = df.select(F.col(by), *columns, *words.values()).groupBy(by, *[f"_word_{c}" for c in columns]).agg(*bits)
+    made = in_session(df.sparkSession, made, "words")  # else each column would have the rows of ``df`` made anew
     counted = []
     for c, name in columns.items():
-        merged = made.groupBy(F.col(by).alias("_by"), f"_page_{c}").agg(F.bitmap_or_agg(f"_bits_{c}").alias("_bits"))
-        counted.append(merged.groupBy("_by").agg(F.sum(F.bitmap_count("_bits")).alias(name)))
+        merged = made.groupBy(F.col(by).alias("_by"), f"_word_{c}").agg(F.bit_or(f"_bits_{c}").alias("_bits"))
+        counted.append(merged.groupBy("_by").agg(F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).alias(name)))
     joined = reduce(lambda a, b: a.join(b.withColumnRenamed("_by", "_other"), F.col("_by").eqNullSafe(F.col("_other"))).drop("_other"), counted)
     return joined.withColumnRenamed("_by", by)
 

@@ -286,6 +286,18 @@ def test_distinct_counts_of_ids_over_many_pages(spark):
     assert rows(bitmaps.distinct_counts(ids.filter("false"), "g", {"a": "n_a"})) == []
 
 
+def test_distinct_counts_of_scattered_ids_move_no_wide_rows(spark):
+    """Ids far apart: a row that is merged stays a few longs, kept by hash aggregates, and is not a page of 4 KB."""
+    ids = spark.range(4_000).selectExpr("id % 9 AS g", "(id % 1500) * 1000003 - 7 AS a", "CASE WHEN id % 9 <> 4 THEN id * 65536 END AS b")
+    ids = ids.unionByName(spark.createDataFrame([(None, -(2**63), 2**63 - 1), (None, -(2**63), None)], ids.schema))
+    got = bitmaps.distinct_counts(ids, "g", {"a": "n_a", "b": "n_b"})
+    expected = ids.groupBy("g").agg(F.countDistinct("a").alias("n_a"), F.countDistinct("b").alias("n_b"))
+    assert sorted(rows(got), key=str) == sorted(rows(expected), key=str)
+    plan = planned(got)
+    assert plan.count("HashAggregate") >= 8 and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert "bitmap_" not in plan and "Range" not in plan  # both columns read the words written by one pass
+
+
 def test_rows_without_a_partner_are_not_shuffled(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     trips = spark.range(50_000).selectExpr("id AS trip_id", "id % 9 AS user_id")
