@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pedalflow.functions import scalars
 from pedalflow.operators import bitmaps, documents, evolution, graph, graph_loops, layout, quality, relational
 from pedalflow.schemas import INT, TABLES, Mobility
-from pedalflow.session import checkpoint, drop_at_exit, scratch_path
+from pedalflow.session import checkpoint, drop_at_exit, in_session, scratch_path
 from pedalflow.sources import changes, checked, generate, given, graph_store, keyed, layouts, storage, variant_docs
 
 USER_ID, CITY = 1, "FRANCE"
@@ -157,8 +157,10 @@ def _credit_part(c: Context) -> Mobility:
 
 
 def _merge_stored(c: Context) -> DataFrame:
-    """As ``_merge_upsert``, into folders; merging all once more adds nothing."""
+    """As ``_merge_upsert``, into folders; merging all once more adds nothing. The trips are worked out once, for all merges."""
+    c.data = c.data._replace(trips=in_session(c.spark, c.trips, "trips"))
     folder, part = scratch_path(c.spark, "graph"), _credit_part(c)
+    part = part._replace(trips=in_session(c.spark, part.trips, "part-trips"))
     first = graph.vertices(part.users, part.stations, part.trips)
     graph_store.merge_stored(c.spark, folder, first, graph.trip_edges(graph.linked_trips(part.trips, part.users, part.stations)))
     every = graph.vertices(c.users, c.stations, c.trips)

@@ -3,8 +3,8 @@
 Each label's vertices, and all relationships, are a folder of ``BUCKETS`` parts by the hash of all properties. A merged row
 equals a stored one in every property or is added, so it is enough to look into its own part: a batch reads
 the parts that it has rows for, and adds files to those that get some. Stored rows are never shuffled while a batch has at most
-``BATCH_ROWS`` rows; they are tested where they are read against the batch, which is broadcast. A larger batch is joined with
-its parts.
+``BATCH_ROWS`` rows; they are tested where they are read against the batch, which is broadcast. A larger batch is grouped with
+the rows of its parts, which finds copies and known rows in one shuffle.
 """
 
 from __future__ import annotations
@@ -41,31 +41,49 @@ def stored_matches(spark: SparkSession, folder: str, batch: DataFrame, touched:
     return stored.join(new, same, "left_semi")
 
 
+def new_rows(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of ``batch`` that equal none of ``stored``, each once; both tables are shuffled once and not sorted."""
+    names = [f"`{c}`" for c in batch.columns]
+    both = stored.select(*names, F.lit(True).alias("_known")).unionByName(batch.select(*names, F.lit(False).alias("_known")))
+    return both.groupBy(*names).agg(F.max("_known").alias("_known")).filter(~F.col("_known")).drop("_known")
+
+
 def merge_rows(spark: SparkSession, folder: str, incoming: DataFrame, buckets: int = BUCKETS, batch_rows: int = BATCH_ROWS) -> int:
     """Add the rows of ``incoming`` that equal none stored in ``folder``, each once; gives how many. Merging them again writes
     nothing. ``buckets`` must be the same for all merges into a folder."""
-    names = incoming.columns
+    names, schema = incoming.columns, T.StructType([*incoming.schema, T.StructField(PART, T.IntegerType())])
     path = scratch_path(spark, "batch")
-    incoming.distinct().withColumn(PART, _part(names, buckets)).write.parquet(path)
-    batch = spark.read.schema(T.StructType([*incoming.schema, T.StructField(PART, T.IntegerType())])).parquet(path)
-    if exists(spark, folder):
-        touched = [r[0] for r in batch.select(PART).distinct().collect()]  # at most ``buckets`` numbers
-        if not touched:
-            return 0
+    incoming.withColumn(PART, _part(names, buckets)).write.parquet(path)
+    batch = spark.read.schema(schema).parquet(path)
+    rows = batch.count()
+    if not rows:
+        return 0
+    if not exists(spark, folder):
+        _append(batch.distinct(), folder)
+        return spark.read.schema(schema).parquet(folder).count()
+    touched = [r[0] for r in batch.select(PART).distinct().collect()]  # at most ``buckets`` numbers
+    if rows <= batch_rows:
+        batch = batch.distinct()
         present = stored_matches(spark, folder, batch, touched, batch_rows).distinct().alias("present")
         same = [F.col(f"batch.{c}").eqNullSafe(F.col(f"present.{c}")) for c in batch.columns]
-        batch = batch.alias("batch").join(present, same, "left_anti")
-        # Written first, so that the rows to add are counted and added as found once.
-        added = scratch_path(spark, "added")
-        batch.write.parquet(added)
-        batch = spark.read.schema(T.StructType([*incoming.schema, T.StructField(PART, T.IntegerType())])).parquet(added)
-    n = batch.count()
+        new = batch.alias("batch").join(present, same, "left_anti")
+    else:
+        new = new_rows(spark.read.schema(schema).parquet(folder).filter(F.col(PART).isin(touched)), batch)
+    # Written first, so that the rows to add are counted and added as found once.
+    added = scratch_path(spark, "added")
+    new.write.parquet(added)
+    new = spark.read.schema(schema).parquet(added)
+    n = new.count()
     if n:
-        # A part's rows go to one file; the batch alone is shuffled.
-        batch.repartition(PART).write.mode("append").partitionBy(PART).parquet(folder)
+        _append(new, folder)
     return n
 
 
+def _append(rows: DataFrame, folder: str) -> None:
+    """A part's rows go to one file; the batch alone is shuffled."""
+    rows.repartition(PART).write.mode("append").partitionBy(PART).parquet(folder)
+
+
 def merge_stored(
     spark: SparkSession, folder: str, labelled: dict[str, DataFrame], edges: DataFrame, buckets: int = BUCKETS
 ) -> dict[str, int]:

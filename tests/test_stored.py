@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from helpers import at, plan_of, planned, rows, scan_metrics
 from pedalflow.operators import bitmaps, evolution, graph, quality, relational
+from pedalflow.plans import queries
 from pedalflow.schemas import EVENTS, EVOLVED_EVENTS, INT, TABLES, TRIPS
 from pedalflow.sources import changes, checked, generate, graph_store, keyed, layouts, storage, variant_docs
 
@@ -208,6 +209,28 @@ def test_stored_rows_are_not_shuffled_and_other_parts_not_read(spark, tmp_path):
     assert graph_store.merge_rows(spark, folder, batch, buckets=16, batch_rows=1) == 1
 
 
+def test_a_large_batch_is_grouped_with_its_parts_in_one_shuffle(spark, tmp_path):
+    """Copies and rows with nulls come once; stored rows and the batch are neither sorted nor joined."""
+    folder, schema = str(tmp_path / "edges"), "src bigint, dst bigint, rel string"
+    first = spark.createDataFrame([(1, None, "a"), (1, None, "a"), (2, 5, None), (None, None, None)], schema)
+    assert graph_store.merge_rows(spark, folder, first, buckets=4, batch_rows=1) == 3
+    more = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (1, None, "b"), (2, 5, None), (None, None, None), (None, 7, None)], schema)
+    assert graph_store.merge_rows(spark, folder, more, buckets=4, batch_rows=1) == 2
+    before = files(folder)
+    assert graph_store.merge_rows(spark, folder, more, buckets=4, batch_rows=1) == 0 and files(folder) == before
+    stored = graph_store.read_rows(spark, folder, first.schema)
+    assert sorted(rows(stored), key=str) == sorted({*rows(first), *rows(more)}, key=str)
+    new = graph_store.new_rows(stored, more)
+    assert rows(new) == []
+    assert planned(new).count("Exchange") == 1 and "Join" not in planned(new)
+
+
+def test_trips_are_worked_out_once_for_all_merges(spark):
+    c = queries.Context(spark, "/root/testdata/sf0.001")
+    assert queries._merge_stored(c).count() > 0
+    assert "lineitem" not in planned(c.trips) and "lineitem" not in planned(c.edges)
+
+
 # --- rules on write ---
 
 
