@@ -12,8 +12,9 @@ its two id tuples alone, so it is worked out once and remembered by them; a docu
 Corpus counts (in how many documents is a pair of ids linked?) are exact over all documents: each task counts the pairs of a
 chunk of documents, chunks are summed by pair in Spark, and the sums come back to the chunks that asked, where they are added up
 by window and then by document. What is shuffled are a chunk's different pairs and a document's different windows, not its
-links. A text is the row of its pieces, cut before each space between two ASCII letters: both tokenizers always start a token
-there, so the tokens of the text are those of its pieces, and a piece that was met before is not encoded again.
+links. A text is the row of its pieces, cut before each space between two graphic ASCII characters (letters, digits, punctuation):
+both tokenizers always start a token there, so the tokens of the text are those of its pieces, and a piece that was met before is
+not encoded again.
 
 Special strings inside texts are plain text. Rows that repeat a doc_id are documents of their own. A null doc_id stays
 null. An empty table gives an empty table, and columns besides ``doc_id`` and ``text`` are not read.
@@ -47,7 +48,7 @@ MANY_LINKS = 1 << 16  # of one group; beyond it only different ids are paired
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # --- end of fixed value ---
 _PAIR = 1 << 32  # a pair of ids is one number, a * 2^32 + b
-_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+_GRAPHIC = np.array([0x20 < b < 0x7F for b in range(256)])
 
 
 class Spelling:
@@ -107,7 +108,7 @@ class Tokenizers:
     def encode(self, pieces: list[bytes], n_plain: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids and offsets of the pieces, which begin with a space, in A, then in B.
 
-        The first ``n_plain`` begin with a space and an ASCII letter and end in one. Both tokenizers start anew at each, so these are
+        The first ``n_plain`` begin with a space and a graphic character and end in one. Both tokenizers start anew at each, so these are
         encoded as a few texts; where that does not spell them they are encoded one by one, as the others are.
         """
         found = []
@@ -137,13 +138,13 @@ def both(a_path: str, b_path: str) -> Tokenizers:
 
 
 def pieces_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """The texts, with a space before each, cut before every space between two ASCII letters; and where each text begins."""
+    """The texts, with a space before each, cut before every space between two graphic characters; and where each text begins."""
     spaced = [b" " + t for t in texts]
     data = np.frombuffer(b"".join(spaced), np.uint8)
     begins = offsets_of([len(t) for t in spaced])
     cut = np.zeros(len(data), bool)
-    letter = _LETTER[data]
-    cut[1:-1] = (data[1:-1] == 32) & letter[:-2] & letter[2:]
+    graphic = _GRAPHIC[data]
+    cut[1:-1] = (data[1:-1] == 32) & graphic[:-2] & graphic[2:]
     cut[begins[:-1]] = True
     starts = np.flatnonzero(cut)
     offsets = np.append(starts, len(data)).astype(np.int64)
@@ -151,12 +152,12 @@ def pieces_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
 
 
 def _shapes(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of each piece, and whether an ASCII letter follows its first space and one ends it."""
+    """The bytes of each piece, and whether a graphic character follows its first space and one ends it."""
     offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
     data = np.frombuffer(pieces.buffers()[2], np.uint8)
     sizes = np.diff(offsets)
     second = data[np.minimum(offsets[:-1] + 1, len(data) - 1)]
-    return sizes, (sizes > 1) & _LETTER[second] & _LETTER[data[offsets[1:] - 1]]
+    return sizes, (sizes > 1) & _GRAPHIC[second] & _GRAPHIC[data[offsets[1:] - 1]]
 
 
 class _Lists:
@@ -223,7 +224,7 @@ class Aligned:
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """The number of each piece; new ones are encoded and aligned."""
         encoded = pieces.dictionary_encode()
-        different = encoded.dictionary.to_pylist()
+        different = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
         number = np.fromiter(map(self.piece_number.get, different, itertools.repeat(-1)), np.int64, len(different))
         new = np.flatnonzero(number < 0)
         sizes, plain = _shapes(encoded.dictionary)
@@ -266,8 +267,8 @@ class Aligned:
         b_cut = np.concatenate([[0], np.searchsorted(b_ends, ends) + 1])
         first_group = np.searchsorted(ends, np.append(anchors, total), "right")
         first_group[-1] = len(ends)
-        numbers = self._windows(a, b, a_cut, b_cut, first_group)
         sizes = np.diff(np.searchsorted(anchors, begins))
+        numbers = self._windows(a, b, a_cut, b_cut, first_group, np.repeat(sizes == 1, sizes))
         self.windows_of_piece.extend(numbers, sizes)
         texts = list(map(self.window_text.__getitem__, numbers.tolist()))
         if len(texts) == len(pieces) and (sizes == 1).all():
@@ -276,29 +277,39 @@ class Aligned:
             cuts = offsets_of(sizes).tolist()
             self.piece_text += [texts[i] if j - i == 1 else b";".join(texts[i:j]) for i, j in zip(cuts, cuts[1:])]
 
-    def _windows(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, first_group: np.ndarray) -> np.ndarray:
-        """The number of each window, ``first_group`` the groups that they begin with; new ones are aligned."""
-        n = len(first_group) - 1
-        if n <= 0:
-            return np.zeros(0, np.int64)
-        a_at, b_at = a_cut[first_group], b_cut[first_group]
-        # The ids of A, a mark, the ids of B: the key of a window.
-        window = np.arange(n)
-        key = np.full(len(a) + len(b) + n, 0xFFFFFFFF, np.uint32)
-        key[np.arange(len(a)) + np.repeat(b_at[:-1] + window, np.diff(a_at))] = a
-        key[np.arange(len(b)) + np.repeat(a_at[1:] + window + 1, np.diff(b_at))] = b
-        offsets = (4 * (a_at + b_at + np.arange(n + 1))).astype(np.int64)
-        column = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(key)])
-        encoded = column.dictionary_encode()
-        different, place = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False)
-        number = np.fromiter(map(self.window_number.get, different, itertools.repeat(-1)), np.int64, len(different))
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            number[new] = np.arange(len(self.window_number), len(self.window_number) + len(new))
-            self.window_number.update(zip(map(different.__getitem__, new.tolist()), number[new].tolist()))
-            seen = np.unique(place, return_index=True)[1][new]  # where each new one stands first
+    def _windows(
+        self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, first_group: np.ndarray, whole: np.ndarray
+    ) -> np.ndarray:
+        """The number of each window, ``first_group`` the groups that they begin with; new ones are aligned.
+
+        One that is a ``whole`` piece is new, as its piece is, and is not looked up: should it also stand inside another piece it has
+        two numbers there, which adds up to the same.
+        """
+        n, known = len(whole), len(self.groups)
+        number = np.empty(n, np.int64)
+        seen = np.flatnonzero(whole)  # where each new one stands first
+        number[seen] = np.arange(known, known + len(seen))
+        inside = np.flatnonzero(~whole)
+        if len(inside):
+            # The ids of A, a mark, the ids of B: the key of a window.
+            a_from, b_from = a_cut[first_group[:-1][inside]], b_cut[first_group[:-1][inside]]
+            n_a, n_b = a_cut[first_group[1:][inside]] - a_from, b_cut[first_group[1:][inside]] - b_from
+            at = offsets_of(n_a + n_b + 1)
+            key = np.full(int(at[-1]), 0xFFFFFFFF, np.uint32)
+            key[ranges(at[:-1], n_a)] = a[ranges(a_from, n_a)]
+            key[ranges(at[:-1] + n_a + 1, n_b)] = b[ranges(b_from, n_b)]
+            column = pa.Array.from_buffers(pa.large_binary(), len(inside), [None, pa.py_buffer(4 * at), pa.py_buffer(key)])
+            encoded = column.dictionary_encode()
+            different, place = encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy(zero_copy_only=False)
+            held = np.fromiter(map(self.window_number.get, different, itertools.repeat(-1)), np.int64, len(different))
+            new = np.flatnonzero(held < 0)
+            held[new] = np.arange(known + len(seen), known + len(seen) + len(new))
+            self.window_number.update(zip(map(different.__getitem__, new.tolist()), held[new].tolist()))
+            number[inside] = held[place]
+            seen = np.append(seen, inside[np.unique(place, return_index=True)[1][new]])
+        if len(seen):
             self._align(a, b, a_cut, b_cut, first_group[seen], first_group[seen + 1])
-        return number[place]
+        return number
 
     def _align(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
         """Add windows of the groups from ``begin`` to ``end``."""
@@ -351,6 +362,16 @@ def _spell(pieces: list[bytes], want: np.ndarray, ids: np.ndarray, at: np.ndarra
     return np.array([raw[i:j] == p for i, j, p in zip(cuts, cuts[1:], pieces)])
 
 
+def _distinct(windows: np.ndarray, cuts: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different windows of each wanted document, in their order, how often each is there, and the offsets of the documents."""
+    sizes, base = np.diff(cuts), int(windows.max(initial=0)) + 1
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    key = np.sort((doc * base + windows)[np.repeat(wanted, sizes)])
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    times = np.diff(np.append(first, len(key)))
+    return key[first] % base, times, np.searchsorted(key[first], np.arange(len(cuts)) * base)
+
+
 _worker: dict[tuple[str, str], Aligned] = {}
 
 
@@ -396,27 +417,30 @@ class _Chunk:
             windows = flat.astype(np.int64)
             cuts = offsets_of(sums(sizes, at))
             n_groups, n_links = sums(known.groups[windows], cuts), sums(known.links[windows], cuts)
-            linked = []
+            flat, times, ends = _distinct(windows, cuts, ~bad)
             for k, i in enumerate(filled.tolist()):
                 if bad[k]:
                     continue
                 groups = b";".join([known.piece_text[p] for p in number[at[k] : at[k + 1]].tolist()])
                 row = [ids[i], int(n_a[k]), int(n_b[k]), int(n_groups[k]), int(n_links[k]), hashlib.sha256(groups).hexdigest()]
                 rows[i] = row + [groups.decode()] * self.keep_groups
-                of_doc[i], times_of[i] = np.unique(windows[cuts[k] : cuts[k + 1]], return_counts=True)
-                linked.append(of_doc[i])
-            self._count(linked)
+                of_doc[i], times_of[i] = flat[ends[k] : ends[k + 1]], times[ends[k] : ends[k + 1]]
+            self._count(flat, ends)
         self.docs += rows
         self.windows += list(zip(of_doc, times_of))
 
-    def _count(self, linked: list[np.ndarray]) -> None:
-        """Add the documents of each pair."""
-        if not linked:
+    def _count(self, windows: np.ndarray, ends: np.ndarray) -> None:
+        """Add the documents of each pair, from the different windows of each document."""
+        if not len(windows):
             return
-        flat, sizes = self.aligned.pairs.of(np.concatenate(linked))
-        doc = np.repeat(np.repeat(np.arange(len(linked)), [len(x) for x in linked]), sizes)
+        met = np.zeros(len(self.aligned.groups), bool)
+        met[windows] = True
+        flat, sizes = self.aligned.pairs.of(np.flatnonzero(met))
         pairs, place = np.unique(flat, return_inverse=True)
-        both = np.unique(doc * len(pairs) + place)
+        which = (np.cumsum(met) - 1)[windows]
+        doc = np.repeat(np.repeat(np.arange(len(ends) - 1), np.diff(ends)), sizes[which])
+        both = np.sort(doc * len(pairs) + place[ranges(offsets_of(sizes)[which], sizes[which])])
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
         self.pairs.append(np.stack([pairs, np.bincount(both % len(pairs), minlength=len(pairs))]))
         if len(self.pairs) > 16:
             self.pairs = [self._summed()]

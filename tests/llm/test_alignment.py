@@ -124,6 +124,26 @@ def test_pieces_have_the_same_tokens(encoders):
         assert [i for p in pieces[:-2] for i in of[p][1]] == encoders[1].encode(text)
 
 
+def test_pieces_are_cut_between_graphic_characters(encoders):
+    """Sentences are not pieces of their own, which are new nearly always; every cut is where both tokenizers start a token."""
+    assert alignment.pieces_of([b"one. Two, (3) 4's x\n y  z"])[0].to_pylist() == [b" one.", b" Two,", b" (3)", b" 4's", b" x\n y  z"]
+    graphic = [chr(c) for c in range(0x21, 0x7F)]
+    tokens = alignment.both(A_PATH, B_PATH)
+    for x in graphic:
+        text = " ".join(f"{y}{x} {x}{y}a {y}1{x}" for y in graphic)
+        pieces = alignment.pieces_of([text.encode()])[0].to_pylist()
+        assert len(pieces) == 3 * len(graphic)
+        a, _, b, _ = tokens.encode(pieces)
+        assert a.tolist() == encoders[0].encode(" " + text, add_special_tokens=False).ids and b.tolist() == encoders[1].encode(text)
+
+
+def test_a_whole_piece_that_stands_inside_another(spark, encoders):
+    """Its window has two numbers; counts and digests do not tell them apart."""
+    docs = [(1, "the river\t the end"), (2, "the the river"), (3, "rose\t the the"), (4, "the"), (5, "\t the")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert answer(alignment.align(df, A_PATH, B_PATH)) == by_hand(encoders, docs)
+
+
 @pytest.mark.parametrize("pieces,links", [(1, 1 << 16), (300_000, 3), (1, 1)])
 def test_what_is_remembered_changes_nothing(encoders, monkeypatch, pieces, links):
     monkeypatch.setattr(alignment, "KNOWN_PIECES", pieces)
